@@ -17,7 +17,11 @@ SAMPLES = [f"S{i:02d}" for i in range(N_SAMPLES)]
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    if name == "events" and df.schema["ts"].dataType.typeName() == "timestamp_ntz":
+        # Event times are UTC wall-clock times; make them instants whatever the session zone.
+        df = df.withColumn("ts", F.convert_timezone(F.lit("UTC"), F.current_timezone(), "ts").cast("timestamp"))
+    return df
 
 
 # --- quantification -----------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-from cohortlens.plans.registry import ORACLE, QUERIES, Query
+from cohortlens.plans.registry import QUERIES, STATEMENTS, Query, statement
 
 MODULES = ("scans", "manifests", "quantification", "comparison", "artifacts", "models", "samples", "reads", "gates", "functions", "streams")
 
@@ -12,4 +12,4 @@ MODULES = ("scans", "manifests", "quantification", "comparison", "artifacts", "m
 def load() -> tuple[dict[str, Query], dict[str, str]]:
     for module in MODULES:
         importlib.import_module(f"cohortlens.plans.{module}")
-    return dict(QUERIES), dict(ORACLE)
+    return dict(QUERIES), {name: statement(sql, *needs) for name, (sql, needs) in STATEMENTS.items()}

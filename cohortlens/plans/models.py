@@ -1 +1,166 @@
-"""Queries."""
+"""Queries over the differential model."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cohortlens.operators import model as M
+from cohortlens.operators import quant as Q
+from cohortlens.operators.ordering import exact_median
+from cohortlens.plans import bindings as B
+from cohortlens.plans.registry import cte, query, rounded
+from cohortlens.session import materialise
+
+FACTORS = {"patient": [f"P{i:02d}" for i in range(B.N_SAMPLES // 2)], "condition": ["normal", "tumor"]}
+
+_WIDE = ", ".join(f"CASE WHEN patient = '{p}' THEN 1 ELSE 0 END AS \"patient_{p}\"" for p in FACTORS["patient"][1:])
+cte("design_b", f"SELECT sample_id, 1 AS intercept, {_WIDE}, CASE WHEN condition = 'tumor' THEN 1 ELSE 0 END AS condition_tumor FROM cohort", "cohort")
+
+
+def design_a(spark: SparkSession, sf: str) -> DataFrame:
+    return M.design_matrix(B.cohort(spark, sf), "sample_id", {"grp": ["control", "tumor"]})
+
+
+def design_b(spark: SparkSession, sf: str) -> DataFrame:
+    return M.design_matrix(B.cohort(spark, sf), "sample_id", FACTORS)
+
+
+@query("m1_design_matrix", "SELECT * FROM design_b", "design_b")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return design_b(spark, sf)
+
+
+@query("m2_check_design", "SELECT COUNT(*) AS n_samples, 13 AS n_columns, 13 AS rank, COUNT(*) > 13 AS valid FROM design_b", "design_b")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return M.check_design(design_b(spark, sf), "sample_id")
+
+
+cte("nonzero", """SELECT * FROM genes WHERE gene_id IN (SELECT gene_id FROM genes GROUP BY 1 HAVING SUM("count") > 0)""", "genes")
+
+
+@query("p6_drop_all_zero", """SELECT COUNT(DISTINCT gene_id) AS n_genes, COUNT(*) AS n_cells, CAST(SUM("count") AS BIGINT) AS reads FROM dense_part
+ WHERE gene_id IN (SELECT gene_id FROM dense_part GROUP BY 1 HAVING SUM("count") > 0)""", "dense_part")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    part = Q.densify(B.genes_raw(spark, sf), B.SAMPLES).withColumn("count", F.when(F.col("count") > 190, F.col("count")).otherwise(0.0))
+    return M.drop_all_zero(part).groupBy("gene_id").agg(F.count(F.lit(1)).alias("n"), F.sum("count").alias("c")).agg(
+        F.count(F.lit(1)).alias("n_genes"), F.sum("n").alias("n_cells"), F.sum("c").cast("long").alias("reads"))
+
+
+cte("dense_part", """SELECT gene_id, sample_id, CASE WHEN "count" > 190 THEN "count" ELSE 0 END AS "count" FROM dense""", "dense")
+cte("geo_count", """SELECT gene_id, exp(avg(ln(NULLIF("count", 0)))) AS g FROM dense GROUP BY 1 HAVING MIN("count") > 0""", "dense")
+
+
+@query("m3_size_factors", """SELECT sample_id, ROUND(exp(median(ln("count") - ln(g))), 6) AS size_factor FROM dense d JOIN geo_count g ON d.gene_id = g.gene_id
+ GROUP BY 1""", "dense", "geo_count")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(M.size_factors(Q.densify(B.genes_raw(spark, sf), B.SAMPLES)))
+
+
+cte("nf_len", """SELECT gene_id, sample_id, "count", length, exp(ln(length) - avg(ln(length)) OVER (PARTITION BY gene_id)) AS nl FROM genes""", "genes")
+cte("nf_geo", """SELECT gene_id, exp(avg(ln(NULLIF("count" / nl, 0)))) AS g FROM nf_len GROUP BY 1 HAVING MIN("count") > 0""", "nf_len")
+cte("nf_size", """SELECT sample_id, exp(median(ln("count" / nl) - ln(g))) AS s FROM nf_len l JOIN nf_geo g ON l.gene_id = g.gene_id GROUP BY 1""", "nf_len", "nf_geo")
+cte("factors", """SELECT gene_id, sample_id, "count", length, exp(ln(nl * s) - avg(ln(nl * s)) OVER (PARTITION BY gene_id)) AS nf FROM (
+ SELECT l.*, s FROM nf_len l JOIN nf_size z ON l.sample_id = z.sample_id)""", "nf_len", "nf_size")
+
+
+def factors(spark: SparkSession, sf: str) -> DataFrame:
+    return M.norm_factors(M.drop_all_zero(B.genes(spark, sf)))
+
+
+@query("m4_norm_factors", 'SELECT gene_id, sample_id, CAST("count" AS BIGINT) AS "count", ROUND(nf, 6) AS nf FROM factors', "factors")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(factors(spark, sf), 6, "nf").select("gene_id", "sample_id", F.col("count").cast("long").alias("count"), "nf")
+
+
+@query("m4b_norm_factor_violations", "SELECT gene_id, sample_id FROM factors WHERE nf IS NULL OR nf <= 0 OR isnan(nf) OR isinf(nf)", "factors")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return M.norm_factor_violations(factors(spark, sf)).select("gene_id", "sample_id")
+
+
+@query("m5_base_mean", 'SELECT gene_id, ROUND(AVG("count" / nf), 5) AS base_mean FROM factors GROUP BY 1', "factors")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(M.base_mean(factors(spark, sf)), 5)
+
+
+def fitted_genes(spark: SparkSession, sf: str) -> tuple[DataFrame, M.Design]:
+    design = M.local_design(design_a(spark, sf), "sample_id")
+    return materialise(M.gene_dispersion(M.gene_arrays(factors(spark, sf), design), design)), design
+
+
+@query("m6_gene_dispersion")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(fitted_genes(spark, sf)[0].select("gene_id", "base_mean", "disp_gene"))
+
+
+@query("m7_dispersion_trend")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    genes, _ = fitted_genes(spark, sf)
+    trend = M.dispersion_trend(genes)
+    return rounded(genes.select("gene_id", "base_mean", trend.column(F.col("base_mean")).alias("disp_fit")))
+
+
+@query("m8_dispersion_map")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    genes, design = fitted_genes(spark, sf)
+    trend = M.dispersion_trend(genes)
+    prior = M.dispersion_prior(genes, trend, *design.x.shape)
+    return rounded(M.dispersion_map(genes, design, trend, prior))
+
+
+def contrast_b(spark: SparkSession, sf: str) -> M.Contrast:
+    design = M.local_design(design_b(spark, sf), "sample_id")
+    return M.differential(factors(spark, sf), design, "condition_tumor")
+
+
+@query("m9_nb_wald_test")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Both designs of the study in one table."""
+    design = M.local_design(design_a(spark, sf), "sample_id")
+    a = M.differential(factors(spark, sf), design, "grp_tumor").result.withColumn("track", F.lit("A"))
+    b = contrast_b(spark, sf).result.withColumn("track", F.lit("B"))
+    keep = ["track", "gene_id", "base_mean", "lfc", "lfc_se", "stat", "pvalue", "padj", "tested", "significant"]
+    return rounded(a.unionByName(b).select(*keep))
+
+
+@query("m11_cooks_distance")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    c = contrast_b(spark, sf)
+    cut = M.review_cutoff(c.design)
+    return rounded(M.cooks_long(c.fitted, c.design)).withColumn("above", F.col("cooks") > cut)
+
+
+CUTS = [12.0, 20.0, 25.0, 30.0, 35.0, 40.0]
+
+
+@query("m10_filter_rejections", f"""SELECT cut, COUNT(*) AS n_tests, MAX(CASE WHEN pvalue * n <= 0.1 * rn THEN rn ELSE 0 END) AS rejections FROM (
+ SELECT cut, pvalue, row_number() OVER (PARTITION BY cut ORDER BY pvalue) AS rn, COUNT(*) OVER (PARTITION BY cut) AS n
+ FROM de_a JOIN (SELECT unnest(range({len(CUTS)})) AS cut, unnest({CUTS}) AS c) ON base_mean >= c WHERE pvalue IS NOT NULL) GROUP BY 1""", "de_a")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return M.filter_rejections(B.de_a(spark, sf), CUTS, 0.1).select("cut", "n_tests", "rejections")
+
+
+@query("m10b_adjust_above", """SELECT gene_id, ROUND(padj, 9) AS padj FROM (SELECT gene_id, least(1.0, MIN(q) OVER (ORDER BY rn DESC ROWS UNBOUNDED PRECEDING)) AS padj FROM (
+ SELECT gene_id, row_number() OVER w AS rn, pvalue * COUNT(*) OVER () / row_number() OVER w AS q
+ FROM de_a WHERE pvalue IS NOT NULL AND base_mean >= 30 WINDOW w AS (ORDER BY pvalue, gene_id)))
+ UNION ALL SELECT gene_id, NULL FROM de_a WHERE pvalue IS NULL OR base_mean < 30""", "de_a")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(M.adjust_above(B.de_a(spark, sf).drop("padj"), 30.0), 9).select("gene_id", "padj")
+
+
+@query("m10c_independent_filter")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(M.independent_filter(B.de_a(spark, sf).drop("padj")), 9).select("gene_id", "padj")
+
+
+VST_SQL = """log2((1 + 1.5 + 2 * 0.02 * q + 2 * sqrt(0.02 * q * (1 + 1.5 + 0.02 * q))) / (4 * 0.02))"""
+
+
+@query("m12_vst", f"""SELECT gene_id, sample_id, ROUND({VST_SQL}, 6) AS vst FROM (SELECT gene_id, sample_id, "count" / nf AS q FROM factors)""", "factors")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(M.vst(factors(spark, sf), M.Trend(0.02, 1.5)))
+
+
+@query("m3b_exact_median", """SELECT l_returnflag, ROUND(median(l_extendedprice), 6) AS med FROM lineitem GROUP BY 1""")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(exact_median(B.table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice"), "l_extendedprice", ["l_returnflag"], "med"))

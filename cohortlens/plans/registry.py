@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
+# Statement and the shared expressions it needs; put together once all modules are loaded.
+STATEMENTS: dict[str, tuple[str, tuple[str, ...]]] = {}
 
 # Common table expressions shared by the SQL statements: name -> (needs, body).
 CTES: dict[str, tuple[tuple[str, ...], str]] = {}
@@ -46,7 +47,7 @@ def query(name: str, sql: str | None = None, *needs: str) -> Callable[[Query], Q
             raise ValueError(f"Query registered twice: {name}")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = statement(sql, *needs)
+            STATEMENTS[name] = (sql, needs)
         return fn
 
     return register

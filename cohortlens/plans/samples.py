@@ -1 +1,97 @@
-"""Queries."""
+"""Queries over sample-level QC."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cohortlens.operators import model as M
+from cohortlens.operators import quant as Q
+from cohortlens.operators import sampleqc as S
+from cohortlens.plans import bindings as B
+from cohortlens.plans.models import factors
+from cohortlens.plans.registry import cte, query, rounded
+
+
+@query("j16_pairwise_samples", """SELECT a.sample_id AS s1, b.sample_id AS s2, COUNT(*) AS n_shared FROM quant_raw a JOIN quant_raw b
+ ON a.feature_id = b.feature_id AND a.sample_id < b.sample_id GROUP BY 1, 2""", "quant_raw")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return S.pairwise_samples(B.quant(spark, sf), "feature_id", "sample_id")
+
+
+@query("a17_sample_distances", """SELECT a.sample AS s1, b.sample AS s2, ROUND(sqrt(SUM((a.value - b.value) * (a.value - b.value))), 6) AS distance
+ FROM vectors a JOIN vectors b ON a.feature = b.feature AND a.sample < b.sample GROUP BY 1, 2""", "vectors")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(S.sample_distances(B.vectors(spark, sf), "feature", "sample", "value"))
+
+
+@query("a18_sample_pca")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Axes of the variance-stabilised expression values of all genes."""
+    values = M.vst(factors(spark, sf), M.Trend(0.02, 1.5))
+    return rounded(S.sample_pca(values, "gene_id", "sample_id", "vst", 2))
+
+
+def points(spark: SparkSession, sf: str) -> DataFrame:
+    """Two coordinates per vector, grouped by label."""
+    e = B.table(spark, sf, "embeddings")
+    at = lambda i: F.get("embedding", F.lit(i)).cast("double")
+    return e.select(F.col("vec_id").alias("run"), F.col("label").alias("track"), at(0).alias("pc_1"), at(1).alias("pc_2"))
+
+
+cte("points", """SELECT vec_id AS run, label AS track, CAST(embedding[1] AS DOUBLE) AS pc_1, CAST(embedding[2] AS DOUBLE) AS pc_2 FROM embeddings""")
+
+
+@query("w1_distance_rank", """SELECT run, track, ROUND(d, 6) AS center_distance, rank() OVER (PARTITION BY track ORDER BY d DESC) AS distance_rank FROM (
+ SELECT run, p.track, sqrt((pc_1 - cx) * (pc_1 - cx) + (pc_2 - cy) * (pc_2 - cy)) AS d FROM points p
+ JOIN (SELECT track, median(pc_1) AS cx, median(pc_2) AS cy FROM points GROUP BY 1) c ON c.track = p.track)""", "points")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    ranked = S.distance_rank(points(spark, sf), "pc_1", "pc_2", ["track"])
+    return rounded(ranked.select("run", "track", "center_distance", "distance_rank"))
+
+
+@query("j4_join_sample_qc", """SELECT sample_id, patient, ROUND(100.0 * CAST(num_mapped AS DOUBLE) / CAST(num_processed AS DOUBLE), 6) AS pct_mapped, CAST(reads AS BIGINT) AS sum_counts
+ FROM cohort JOIN run_meta USING (sample_id) JOIN (SELECT sample_id, SUM(num_reads) AS reads FROM quant_raw GROUP BY 1) USING (sample_id)""",
+       "cohort", "run_meta", "quant_raw")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    cohort = B.cohort(spark, sf)
+    joined = S.join_sample_qc(cohort, Q.mapping_rates(B.run_meta(spark, sf)), Q.sample_totals(B.genes_raw(spark, sf)), "sample_id")
+    return rounded(joined, 6, "pct_mapped").select("sample_id", "patient", "pct_mapped", F.col("sum_counts").cast("long").alias("sum_counts"))
+
+
+@query("j4b_unjoined_samples", """SELECT run FROM points WHERE run NOT IN (SELECT doc_id FROM labels)""", "points")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    p = points(spark, sf)
+    labels = B.table(spark, sf, "labels").withColumnRenamed("doc_id", "run")
+    joined = S.join_sample_qc(p, labels, B.table(spark, sf, "documents").select(F.col("doc_id").alias("run"), "lang"), "run")
+    return S.unjoined_samples(p, joined, "run")
+
+
+@query("j5_annotate_left", """SELECT p.gene_key, p.gene_name, d.gene_id, ROUND(d.lfc, 6) AS lfc, ROUND(d.padj, 6) AS padj FROM published p
+ LEFT JOIN de_a d ON p.gene_key = d.gene_key""", "published", "de_a")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    markers = B.published(spark, sf).select("gene_key", "gene_name")
+    results = B.de_a(spark, sf).select("gene_key", "gene_id", "lfc", "padj")
+    return rounded(S.annotate_left(markers, results, "gene_key"))
+
+
+@query("a25_outlier_cells_per_sample", """SELECT sample, COUNT(*) FILTER (value > 0.2) AS n_above FROM vectors GROUP BY 1""", "vectors")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return S.influence_counts(B.vectors(spark, sf), "sample", "value", 0.2)
+
+
+_MID = "rank() OVER (PARTITION BY track ORDER BY {0}) + (COUNT(*) OVER (PARTITION BY track, {0}) - 1) / CAST(2 AS DOUBLE)"
+
+
+@query("a20b_qc_correlations", "SELECT track, axis, metric, n, ROUND(r, 6) AS r FROM (" + " UNION ALL ".join(
+    f"SELECT track, '{a}' AS axis, '{m}' AS metric, COUNT(*) AS n, corr(ra, rm) AS r FROM (SELECT track, {_MID.format(a)} AS ra, {_MID.format(m)} AS rm FROM qc_points) GROUP BY 1"
+    for a in ("pc_1", "pc_2") for m in ("n_chars", "quality")
+) + ")", "qc_points")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    labels = B.table(spark, sf, "labels").select(F.col("doc_id").alias("run"), "quality")
+    docs = B.table(spark, sf, "documents").select(F.col("doc_id").alias("run"), "n_chars")
+    joined = points(spark, sf).join(labels, "run").join(docs, "run")
+    return rounded(S.qc_correlations(joined, ["pc_1", "pc_2"], ["n_chars", "quality"], ["track"]))
+
+
+cte("qc_points", """SELECT p.*, n_chars, quality FROM points p JOIN labels l ON l.doc_id = p.run JOIN documents d ON d.doc_id = p.run""", "points")
