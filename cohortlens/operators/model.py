@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.operators import nbfit
@@ -75,10 +75,18 @@ def check_design(design: DataFrame, sample: str) -> DataFrame:
 
 # --- normalisation ----------------------------------------------------------
 
+def per_gene(aggregate: Column) -> Column:
+    """An aggregate over the gene's rows, attached to each of them.
+
+    A gene has one row per sample of the cohort, so these windows are bounded, and
+    they share one shuffle by gene.
+    """
+    return aggregate.over(Window.partitionBy("gene_id"))
+
+
 def drop_all_zero(genes: DataFrame) -> DataFrame:
     """Only genes with a positive total over the cohort."""
-    kept = genes.groupBy("gene_id").agg(F.sum("count").alias("_t")).where(F.col("_t") > 0).select("gene_id")
-    return genes.join(kept, "gene_id", "left_semi")
+    return genes.withColumn("_t", per_gene(F.sum("count"))).where(F.col("_t") > 0).drop("_t")
 
 
 def geo_mean_by_gene(long: DataFrame, value: str, out: str) -> DataFrame:
@@ -93,26 +101,30 @@ def size_factors(long: DataFrame, value: str = "count") -> DataFrame:
     The median is taken on the log scale over genes positive in every sample; it
     is exact and does not gather a sample in one task.
     """
-    geo = geo_mean_by_gene(long, value, "_g").where(F.col("_g").isNotNull())
-    logs = long.join(geo, "gene_id").select("sample_id", (F.ln(value) - F.ln("_g")).alias("_r"))
+    spread = long.select(
+        "sample_id", (F.ln(value) - per_gene(F.avg(F.ln(value)))).alias("_r"),
+        per_gene(F.min(F.coalesce(F.col(value), F.lit(0.0)))).alias("_low"),
+    )
+    logs = spread.where(F.col("_low") > 0).select("sample_id", "_r")
     return exact_median(logs, "_r", ["sample_id"], "_m").select("sample_id", F.exp("_m").alias("size_factor"))
 
 
 def norm_factors(genes: DataFrame) -> DataFrame:
     """Gene x sample factors from lengths and size factors, geometric mean 1 per gene.
 
-    Input needs a positive ``length`` in every cell.  Output adds ``nf``.
+    Input needs a positive ``length`` in every cell.  Output adds ``nf``.  The
+    length-centred table is checkpointed, because the medians and the result
+    both read it.
     """
-    log_mean = genes.groupBy("gene_id").agg(F.avg(F.ln("length")).alias("_l"))
-    centred = genes.withColumn("count", F.round("count")).join(log_mean, "gene_id").withColumn(
-        "_n", F.exp(F.ln("length") - F.col("_l"))
-    )
-    sized = size_factors(centred.withColumn("_kn", F.col("count") / F.col("_n")), "_kn")
-    product = centred.join(sized, "sample_id").withColumn("_ns", F.col("_n") * F.col("size_factor"))
-    scale = product.groupBy("gene_id").agg(F.avg(F.ln("_ns")).alias("_s"))
-    return product.join(scale, "gene_id").withColumn("nf", F.exp(F.ln("_ns") - F.col("_s"))).drop(
-        "_l", "_n", "_ns", "_s", "size_factor"
+    log_length = F.ln("length")
+    centred = materialise(
+        genes.withColumn("count", F.round("count"))
+        .withColumn("_n", F.exp(log_length - per_gene(F.avg(log_length))))
+        .withColumn("_kn", F.col("count") / F.col("_n"))
     )
+    sized = size_factors(centred, "_kn")
+    product = centred.join(sized, "sample_id").withColumn("_ns", F.ln(F.col("_n") * F.col("size_factor")))
+    return product.withColumn("nf", F.exp(F.col("_ns") - per_gene(F.avg("_ns")))).drop("_n", "_kn", "_ns", "size_factor")
 
 
 def norm_factor_violations(factors: DataFrame) -> DataFrame:

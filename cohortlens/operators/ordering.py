@@ -115,14 +115,14 @@ def distinct_ladder(df: DataFrame, value: str, by: list[str] | None = None, rows
     keyed = keyed.where(F.col(value).isNotNull() & ~F.isnan(value))
     counts = keyed.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n")).withColumn("_code", value_code(F.col(value)))
     span = counts.groupBy(*by, "_code").agg(
-        F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(F.lit(1)).alias("_d")
+        F.min(value).alias("_span_lo"), F.max(value).alias("_span_hi"), F.count(F.lit(1)).alias("_span_n")
     )
-    parts = F.ceil(F.col("_d") / F.lit(float(rows_per_rung)))
-    share = (F.col(value) - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
+    parts = F.ceil(F.col("_span_n") / F.lit(float(rows_per_rung)))
+    share = (F.col(value) - F.col("_span_lo")) / (F.col("_span_hi") - F.col("_span_lo"))
     fine = F.when(
-        (parts > 1) & (F.col("_hi") > F.col("_lo")), F.least(F.floor(share * parts), parts - 1)
+        (parts > 1) & (F.col("_span_hi") > F.col("_span_lo")), F.least(F.floor(share * parts), parts - 1)
     ).otherwise(F.lit(0))
-    rungs = counts.join(span, [*by, "_code"]).withColumn("_fine", fine.cast("long")).drop("_lo", "_hi", "_d")
+    rungs = counts.join(span, [*by, "_code"]).withColumn("_fine", fine.cast("long")).drop("_span_lo", "_span_hi", "_span_n")
 
     totals = rungs.groupBy(*by, "_code", "_fine").agg(F.sum("n").alias("_n"))
     upto = _window(by, _asc(["_code", "_fine"]))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions import pct, ratio
@@ -40,12 +40,12 @@ def mean_feature_length(mapped: DataFrame) -> DataFrame:
 def fill_group_length(genes: DataFrame, mean_lengths: DataFrame) -> DataFrame:
     """Missing length: geometric mean of the gene's other samples, else its mean feature length.
 
-    Aggregate and join back instead of a window, so that many samples per gene
-    never meet in one task.
+    A gene has one row per sample of the cohort, so the window is bounded and
+    reuses the partitioning by gene of ``densify``.
     """
-    logs = genes.groupBy("gene_id").agg(F.exp(F.avg(F.ln("length"))).alias("_geo"))
+    geo = F.exp(F.avg(F.ln("length")).over(Window.partitionBy("gene_id")))
     return (
-        genes.join(logs, "gene_id").join(mean_lengths, "gene_id", "left")
+        genes.withColumn("_geo", geo).join(mean_lengths, "gene_id", "left")
         .withColumn("length", F.coalesce("length", "_geo", "mean_length"))
         .drop("_geo", "mean_length")
     )
@@ -54,14 +54,17 @@ def fill_group_length(genes: DataFrame, mean_lengths: DataFrame) -> DataFrame:
 def densify(genes: DataFrame, samples: Sequence[str]) -> DataFrame:
     """Every gene in every sample; absent cells get zero counts and a null length.
 
-    The sample list is the cohort's columns; the output has genes x samples rows,
-    which is the size of the matrix the roll-up describes.
+    One shuffle by gene: the cells of a gene (at most one per sample of the
+    cohort) are looked up from a map while its sample list is unfolded.
     """
-    grid = genes.select("gene_id").distinct().select(
-        "gene_id", F.explode(F.array(*[F.lit(s) for s in samples])).alias("sample_id")
+    cell = F.struct(*[F.col(c).cast("double").alias(c) for c in ("count", "tpm", "length")])
+    rows = genes.groupBy("gene_id").agg(F.map_from_entries(F.collect_list(F.struct("sample_id", cell))).alias("_cells"))
+    grid = rows.select("gene_id", "_cells", F.explode(F.array(*[F.lit(s) for s in samples])).alias("sample_id"))
+    found = F.try_element_at("_cells", F.col("sample_id"))
+    return grid.select(
+        "gene_id", "sample_id",
+        *[F.coalesce(found[c], F.lit(0.0)).alias(c) for c in ("count", "tpm")], found["length"].alias("length"),
     )
-    cells = grid.join(genes, ["gene_id", "sample_id"], "left")
-    return cells.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("count", "tpm")})
 
 
 def sample_totals(genes: DataFrame) -> DataFrame:

