@@ -41,7 +41,7 @@ def keep_last(df: DataFrame, keys: list[str], position: str | Column, first: boo
     pick = F.min_by if first else F.max_by
     where = F.col(position) if isinstance(position, str) else position
     row = F.struct(*[F.col(c) for c in df.columns])
-    return df.groupBy(*keys).agg(pick(row, where).alias("_row")).select("_row.*")
+    return df.groupBy(*keys).agg(pick(row, where).alias("_ord_row")).select("_ord_row.*")
 
 
 def keep_first(df: DataFrame, keys: list[str], position: str | Column) -> DataFrame:
@@ -50,45 +50,45 @@ def keep_first(df: DataFrame, keys: list[str], position: str | Column) -> DataFr
 
 def running_total(df: DataFrame, by: list[str], chunk: str, position: list[str], value: Column, out: str) -> DataFrame:
     """Running sum of ``value`` in (chunk, position) order within ``by``."""
-    cells = df.withColumn("_v", value)
-    totals = cells.groupBy(*by, chunk).agg(F.sum("_v").alias("_t"))
-    before = F.sum("_t").over(_window(by, _asc([chunk])).rowsBetween(UNBOUNDED, -1))
-    offsets = totals.select(*by, chunk, F.coalesce(before, F.lit(0)).alias("_before"))
-    inside = F.sum("_v").over(_window([*by, chunk], _asc(position)).rowsBetween(UNBOUNDED, 0))
+    cells = df.withColumn("_ord_v", value)
+    totals = cells.groupBy(*by, chunk).agg(F.sum("_ord_v").alias("_ord_t"))
+    before = F.sum("_ord_t").over(_window(by, _asc([chunk])).rowsBetween(UNBOUNDED, -1))
+    offsets = totals.select(*by, chunk, F.coalesce(before, F.lit(0)).alias("_ord_before"))
+    inside = F.sum("_ord_v").over(_window([*by, chunk], _asc(position)).rowsBetween(UNBOUNDED, 0))
     return (
-        _attach(cells.withColumn("_in", inside), offsets, [*by, chunk])
-        .withColumn(out, F.col("_before") + F.col("_in"))
-        .drop("_v", "_in", "_before")
+        _attach(cells.withColumn("_ord_in", inside), offsets, [*by, chunk])
+        .withColumn(out, F.col("_ord_before") + F.col("_ord_in"))
+        .drop("_ord_v", "_ord_in", "_ord_before")
     )
 
 
 def carry_last(df: DataFrame, by: list[str], chunk: str, position: list[str], value: Column, out: str) -> DataFrame:
     """Last non-null ``value`` at or before each row, in (chunk, position) order."""
-    cells = df.withColumn("_v", value)
+    cells = df.withColumn("_ord_v", value)
     place = F.struct(*[F.col(c) for c in position])
-    ends = cells.where(F.col("_v").isNotNull()).groupBy(*by, chunk).agg(F.max_by("_v", place).alias("_end"))
+    ends = cells.where(F.col("_ord_v").isNotNull()).groupBy(*by, chunk).agg(F.max_by("_ord_v", place).alias("_ord_end"))
     every = cells.select(*by, chunk).distinct()
-    prior = F.last("_end", ignorenulls=True).over(_window(by, _asc([chunk])).rowsBetween(UNBOUNDED, -1))
-    offsets = _attach(every, ends, [*by, chunk]).select(*by, chunk, prior.alias("_before"))
-    inside = F.last("_v", ignorenulls=True).over(_window([*by, chunk], _asc(position)).rowsBetween(UNBOUNDED, 0))
+    prior = F.last("_ord_end", ignorenulls=True).over(_window(by, _asc([chunk])).rowsBetween(UNBOUNDED, -1))
+    offsets = _attach(every, ends, [*by, chunk]).select(*by, chunk, prior.alias("_ord_before"))
+    inside = F.last("_ord_v", ignorenulls=True).over(_window([*by, chunk], _asc(position)).rowsBetween(UNBOUNDED, 0))
     return (
-        _attach(cells.withColumn("_in", inside), offsets, [*by, chunk])
-        .withColumn(out, F.coalesce("_in", "_before"))
-        .drop("_v", "_in", "_before")
+        _attach(cells.withColumn("_ord_in", inside), offsets, [*by, chunk])
+        .withColumn(out, F.coalesce("_ord_in", "_ord_before"))
+        .drop("_ord_v", "_ord_in", "_ord_before")
     )
 
 
 def previous(df: DataFrame, by: list[str], chunk: str, position: list[str], value: str, out: str) -> DataFrame:
     """Value of the preceding row in (chunk, position) order; null on the first row."""
     place = F.struct(*[F.col(c) for c in position])
-    ends = df.groupBy(*by, chunk).agg(F.max_by(value, place).alias("_end"))
-    offsets = ends.select(*by, chunk, F.lag("_end").over(_window(by, _asc([chunk]))).alias("_before"))
+    ends = df.groupBy(*by, chunk).agg(F.max_by(value, place).alias("_ord_end"))
+    offsets = ends.select(*by, chunk, F.lag("_ord_end").over(_window(by, _asc([chunk]))).alias("_ord_before"))
     inner = _window([*by, chunk], _asc(position))
-    cells = df.withColumn("_in", F.lag(value).over(inner)).withColumn("_rn", F.row_number().over(inner))
+    cells = df.withColumn("_ord_in", F.lag(value).over(inner)).withColumn("_ord_rn", F.row_number().over(inner))
     return (
         _attach(cells, offsets, [*by, chunk])
-        .withColumn(out, F.when(F.col("_rn") == 1, F.col("_before")).otherwise(F.col("_in")))
-        .drop("_in", "_rn", "_before")
+        .withColumn(out, F.when(F.col("_ord_rn") == 1, F.col("_ord_before")).otherwise(F.col("_ord_in")))
+        .drop("_ord_in", "_ord_rn", "_ord_before")
     )
 
 
@@ -124,20 +124,20 @@ def distinct_ladder(df: DataFrame, value: str, by: list[str] | None = None, rows
     ).otherwise(F.lit(0))
     rungs = counts.join(span, [*by, "_code"]).withColumn("_fine", fine.cast("long")).drop("_span_lo", "_span_hi", "_span_n")
 
-    totals = rungs.groupBy(*by, "_code", "_fine").agg(F.sum("n").alias("_n"))
+    totals = rungs.groupBy(*by, "_code", "_fine").agg(F.sum("n").alias("_ord_n"))
     upto = _window(by, _asc(["_code", "_fine"]))
     whole = Window.partitionBy(*([F.col(c) for c in by] or [F.lit(0)]))
     offsets = totals.select(
         *by, "_code", "_fine",
-        F.coalesce(F.sum("_n").over(upto.rowsBetween(UNBOUNDED, -1)), F.lit(0)).alias("_before"),
-        F.sum("_n").over(whole).alias("total"),
+        F.coalesce(F.sum("_ord_n").over(upto.rowsBetween(UNBOUNDED, -1)), F.lit(0)).alias("_ord_before"),
+        F.sum("_ord_n").over(whole).alias("total"),
     )
     inside = F.sum("n").over(_window([*by, "_code", "_fine"], _asc([value])).rowsBetween(UNBOUNDED, -1))
     return (
-        rungs.withColumn("_in", F.coalesce(inside, F.lit(0)))
+        rungs.withColumn("_ord_in", F.coalesce(inside, F.lit(0)))
         .join(offsets, [*by, "_code", "_fine"])
-        .withColumn("below", F.col("_before") + F.col("_in"))
-        .drop("_before", "_in")
+        .withColumn("below", F.col("_ord_before") + F.col("_ord_in"))
+        .drop("_ord_before", "_ord_in")
     )
 
 
@@ -152,10 +152,10 @@ def with_ranks(df: DataFrame, value: str, by: list[str] | None = None, *, mid: s
         columns.append((first + (F.col("n") + 1) / F.lit(2.0)).alias(mid))
     if low:
         columns.append((first + 1).cast("long").alias(low))
-    ranks = ladder.select(*by, F.col(value).alias("_key"), *columns)
-    keyed = df.withColumn("_key", F.col(value).cast("double"))
+    ranks = ladder.select(*by, F.col(value).alias("_ord_key"), *columns)
+    keyed = df.withColumn("_ord_key", F.col(value).cast("double"))
     # -0.0 and 0.0 are the same value for grouping and joining alike.
-    return keyed.join(ranks, [*by, "_key"], "left").drop("_key")
+    return keyed.join(ranks, [*by, "_ord_key"], "left").drop("_ord_key")
 
 
 def mid_rank(df: DataFrame, value: str, by: list[str] | None = None, out: str = "mid_rank") -> DataFrame:
@@ -167,23 +167,23 @@ def bh_adjust(df: DataFrame, p: str, by: list[str] | None = None, out: str = "pa
     """Benjamini-Hochberg adjusted p-values; nulls stay null and do not count."""
     by = by or []
     adjusted = bh_ladder(distinct_ladder(df, p, by), p, by)
-    side = adjusted.select(*by, F.col(p).alias("_key"), F.col("_padj").alias(out))
-    keyed = df.withColumn("_key", F.col(p).cast("double"))
-    return keyed.join(side, [*by, "_key"], "left").drop("_key")
+    side = adjusted.select(*by, F.col(p).alias("_ord_key"), F.col("_padj").alias(out))
+    keyed = df.withColumn("_ord_key", F.col(p).cast("double"))
+    return keyed.join(side, [*by, "_ord_key"], "left").drop("_ord_key")
 
 
 def bh_ladder(ladder: DataFrame, p: str, by: list[str]) -> DataFrame:
     """Adjusted value per distinct p: suffix minimum of ``p * total / rank``."""
-    step = ladder.withColumn("_q", F.col(p) * F.col("total") / (F.col("below") + F.col("n")))
-    lows = step.groupBy(*by, "_code", "_fine").agg(F.min("_q").alias("_low"))
+    step = ladder.withColumn("_ord_q", F.col(p) * F.col("total") / (F.col("below") + F.col("n")))
+    lows = step.groupBy(*by, "_code", "_fine").agg(F.min("_ord_q").alias("_ord_low"))
     later = _window(by, [F.col("_code").desc(), F.col("_fine").desc()]).rowsBetween(UNBOUNDED, -1)
-    after = lows.select(*by, "_code", "_fine", F.min("_low").over(later).alias("_after"))
+    after = lows.select(*by, "_code", "_fine", F.min("_ord_low").over(later).alias("_ord_after"))
     inner = _window([*by, "_code", "_fine"], [F.col(p).desc()]).rowsBetween(UNBOUNDED, 0)
     return (
-        step.withColumn("_own", F.min("_q").over(inner))
+        step.withColumn("_ord_own", F.min("_ord_q").over(inner))
         .join(after, [*by, "_code", "_fine"])
-        .withColumn("_padj", F.least(F.lit(1.0), "_own", "_after"))
-        .drop("_q", "_own", "_after")
+        .withColumn("_padj", F.least(F.lit(1.0), "_ord_own", "_ord_after"))
+        .drop("_ord_q", "_ord_own", "_ord_after")
     )
 
 
@@ -200,10 +200,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
     inside = lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("n"))
     picked = spots.where(inside(lo) | inside(hi))
     return picked.groupBy(*by, "prob").agg(
-        F.max(F.when(inside(lo), F.col(value))).alias("_a"),
-        F.max(F.when(inside(hi), F.col(value))).alias("_b"),
-        F.max(at - lo).alias("_w"),
-    ).select(*by, "prob", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_w")).alias("quantile"))
+        F.max(F.when(inside(lo), F.col(value))).alias("_ord_a"),
+        F.max(F.when(inside(hi), F.col(value))).alias("_ord_b"),
+        F.max(at - lo).alias("_ord_w"),
+    ).select(*by, "prob", (F.col("_ord_a") + (F.col("_ord_b") - F.col("_ord_a")) * F.col("_ord_w")).alias("quantile"))
 
 
 def exact_median(df: DataFrame, value: str, by: list[str] | None = None, out: str = "median") -> DataFrame:
@@ -227,10 +227,10 @@ def top_k_per_group(df: DataFrame, by: list[str], value: str, key: str, k: int,
     ``k * salts`` rows before it meets in one task.
     """
     order = [F.col(value).desc_nulls_last(), F.col(key).asc()]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)))
-    local = salted.withColumn("_rn", F.row_number().over(_window([*by, "_salt"], order))).where(F.col("_rn") <= k)
-    final = local.withColumn("_rn", F.row_number().over(_window(by, order))).where(F.col("_rn") <= k)
-    return final.withColumnRenamed("_rn", "position").drop("_salt")
+    salted = df.withColumn("_ord_salt", F.pmod(F.xxhash64(key), F.lit(salts)))
+    local = salted.withColumn("_ord_rn", F.row_number().over(_window([*by, "_ord_salt"], order))).where(F.col("_ord_rn") <= k)
+    final = local.withColumn("_ord_rn", F.row_number().over(_window(by, order))).where(F.col("_ord_rn") <= k)
+    return final.withColumnRenamed("_ord_rn", "position").drop("_ord_salt")
 
 
 def sort_nulls_last(df: DataFrame, column: str, *tiebreak: str) -> DataFrame:

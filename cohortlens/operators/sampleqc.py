@@ -6,75 +6,89 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.operators.ordering import exact_median, with_ranks
+from cohortlens.operators.compare import spearman
+from cohortlens.operators.ordering import exact_median, running_total, with_ranks
 from cohortlens.session import materialise
 
-SAMPLES_PER_BLOCK = 64
+# Samples per Gram block: a task keeps one block of 2,048 x 2,048 doubles (32 MB).
+SAMPLES_PER_BLOCK = 2_048
 # Largest Gram matrix that may be read by the driver: 2,000 x 2,000 doubles are 32 MB.
 DRIVER_GRAM_SAMPLES = 2_000
 
 
 def sample_index(long: DataFrame, sample: str) -> DataFrame:
-    """Dense 0-based index of the distinct samples in id order."""
+    """Dense 0-based index of the distinct samples."""
     ids = long.select(sample).distinct()
-    from cohortlens.operators.ordering import running_total
-
     keyed = ids.withColumn("chunk", F.substring(F.sha2(F.col(sample).cast("string"), 256), 1, 2))
     numbered = running_total(keyed, [], "chunk", [sample], F.lit(1), "_i")
     return numbered.select(sample, (F.col("_i") - 1).cast("int").alias("idx"))
 
 
-def _block_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sum of outer products per block pair over all rows of a partition."""
-    sums: dict[tuple[int, int], np.ndarray] = {}
-    for batch in batches:
-        for (bi, bj), rows in batch.groupby(["bi", "bj"], sort=False):
-            left = np.stack(rows["left"].to_numpy())
-            right = np.stack(rows["right"].to_numpy())
-            product = left.T @ right
-            key = (int(bi), int(bj))
-            sums[key] = sums[key] + product if key in sums else product
-    for (bi, bj), m in sums.items():
-        i, j = np.nonzero(np.ones_like(m, dtype=bool))
-        yield pd.DataFrame({
-            "i": i + bi * SAMPLES_PER_BLOCK, "j": j + bj * SAMPLES_PER_BLOCK, "v": m[i, j],
-        })
-
-
-def gram(long: DataFrame, feature: str, sample: str, value: str) -> DataFrame:
+def _dense(cells: pd.Series, first: int, width: int) -> np.ndarray:
+    """Rows of (index, value) cells as a dense matrix over one block of samples."""
+    x = np.zeros((len(cells), width))
+    for row, entries in enumerate(cells):
+        if len(entries["idx"]):
+            at = np.asarray(entries["idx"]) - first
+            inside = (at >= 0) & (at < width)
+            x[row, at[inside]] = np.asarray(entries["v"])[inside]
+    return x
+
+
+def _block_products(block: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for (bi, bj), rows in batch.groupby(["bi", "bj"], sort=False):
+                left = _dense(rows["cells"], bi * block, block)
+                right = left if bi == bj else _dense(rows["cells"], bj * block, block)
+                product = left.T @ right
+                key = (int(bi), int(bj))
+                sums[key] = sums[key] + product if key in sums else product
+        for (bi, bj), m in sums.items():
+            i, j = np.nonzero(np.triu(np.ones_like(m, dtype=bool)) if bi == bj else np.ones_like(m, dtype=bool))
+            yield pd.DataFrame({"i": i + bi * block, "j": j + bj * block, "v": m[i, j]})
+
+    return run
+
+
+def gram(long: DataFrame, feature: str, sample: str, value: str, samples_per_block: int = SAMPLES_PER_BLOCK) -> DataFrame:
     """``sum over features of x_i * x_j`` for every sample pair ``i <= j``; absent cells count zero.
 
-    Each feature row is cut into blocks of samples, and partial products are
-    summed inside a task with numpy before one small shuffle, instead of a
-    self-join that would emit every sample pair of every feature.  With up to
-    ``SAMPLES_PER_BLOCK`` samples there is one block pair per feature.
+    One shuffle brings the cells of a feature together (one per sample), tasks
+    multiply batches of feature rows with numpy, and their partial matrices are
+    summed by a second, small shuffle.  A self-join would instead emit every
+    sample pair of every feature.  More samples than one block holds are split
+    into block pairs, spread over the tasks.
     """
-    index = sample_index(long, sample)
-    cells = long.join(index, sample).withColumns({
-        "block": F.floor(F.col("idx") / SAMPLES_PER_BLOCK).cast("int"),
-        "slot": (F.col("idx") % SAMPLES_PER_BLOCK).cast("int"),
-    })
-    blocks = cells.groupBy(feature, "block").agg(
-        F.map_from_entries(F.collect_list(F.struct("slot", F.col(value).cast("double").alias("v")))).alias("m")
-    ).select(
-        feature, "block",
-        F.transform(F.sequence(F.lit(0), F.lit(SAMPLES_PER_BLOCK - 1)),
-                    lambda s: F.coalesce(F.try_element_at("m", s), F.lit(0.0))).alias("x"),
-    )
-    left = blocks.select(feature, F.col("block").alias("bi"), F.col("x").alias("left"))
-    right = blocks.select(feature, F.col("block").alias("bj"), F.col("x").alias("right"))
-    paired = left.join(right, feature).where(F.col("bi") <= F.col("bj")).select("bi", "bj", "left", "right")
-    parts = paired.mapInPandas(_block_products, "i long, j long, v double")
-    sums = parts.where(F.col("i") <= F.col("j")).groupBy("i", "j").agg(F.sum("v").alias("dot"))
+    index = materialise(sample_index(long, sample))
+    n = index.count()
+    width = min(n, samples_per_block)
+    blocks = -(-n // samples_per_block) if n else 1
+    rows = long.join(index, sample).groupBy(feature).agg(
+        F.sort_array(F.collect_list(F.struct("idx", F.col(value).cast("double").alias("v")))).alias("_c")
+    ).select(feature, F.struct(F.col("_c.idx").alias("idx"), F.col("_c.v").alias("v")).alias("cells"))
+    pairs = F.array(*[F.struct(F.lit(i).alias("bi"), F.lit(j).alias("bj")) for i in range(blocks) for j in range(i, blocks)])
+    spread = rows.select(feature, "cells", F.explode(pairs).alias("p")).select(feature, "p.bi", "p.bj", "cells")
+    if blocks > 1:
+        spread = spread.repartition("bi", "bj", F.pmod(F.xxhash64(feature), F.lit(16)))
+    parts = spread.select("bi", "bj", "cells").mapInPandas(_block_products(width), "i long, j long, v double")
+    sums = parts.where((F.col("i") < n) & (F.col("j") < n)).groupBy("i", "j").agg(F.sum("v").alias("dot"))
     names = lambda side, out: index.select(F.col("idx").cast("long").alias(side), F.col(sample).alias(out))
     return sums.join(names("i", "sample_i"), "i").join(names("j", "sample_j"), "j").select(
         "sample_i", "sample_j", "dot"
     )
 
 
+def centre_by_feature(long: DataFrame, feature: str, sample: str, value: str) -> DataFrame:
+    """Values less their feature mean, checkpointed; a feature has one row per sample."""
+    mean = F.avg(value).over(Window.partitionBy(feature))
+    return materialise(long.select(feature, sample, (F.col(value) - mean).alias("_c")))
+
+
 def pairwise_samples(long: DataFrame, feature: str, sample: str) -> DataFrame:
     """Number of shared features of each sample pair ``s1 < s2``."""
     present = long.select(feature, sample).distinct().withColumn("_one", F.lit(1.0))
@@ -89,9 +103,7 @@ def sample_distances(long: DataFrame, feature: str, sample: str, value: str) ->
     Values are centred per feature first, which leaves distances unchanged and
     avoids cancellation.
     """
-    means = long.groupBy(feature).agg(F.avg(value).alias("_m"))
-    centred = long.join(means, feature).withColumn("_c", F.col(value) - F.col("_m"))
-    dots = gram(centred, feature, sample, "_c")
+    dots = materialise(gram(centre_by_feature(long, feature, sample, value), feature, sample, "_c"))
     own = dots.where(F.col("sample_i") == F.col("sample_j"))
     norm = lambda side, out: own.select(F.col("sample_i").alias(side), F.col("dot").alias(out))
     pairs = dots.where(F.col("sample_i") != F.col("sample_j")).join(norm("sample_i", "_ni"), "sample_i").join(
@@ -118,11 +130,9 @@ def sample_pca(long: DataFrame, feature: str, sample: str, value: str, k: int =
     driver.  Beyond that the leading axes come from subspace iteration, in which
     each product with the data is a Spark join and aggregate.
     """
-    n = long.select(sample).distinct().count()
-    means = long.groupBy(feature).agg(F.avg(value).alias("_m"))
-    centred = long.join(means, feature).select(feature, sample, (F.col(value) - F.col("_m")).alias("_c"))
-    if n > driver_samples:
-        return _subspace_pca(materialise(centred), feature, sample, k)
+    centred = centre_by_feature(long, feature, sample, value)
+    if centred.select(sample).distinct().count() > driver_samples:
+        return _subspace_pca(centred, feature, sample, k)
     table = gram(centred, feature, sample, "_c").toPandas()
     ids = sorted(set(table["sample_i"]) | set(table["sample_j"]))
     at = {s: i for i, s in enumerate(ids)}
@@ -224,8 +234,6 @@ def influence_counts(long: DataFrame, sample: str, value: str, cutoff: float) ->
 
 def qc_correlations(points: DataFrame, axes: Sequence[str], metrics: Sequence[str], by: list[str]) -> DataFrame:
     """Spearman correlation of every axis with every metric, in one stacked pass."""
-    from cohortlens.operators.compare import spearman
-
     cells = F.array(*[
         F.struct(F.lit(a).alias("axis"), F.lit(m).alias("metric"),
                  F.col(a).cast("double").alias("x"), F.col(m).cast("double").alias("y"))
