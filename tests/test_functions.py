@@ -26,7 +26,7 @@ def test_text_cuts(spark):
     assert one(spark, "k = a=b ", X.after_first("s", "=")) == "a=b"
     assert one(spark, "none", X.after_first("s", "=")) == ""
     assert one(spark, "http://x/y/SAMN1 ", X.after_last("s", "/")) == "SAMN1"
-    assert one(spark, " A b ", X.normalise_value("s")) == "A b"
+    assert one(spark, " A\u00a0b ", X.normalise_value("s")) == "A b"
     assert one(spark, " PSA Level ", X.normalise_key("s")) == "psa level"
     assert one(spark, "Phase 1: a\nPhase 2: b", X.regex_last("s", r"Phase\s+[1-9]:[^<\n]+")) == "Phase 2: b"
     assert one(spark, "no", X.regex_last("s", "z")) == ""
