@@ -326,7 +326,7 @@ def nb_wald_test(genes: DataFrame, design: Design, coefficient: str, trend: Tren
             line = trend.a1 / mean + trend.a0
             shrunk, outlier, alpha = _shrink(k, nf, x, gene, line, prior, cell_means)
             result = nbfit.irls(k, nf, x, alpha)
-            influence = nbfit.cooks(k, result, alpha, p)
+            influence = nbfit.cooks(k, result, nbfit.robust_dispersion(k / nf, x), p)
             beta, se, converged = result["beta"][:, at], result["se"][:, at], result["converged"]
 
             # Refit genes with an influential count in a well-replicated cell.

@@ -198,6 +198,36 @@ def cooks(k: np.ndarray, fit: dict[str, np.ndarray], alpha: np.ndarray, p: int)
     return r2 / p * h / (1.0 - h) ** 2
 
 
+# Fixed values of the trimmed variance: (largest cell size, share trimmed at either end, factor
+# that makes the trimmed mean of squares unbiased for normal data).
+TRIMMED_VARIANCE = ((3, 1 / 3, 2.04), (23, 1 / 4, 1.86), (10**9, 1 / 8, 1.51))
+ROBUST_MIN_DISP = 0.04
+
+
+def robust_dispersion(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Moment dispersion from trimmed variances, which an outlying count cannot inflate.
+
+    Variances are taken within design cells of three or more replicates (the
+    largest one counts), or over all samples when no cell is that large.
+    """
+    _, cell = np.unique(x, axis=0, return_inverse=True)
+    cell = np.ravel(cell)
+    large = [c for c in np.unique(cell) if (cell == c).sum() >= 3]
+    if large:
+        variance = np.max([_trimmed_variance(q[:, cell == c]) for c in large], axis=0)
+    else:
+        center = trimmed_mean(q, 1 / 8)
+        variance = 1.51 * trimmed_mean((q - center[:, None]) ** 2, 1 / 8)
+    mean = np.maximum(q.mean(axis=1), 1e-300)
+    return np.maximum((variance - mean) / mean**2, ROBUST_MIN_DISP)
+
+
+def _trimmed_variance(q: np.ndarray) -> np.ndarray:
+    trim, factor = next((t, f) for size, t, f in TRIMMED_VARIANCE if q.shape[1] <= size)
+    center = trimmed_mean(q, trim)
+    return factor * trimmed_mean((q - center[:, None]) ** 2, trim)
+
+
 def design_cells(x: np.ndarray) -> np.ndarray:
     """Replicates of each sample: samples with the same design row."""
     _, inverse, counts = np.unique(x, axis=0, return_inverse=True, return_counts=True)
