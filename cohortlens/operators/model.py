@@ -145,7 +145,10 @@ def gene_arrays(factors: DataFrame, design: Design) -> DataFrame:
     """
     spark = factors.sparkSession
     order = spark.createDataFrame(list(enumerate(design.samples)), "_i int, sample_id string")
-    cells = factors.join(order, "sample_id").groupBy("gene_id").agg(
+    # The fits are heavy per row, so the gene partitioning keeps its full width (AQE would
+    # coalesce by bytes); the aggregate reuses it.
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cells = factors.join(order, "sample_id").repartition(width, "gene_id").groupBy("gene_id").agg(
         F.array_sort(F.collect_list(F.struct("_i", "count", "nf"))).alias("_c")
     )
     return cells.select(

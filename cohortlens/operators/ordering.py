@@ -188,20 +188,38 @@ def bh_ladder(ladder: DataFrame, p: str, by: list[str]) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation: rows ``(by, prob, quantile)``."""
+    """Exact quantiles with linear interpolation: rows ``(by, prob, quantile)``.
+
+    A histogram over value codes (a few thousand rows at most) tells which code
+    holds each wanted rank; only the rows of these codes, a small share of the
+    data, are then ordered.
+    """
     by = by or []
-    ladder = distinct_ladder(df, value, by)
-    prob = F.explode(F.array(*[F.lit(float(q)) for q in probs])).alias("prob")
-    # A value answers the ranks [below, below + n); a quantile needs ranks lo and lo + 1.
-    spots = ladder.select(*by, value, "below", "n", "total", prob)
-    at = F.col("prob") * (F.col("total") - 1)
+    raw = df.select(*by, F.col(value).cast("double").alias(value))
+    keyed = raw.where(F.col(value).isNotNull() & ~F.isnan(value)).withColumn("_pick", value_code(F.col(value)))
+    histogram = keyed.groupBy(*by, "_pick").agg(F.count(F.lit(1)).alias("_ord_n"))
+    whole = Window.partitionBy(*([F.col(c) for c in by] or [F.lit(0)]))
+    placed = histogram.select(
+        *by, "_pick", "_ord_n",
+        F.coalesce(F.sum("_ord_n").over(_window(by, _asc(["_pick"])).rowsBetween(UNBOUNDED, -1)), F.lit(0)).alias("_ord_before"),
+        F.sum("_ord_n").over(whole).alias("_ord_total"),
+    )
+    # The quantile at prob lies between the ranks lo and lo + 1, counted from 0.
+    at = F.col("prob") * (F.col("_ord_total") - 1)
     lo = F.floor(at)
-    hi = F.least(lo + 1, F.col("total") - 1)
-    inside = lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("n"))
-    picked = spots.where(inside(lo) | inside(hi))
-    return picked.groupBy(*by, "prob").agg(
-        F.max(F.when(inside(lo), F.col(value))).alias("_ord_a"),
-        F.max(F.when(inside(hi), F.col(value))).alias("_ord_b"),
+    hi = F.least(lo + 1, F.col("_ord_total") - 1)
+    prob = F.explode(F.array(*[F.lit(float(q)) for q in probs])).alias("prob")
+    within = lambda rank, start, n: (rank >= start) & (rank < start + n)
+    in_code = lambda rank: within(rank, F.col("_ord_before"), F.col("_ord_n"))
+    wanted = placed.select("*", prob).where(in_code(lo) | in_code(hi)).drop("_ord_n")
+    codes = wanted.select(*by, "_pick").distinct()
+    rows = keyed.join(codes, [*by, "_pick"])
+    ladder = distinct_ladder(rows, value, [*by, "_pick"]).join(wanted, [*by, "_pick"])
+    start = F.col("_ord_before") + F.col("below")
+    hit = lambda rank: within(rank, start, F.col("n"))
+    return ladder.where(hit(lo) | hit(hi)).groupBy(*by, "prob").agg(
+        F.max(F.when(hit(lo), F.col(value))).alias("_ord_a"),
+        F.max(F.when(hit(hi), F.col(value))).alias("_ord_b"),
         F.max(at - lo).alias("_ord_w"),
     ).select(*by, "prob", (F.col("_ord_a") + (F.col("_ord_b") - F.col("_ord_a")) * F.col("_ord_w")).alias("quantile"))
 
