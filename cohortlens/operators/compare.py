@@ -198,17 +198,26 @@ def marker_consistency(markers: DataFrame, results: DataFrame, key: str, contras
     )
 
 
+# Category names of the discordance table, in order of precedence.
+ABSENT = "absent_from_our_nonzero_gene_universe"
+NO_P = "our_raw_p_unavailable"
+NO_PADJ = "our_BH_padj_unavailable"
+NOMINAL_ONLY = "our_nominal_p_below_0.05_but_BH_not"
+NOT_NOMINAL = "our_not_significant_nominal"
+SIGNIFICANT = "our_significant"
+
+
 def discordance_category(df: DataFrame, present: Column, p: str, padj: str, out: str = "category") -> DataFrame:
     """Why a published id is not significant here: the first reason that applies."""
     pv, adj = F.col(p), F.col(padj)
     return df.withColumn(
         out,
-        F.when(~present, "absent_from_our_nonzero_gene_universe")
-        .when(pv.isNull(), "our_raw_p_unavailable")
-        .when(adj.isNull(), "our_BH_padj_unavailable")
-        .when((adj >= 0.05) & (pv < 0.05), "our_nominal_p_below_0.05_but_BH_not")
-        .when(adj >= 0.05, "our_not_significant_nominal")
-        .otherwise("our_significant"),
+        F.when(~present, ABSENT)
+        .when(pv.isNull(), NO_P)
+        .when(adj.isNull(), NO_PADJ)
+        .when((adj >= 0.05) & (pv < 0.05), NOMINAL_ONLY)
+        .when(adj >= 0.05, NOT_NOMINAL)
+        .otherwise(SIGNIFICANT),
     )
 
 

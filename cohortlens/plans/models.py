@@ -108,17 +108,18 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(M.dispersion_map(genes, design, trend, prior))
 
 
-def contrast_b(spark: SparkSession, sf: str) -> M.Contrast:
+def contrast_b(spark: SparkSession, sf: str, cells: DataFrame | None = None) -> M.Contrast:
     design = M.local_design(design_b(spark, sf), "sample_id")
-    return M.differential(factors(spark, sf), design, "condition_tumor")
+    return M.differential(factors(spark, sf) if cells is None else cells, design, "condition_tumor")
 
 
 @query("m9_nb_wald_test")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """Both designs of the study in one table."""
     design = M.local_design(design_a(spark, sf), "sample_id")
-    a = M.differential(factors(spark, sf), design, "grp_tumor").result.withColumn("track", F.lit("A"))
-    b = contrast_b(spark, sf).result.withColumn("track", F.lit("B"))
+    cells = materialise(factors(spark, sf))
+    a = M.differential(cells, design, "grp_tumor").result.withColumn("track", F.lit("A"))
+    b = contrast_b(spark, sf, cells).result.withColumn("track", F.lit("B"))
     keep = ["track", "gene_id", "base_mean", "lfc", "lfc_se", "stat", "pvalue", "padj", "tested", "significant"]
     return rounded(a.unionByName(b).select(*keep))
 

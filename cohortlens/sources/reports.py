@@ -17,16 +17,23 @@ def read_binary(spark: SparkSession, paths: str | Sequence[str], glob: str = "*"
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths)
 
 
+LINES_PER_FRAME = 20_000
+
+
 def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    frame = lambda rows: pd.DataFrame(rows, columns=["path", "member", "seq", "line"])
+    rows: list[tuple[str, str, int, str]] = []
     for batch in batches:
-        frames = []
         for path, content in zip(batch["path"], batch["content"]):
             with zipfile.ZipFile(io.BytesIO(content)) as archive:
                 for member in archive.namelist():
                     lines = archive.read(member).decode("utf-8").splitlines()
                     name = member.rsplit("/", 1)[-1]
-                    frames.extend((path, name, seq, line) for seq, line in enumerate(lines))
-        yield pd.DataFrame(frames, columns=["path", "member", "seq", "line"])
+                    rows.extend((path, name, seq, line) for seq, line in enumerate(lines))
+                    if len(rows) >= LINES_PER_FRAME:
+                        yield frame(rows)
+                        rows = []
+    yield frame(rows)
 
 
 def archive_lines(files: DataFrame, lines_per_chunk: int = 4096) -> DataFrame:
