@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # 64 steps per power of two; the shift keeps codes of positive values positive
-# over the whole exponent range of a double.
+# over the whole exponent range of a double; infinities lie beyond all of them.
 _STEPS_PER_OCTAVE = 64
 _CODE_SHIFT = 80_000
+_CODE_INFINITE = 1_000_000
 
 UNBOUNDED = Window.unboundedPreceding
 
@@ -93,8 +94,12 @@ def previous(df: DataFrame, by: list[str], chunk: str, position: list[str], valu
 
 
 def value_code(x: Column) -> Column:
-    """Monotone integer code of a finite double: sign, octave and 1/64 octave."""
-    step = F.floor(F.log2(F.abs(x)) * F.lit(_STEPS_PER_OCTAVE)) + F.lit(_CODE_SHIFT)
+    """Monotone integer code of a double: sign, octave and 1/64 octave."""
+    size = F.abs(x)
+    finite = F.when(size < F.lit(float("inf")), size)
+    step = F.coalesce(
+        F.floor(F.log2(finite) * F.lit(_STEPS_PER_OCTAVE)) + F.lit(_CODE_SHIFT), F.lit(_CODE_INFINITE)
+    )
     return F.when(x > 0, step).when(x < 0, -step).otherwise(F.lit(0)).cast("long")
 
 

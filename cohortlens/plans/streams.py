@@ -42,7 +42,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     feed, out, state = (scratch_path(spark, n) for n in ("feed", "status", "state"))
     stage_items(spark, sf).write.parquet(feed)
     source = spark.readStream.schema(spark.read.parquet(feed).schema).option("maxFilesPerTrigger", 4).parquet(feed)
-    S.run_available_upsert(S.stage_status(source), ["stage"], "latest_ts", out, state).awaitTermination()
+    S.run_available_upsert(S.stage_status(source), out, state).awaitTermination()
     return _shape(S.latest_rows(spark.read.parquet(out), ["stage"]))
 
 

@@ -68,7 +68,7 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
     )
 
 
-def run_available_upsert(stream: DataFrame, keys: list[str], order: str, path: str, checkpoint: str) -> StreamingQuery:
+def run_available_upsert(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Update-mode results, each batch written under its own number; ``latest_rows`` reads the last per key."""
     def write(batch: DataFrame, number: int) -> None:
         # Overwriting the folder of this batch makes a repeated batch harmless.

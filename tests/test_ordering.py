@@ -106,3 +106,11 @@ def test_top_k_per_group_breaks_ties_by_key(spark):
     df = spark.createDataFrame([("g", i, float(i % 3)) for i in range(30)], "g string, id int, v double")
     got = sorted((r["position"], r["id"]) for r in O.top_k_per_group(df, ["g"], "v", "id", 4, salts=5).collect())
     assert got == [(1, 2), (2, 5), (3, 8), (4, 11)]
+
+
+def test_extreme_values_keep_their_order(spark):
+    inf = float("inf")
+    values = [-inf, -1e308, -1.0, -5e-324, 0.0, 5e-324, 1e-300, 1.0, 1.0000001, 1e308, inf, inf]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, x double")
+    got = [(r["id"], r["low"]) for r in O.with_ranks(df, "x", low="low").orderBy("id").collect()]
+    assert got == [(i, min(i, 10) + 1) for i in range(12)]

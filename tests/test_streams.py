@@ -36,7 +36,7 @@ def test_status_stream_equals_static(spark, tmp_path):
     feed, out = str(tmp_path / "feed"), str(tmp_path / "out")
     items.repartition(5).write.parquet(feed)
     source = spark.readStream.schema(items.schema).option("maxFilesPerTrigger", 2).parquet(feed)
-    S.run_available_upsert(S.stage_status(source), ["stage"], "latest_ts", out, str(tmp_path / "state")).awaitTermination()
+    S.run_available_upsert(S.stage_status(source), out, str(tmp_path / "state")).awaitTermination()
     latest = S.latest_rows(spark.read.parquet(out), ["stage"])
     static = S.stage_status(items)
     assert rows(latest.select(*static.columns)) == rows(static)
