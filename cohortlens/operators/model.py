@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators import nbfit
 from cohortlens.operators.ordering import bh_adjust, distinct_ladder, exact_median, exact_quantiles
-from cohortlens.session import materialise
+from cohortlens.session import broadcast_if_small, materialise
 
 
 # --- design ---------------------------------------------------------------
@@ -122,7 +122,7 @@ def norm_factors(genes: DataFrame) -> DataFrame:
         .withColumn("_n", F.exp(log_length - per_gene(F.avg(log_length))))
         .withColumn("_kn", F.col("count") / F.col("_n"))
     )
-    sized = size_factors(centred, "_kn")
+    sized = broadcast_if_small(size_factors(centred, "_kn"))
     product = centred.join(sized, "sample_id").withColumn("_ns", F.ln(F.col("_n") * F.col("size_factor")))
     return product.withColumn("nf", F.exp(F.col("_ns") - per_gene(F.avg("_ns")))).drop("_n", "_kn", "_ns", "size_factor")
 

@@ -39,7 +39,8 @@ def quant(spark: SparkSession, sf: str) -> DataFrame:
     )
     lengths = reads.join(part, "feature_id").withColumn("_x", F.col("num_reads") / F.col("eff_len"))
     totals = lengths.groupBy("_s").agg(F.sum("_x").alias("_sx"))
-    return lengths.join(totals, "_s").select(
+    # One row per sample, so at most N_SAMPLES rows: a broadcast saves shuffling all features by sample.
+    return lengths.join(F.broadcast(totals), "_s").select(
         text_id("S", F.col("_s"), 2).alias("sample_id"), "feature_id", "eff_len",
         (F.lit(1e6) * F.col("_x") / F.col("_sx")).alias("tpm"), "num_reads",
     )

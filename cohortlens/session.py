@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_FALLBACK: dict[str, str] = {}
 
@@ -58,3 +59,12 @@ def materialise(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Checkpoint a narrow side of a join and broadcast it if its counted rows are few.
+
+    A longer side is returned as it is, and the join shuffles.
+    """
+    stored = materialise(df)
+    return F.broadcast(stored) if stored.count() <= max_rows else stored
