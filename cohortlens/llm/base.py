@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -39,6 +40,11 @@ class Scratch:
         self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def free(self) -> None:
+        """Let Spark's cleaner remove shuffle files of finished steps; it acts when the driver collects garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, keep: int = 1) -> None:
         """Delete all stored tables but the last ``keep``."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
