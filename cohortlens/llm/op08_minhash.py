@@ -11,7 +11,7 @@ Candidates are confirmed on the full shingle sets of the texts.
 
 Only components are asked for, so candidates are not expanded into all pairs.
 Each list offers its members to two centres; members with enough collisions form
-families.  A family is compared inside tasks, in pairs of blocks of ``BLOCK``
+families.  A family is compared inside tasks, in pairs of blocks of
 documents, and only links between parts that are not joined yet leave the task.
 Pairs of different families, which no centre has brought together, are taken from
 the lists as they are; so every pair above the threshold is confirmed or already
@@ -28,30 +28,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm.base import Scratch, byte_column, chunks, components, mix, shingles, table, word_hashes
+from cohortlens.llm.base import Scratch, chunks, components, mix, shingles, table, word_hashes
+from cohortlens.llm.families import Rule, links
 from cohortlens.llm.registry import query
 
-N_COORDINATES = 64
 #: Links have at least 85 in 100 shingles in common, so 54.4 +- 2.9 of 64 coordinates; below 40 with a probability near 1e-6.
-MIN_MATCHES = 40
-NUMERATOR, DENOMINATOR = 85, 100
-CENTRES = 2
-#: Documents of a family that one task compares with as many others.
-BLOCK = 256
-
-_A = mix(np.arange(1, N_COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
-_B = mix(np.arange(1001, N_COORDINATES + 1001, dtype=np.uint64))
-_SLICE = 4096
-
-
-def _signature(items: np.ndarray) -> np.ndarray:
-    low = np.full(N_COORDINATES, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(items), _SLICE):
-        np.minimum(low, (items[i:i + _SLICE, None] * _A + _B).min(axis=0), out=low)
-    return (low >> np.uint64(32)).astype(np.uint32).view(np.int32)
+RULE = Rule(coordinates=64, min_matches=40, numerator=85)
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,7 +52,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     signatures.append(None)
                     continue
                 prints.append(np.array([items.sum(), np.bitwise_xor.reduce(mix(items))], np.uint64).tobytes())
-                signatures.append(_signature(items))
+                signatures.append(RULE.signature(items))
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id").slice(first, end - first),
                 "n_shingles": pa.array(sizes, pa.int64()),
@@ -76,51 +61,6 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             })
 
 
-def _joined(signatures: np.ndarray, sets: list[np.ndarray], left: int | None) -> list[tuple[int, int]]:
-    """Links that join the documents of a block, or of its first ``left`` rows with the others, as far as they are alike."""
-    n = len(sets)
-    root = np.arange(n)
-    links = []
-    sizes = np.array([len(s) for s in sets])
-    for i in range(n - 1 if left is None else left):
-        others = np.arange(i + 1, n) if left is None else np.arange(left, n)
-        others = others[root[others] != root[i]]
-        small, large = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
-        others = others[DENOMINATOR * small >= NUMERATOR * large]
-        others = others[(signatures[others] == signatures[i]).sum(axis=1) >= MIN_MATCHES]
-        for j in others.tolist():
-            if root[i] == root[j]:
-                continue
-            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if DENOMINATOR * common >= NUMERATOR * (sizes[i] + sizes[j] - common):
-                links.append((i, j))
-                root[root == root[j]] = root[i]
-    return links
-
-
-_LINKS = "u long, v long"
-
-
-def _compare(rows: pa.Table) -> pa.Table:
-    """Links inside the families, or between the two blocks, of a bucket."""
-    rows = rows.sort_by([("family", "ascending"), ("i", "ascending"), ("j", "ascending"), ("side", "ascending"), ("doc", "ascending")])
-    keys = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("family", "i", "j")])
-    edges = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0))) if len(rows) else np.zeros(0, np.int64)
-    docs, side = rows.column("doc").to_numpy(), rows.column("side").to_numpy()
-    signatures = rows.column("signature").combine_chunks().flatten().to_numpy().reshape(len(rows), N_COORDINATES)
-    data, bounds = byte_column(rows.column("text"))
-    u, v = [], []
-    for a, b in zip(edges, np.append(edges[1:], len(rows)), strict=True):
-        part = data[bounds[a]:bounds[b]]
-        hashes, starts = word_hashes(part, bounds[a:b + 1] - bounds[a])
-        sets = [shingles(hashes[starts[k]:starts[k + 1]]) for k in range(b - a)]
-        one = keys[1, a] == keys[2, a]
-        for x, y in _joined(signatures[a:b], sets, None if one else int((side[a:b] == 0).sum())):
-            u.append(docs[a + x])
-            v.append(docs[a + y])
-    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
-
-
 def _postings(representatives: DataFrame) -> DataFrame:
     """(doc, key) of the prefix lists of each document that can have a partner."""
     posted = representatives.select("doc", F.posexplode("signature").alias("at", "value")).select(
@@ -129,30 +69,11 @@ def _postings(representatives: DataFrame) -> DataFrame:
     found = posted.join(lengths, "key")
     # At most one row per coordinate and document, so the arrays are short.
     ordered = found.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("length", "key"))).alias("lists")).where(
-        F.size("lists") >= MIN_MATCHES)
-    return ordered.select("doc", F.explode(F.slice("lists", F.lit(1), F.size("lists") - (MIN_MATCHES - 1))).alias("x")).select(
+        F.size("lists") >= RULE.min_matches)
+    return ordered.select("doc", F.explode(F.slice("lists", F.lit(1), F.size("lists") - (RULE.min_matches - 1))).alias("x")).select(
         "doc", F.col("x.key").alias("key"))
 
 
-def _matches(a: str, b: str) -> Column:
-    equal = F.zip_with(a, b, lambda x, y: (x == y).cast("int"))
-    return F.aggregate(equal, F.lit(0), lambda s, x: s + x)
-
-
-def _in_blocks(members: DataFrame, buckets: int) -> DataFrame:
-    """Links inside families; members: doc, family, signature, text."""
-    sizes = members.groupBy("family").agg(F.count("*").alias("size")).where("size > 1")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
-    placed = members.join(sizes.withColumn("blocks", blocks), "family").withColumn("own", own)
-    # A block meets every block of its family once; a family of one block is compared as it is.
-    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "family", "doc", "text", "signature", "blocks",
-        F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    bucket = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), F.lit(buckets))).otherwise(F.xxhash64("family", "i", "j"))
-    return spread.withColumn("bucket", bucket).drop("blocks").groupBy("bucket").applyInArrow(_compare, _LINKS)
-
-
 def near_duplicates(docs: DataFrame, name: str = "minhash") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable), kept (doc_id = component_id)."""
     spark = docs.sparkSession
@@ -164,32 +85,8 @@ def near_duplicates(docs: DataFrame, name: str = "minhash") -> DataFrame:
     representatives = scratch.store(classes.join(signed, ["doc", "print"]).dropDuplicates(["doc", "print"]).select("doc", "signature"))
     prefix = scratch.store(_postings(representatives))
 
-    # Members of a list against its centres: at most CENTRES pairs for a posting.
-    centres = prefix.groupBy("key").agg(*[
-        F.min(F.struct(F.xxhash64(F.lit(c), F.col("doc")).alias("order"), F.col("doc").alias("doc"))).alias(f"c{c}") for c in range(CENTRES)])
-    offered = prefix.join(centres, "key").select("doc", F.explode(F.array(*[F.col(f"c{c}.doc") for c in range(CENTRES)])).alias("centre"))
-    pairs = offered.where("doc != centre").select(F.greatest("doc", "centre").alias("u"), F.least("doc", "centre").alias("v")).distinct()
-    side = {s: representatives.select(F.col("doc").alias(s), F.col("signature").alias(f"signature_{s}")) for s in "uv"}
-    alike = pairs.join(side["u"], "u").join(side["v"], "v").where(_matches("signature_u", "signature_v") >= MIN_MATCHES).select("u", "v")
-    families = components(scratch, alike).select(F.col("node").alias("doc"), F.col("component").alias("family"))
-
-    # Lists that still hold several families: their pairs of different families, counted on the signatures.
-    labelled = scratch.store(prefix.join(families, "doc", "left").withColumn("family", F.coalesce("family", "doc")))
-    mixed = labelled.groupBy("key").agg(F.min("family").alias("low"), F.max("family").alias("high")).where("low != high").select("key")
-    open_lists = labelled.join(mixed, "key").join(representatives, "doc")
-    other = open_lists.select("key", F.col("doc").alias("v"), F.col("family").alias("family_v"), F.col("signature").alias("signature_v"))
-    apart = open_lists.join(other, "key").where((F.col("doc") > F.col("v")) & (F.col("family") != F.col("family_v")) & (
-        _matches("signature", "signature_v") >= MIN_MATCHES)).select(F.col("doc").alias("u"), "v").distinct()
-    apart = scratch.store(apart)
-
-    members = families.unionByName(apart.select(F.explode(F.array("u", "v")).alias("doc"), F.concat(F.lit("p"), "u", F.lit(":"), "v").alias("family")).select(
-        "doc", F.xxhash64("family").alias("family")))
-    wanted = scratch.store(members.join(representatives, "doc"))
-    texts = docs.select(F.col("doc_id").alias("doc"), "text").where("text is not null").join(wanted.select("doc").distinct(), "doc")
-    buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = scratch.store(_in_blocks(wanted.join(texts, "doc"), buckets))
-
-    grown = components(scratch, links).withColumnRenamed("node", "doc")
+    texts = docs.select(F.col("doc_id").alias("doc"), "text")
+    grown = components(scratch, links(RULE, scratch, prefix, representatives, texts)).withColumnRenamed("node", "doc")
     named = classes.join(grown, "doc", "left").select("print", F.coalesce("component", "doc").alias("component"))
     out = features.select("doc_id", "n_shingles", "print").join(named, "print", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
