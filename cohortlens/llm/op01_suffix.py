@@ -310,7 +310,7 @@ def remove_repeats(docs: DataFrame, name: str = "suffix") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every document."""
     spark = docs.sparkSession
     scratch = Scratch(spark, name)
-    n_buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions")) + 1
+    n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) + 1
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = texts.where("doc_id is not null and octet_length(text) >= 50").mapInArrow(_anchors(n_buckets), _PACKED)
     routed = scratch.store(found.groupBy("bucket").applyInArrow(_repeats(n_buckets), _ROUTED))

@@ -113,7 +113,7 @@ def _with_context(text: Column, spans: Column) -> Column:
     return F.transform(spans, lambda s: F.struct(
         s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.xxhash64(s["value"]).alias("value"),
         F.regexp_extract(left(s), r"(\S+\s+\S+)\s*$", 1).alias("two"),
-        F.concat(F.regexp_extract(left(s), before, 1), F.lit(" _ "), F.regexp_extract(right(s), r"^\S*\s+(\S+)", 1)).alias("around")))
+        F.concat(F.regexp_extract(left(s), before, 1), F.lit(" _ "), F.regexp_extract(right(s), r"^\S*\s+([^\s.,;:!?]+)", 1)).alias("around")))
 
 
 def extract(docs: DataFrame, scratch: Scratch, row: Column | None = None) -> DataFrame:
