@@ -61,13 +61,13 @@ def order_as(df: DataFrame, order: DataFrame, key: str, ordinal: str) -> DataFra
 
 
 def group_counts(df: DataFrame, column: str, levels: Sequence[str] | None = None) -> DataFrame:
-    """Rows per level; with a level list, absent levels count zero and others are left out."""
+    """Rows per value; with a level list, absent levels count zero."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     if levels is None:
         return counts
     spark = df.sparkSession
     wanted = spark.createDataFrame([(v,) for v in levels], f"{column} string")
-    return wanted.join(counts, column, "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return wanted.join(counts, column, "full").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def set_per_key(df: DataFrame, key: str, value: str, out: str) -> DataFrame:

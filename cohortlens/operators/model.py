@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators import nbfit
 from cohortlens.operators.ordering import bh_adjust, distinct_ladder, exact_median, exact_quantiles
-from cohortlens.session import broadcast_if_small, materialise
+from cohortlens.session import materialise
 
 
 # --- design ---------------------------------------------------------------
@@ -84,6 +84,11 @@ def per_gene(aggregate: Column) -> Column:
     return aggregate.over(Window.partitionBy("gene_id"))
 
 
+def whole_counts(genes: DataFrame) -> DataFrame:
+    """Counts rounded half to even, as on import into the model; comes before the zero filter."""
+    return genes.withColumn("count", F.rint("count"))
+
+
 def drop_all_zero(genes: DataFrame) -> DataFrame:
     """Only genes with a positive total over the cohort."""
     return genes.withColumn("_t", per_gene(F.sum("count"))).where(F.col("_t") > 0).drop("_t")
@@ -112,18 +117,16 @@ def size_factors(long: DataFrame, value: str = "count") -> DataFrame:
 def norm_factors(genes: DataFrame) -> DataFrame:
     """Gene x sample factors from lengths and size factors, geometric mean 1 per gene.
 
-    Input needs a positive ``length`` in every cell.  Output adds ``nf``.  The
+    Input needs whole counts (:func:`whole_counts`) and a positive ``length`` in every cell.  Output adds ``nf``.  The
     length-centred table is checkpointed, because the medians and the result
     both read it.
     """
     log_length = F.ln("length")
     centred = materialise(
-        genes.withColumn("count", F.round("count"))
-        .withColumn("_n", F.exp(log_length - per_gene(F.avg(log_length))))
+        genes.withColumn("_n", F.exp(log_length - per_gene(F.avg(log_length))))
         .withColumn("_kn", F.col("count") / F.col("_n"))
     )
-    sized = broadcast_if_small(size_factors(centred, "_kn"))
-    product = centred.join(sized, "sample_id").withColumn("_ns", F.ln(F.col("_n") * F.col("size_factor")))
+    product = centred.join(size_factors(centred, "_kn"), "sample_id").withColumn("_ns", F.ln(F.col("_n") * F.col("size_factor")))
     return product.withColumn("nf", F.exp(F.col("_ns") - per_gene(F.avg("_ns")))).drop("_n", "_kn", "_ns", "size_factor")
 
 

@@ -46,7 +46,7 @@ def quant(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-cte("quant_raw", f"""SELECT 'S' || lpad(CAST(l_suppkey % {N_SAMPLES} AS VARCHAR), 2, '0') AS sample_id,
+cte("quant_raw", f"""SELECT 'S' || lpad(CAST(l_suppkey % {N_SAMPLES} AS VARCHAR), CAST(greatest(2, length(CAST(l_suppkey % {N_SAMPLES} AS VARCHAR))) AS INTEGER), '0') AS sample_id,
  l_partkey AS feature_id, SUM(l_quantity) AS num_reads FROM lineitem GROUP BY 1, 2""")
 cte("quant_len", """SELECT q.*, CAST(p_size + 20 AS DOUBLE) AS eff_len, num_reads / CAST(p_size + 20 AS DOUBLE) AS x
  FROM quant_raw q JOIN part ON p_partkey = feature_id""", "quant_raw")
@@ -60,7 +60,7 @@ def gene_of(partkey: str) -> F.Column:
     return F.concat(text_id("G", gene, 8), F.lit("."), (gene % 3 + 1).cast("string"))
 
 
-GENE_SQL = "'G' || lpad(CAST({0} // 5 AS VARCHAR), 8, '0') || '.' || CAST(({0} // 5) % 3 + 1 AS VARCHAR)"
+GENE_SQL = "'G' || lpad(CAST({0} // 5 AS VARCHAR), CAST(greatest(8, length(CAST({0} // 5 AS VARCHAR))) AS INTEGER), '0') || '.' || CAST(({0} // 5) % 3 + 1 AS VARCHAR)"
 
 
 def feature_map(spark: SparkSession, sf: str) -> DataFrame:
@@ -95,7 +95,7 @@ def genes(spark: SparkSession, sf: str) -> DataFrame:
     return Q.fill_group_length(dense, Q.mean_feature_length(mapped))
 
 
-cte("samples", f"SELECT 'S' || lpad(CAST(i AS VARCHAR), 2, '0') AS sample_id, CAST(i AS BIGINT) AS sample_no FROM range({N_SAMPLES}) t(i)")
+cte("samples", f"SELECT 'S' || lpad(CAST(i AS VARCHAR), CAST(greatest(2, length(CAST(i AS VARCHAR))) AS INTEGER), '0') AS sample_id, CAST(i AS BIGINT) AS sample_no FROM range({N_SAMPLES}) t(i)")
 cte("dense", """SELECT g.gene_id, s.sample_id, COALESCE(r."count", 0) AS "count", COALESCE(r.tpm, 0) AS tpm, r.length
  FROM (SELECT DISTINCT gene_id FROM genes_raw) g CROSS JOIN samples s
  LEFT JOIN genes_raw r ON r.gene_id = g.gene_id AND r.sample_id = s.sample_id""", "genes_raw", "samples")
@@ -118,7 +118,7 @@ def cohort(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-cte("cohort", """SELECT sample_id, sample_no, 'P' || lpad(CAST(sample_no // 2 AS VARCHAR), 2, '0') AS patient,
+cte("cohort", """SELECT sample_id, sample_no, 'P' || lpad(CAST(sample_no // 2 AS VARCHAR), CAST(greatest(2, length(CAST(sample_no // 2 AS VARCHAR))) AS INTEGER), '0') AS patient,
  CASE WHEN sample_no % 2 = 0 THEN 'tumor' ELSE 'normal' END AS condition,
  CASE WHEN sample_no < 11 THEN 'tumor' ELSE 'control' END AS grp
  FROM samples WHERE sample_no IN (SELECT l_suppkey % 24 FROM lineitem)""", "samples")
@@ -169,13 +169,14 @@ def _contrast_sql(lfc: str, universe: str) -> str:
     return f"""SELECT *, pvalue IS NOT NULL AS tested, COALESCE(padj < 0.05, FALSE) AS significant FROM (
  SELECT gene_id, gene_key, base_mean, lfc, CAST(0.25 AS DOUBLE) AS lfc_se, lfc / CAST(0.25 AS DOUBLE) AS stat, pvalue,
  CASE WHEN pvalue IS NOT NULL AND total >= 600 THEN least(1.0, 2 * pvalue) END AS padj FROM (
- SELECT 'ENSG' || lpad(CAST(l_partkey AS VARCHAR), 11, '0') || '.' || CAST(l_partkey % 7 + 1 AS VARCHAR) AS gene_id,
- 'ENSG' || lpad(CAST(l_partkey AS VARCHAR), 11, '0') AS gene_key, total / {N_SAMPLES} AS base_mean, {lfc} AS lfc,
+ SELECT 'ENSG' || lpad(CAST(l_partkey AS VARCHAR), CAST(greatest(11, length(CAST(l_partkey AS VARCHAR))) AS INTEGER), '0') || '.' || CAST(l_partkey % 7 + 1 AS VARCHAR) AS gene_id,
+ 'ENSG' || lpad(CAST(l_partkey AS VARCHAR), CAST(greatest(11, length(CAST(l_partkey AS VARCHAR))) AS INTEGER), '0') AS gene_key, total / {N_SAMPLES} AS base_mean, {lfc} AS lfc,
  CASE WHEN top / total > 0.1 THEN NULL ELSE exp(-4 * abs({lfc})) END AS pvalue, total
  FROM de_base WHERE {universe}))"""
 
 
-UNIVERSE_A, UNIVERSE_B = "r + a > 320", "ev + od > 520"
+#: Genes with a positive total in the samples of the track.
+UNIVERSE_A, UNIVERSE_B = "r + a > 0", "ev + od > 0"
 
 
 def de_a(spark: SparkSession, sf: str) -> DataFrame:
@@ -216,7 +217,7 @@ def published(spark: SparkSession, sf: str) -> DataFrame:
 cte("published", f"""SELECT gene_key, gene_name, published_lfc, published_p, published_fdr, gene_type FROM (
  SELECT *, least(1.0, 2 * published_p) AS published_fdr FROM (
  SELECT *, exp(-6 * abs(published_lfc)) AS published_p FROM (
- SELECT 'ENSG' || lpad(CAST(l_partkey AS VARCHAR), 11, '0') AS gene_key, p_name AS gene_name, {_LFC_P_SQL} AS published_lfc,
+ SELECT 'ENSG' || lpad(CAST(l_partkey AS VARCHAR), CAST(greatest(11, length(CAST(l_partkey AS VARCHAR))) AS INTEGER), '0') AS gene_key, p_name AS gene_name, {_LFC_P_SQL} AS published_lfc,
  p_type AS gene_type FROM de_base JOIN part ON p_partkey = l_partkey))) WHERE published_fdr < 0.05""", "de_base")
 
 
@@ -353,7 +354,7 @@ def run_meta(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-cte("run_meta", f"""SELECT 'S' || lpad(CAST(s AS VARCHAR), 2, '0') AS sample_id, num_processed, num_mapped, num_decoy_fragments,
+cte("run_meta", f"""SELECT 'S' || lpad(CAST(s AS VARCHAR), CAST(greatest(2, length(CAST(s AS VARCHAR))) AS INTEGER), '0') AS sample_id, num_processed, num_mapped, num_decoy_fragments,
  num_valid_targets, CASE WHEN s % 7 = 0 THEN 'idx-other' ELSE 'idx-main' END AS index_seq_hash,
  CASE WHEN s % 5 = 0 THEN 'A' ELSE 'SF' END AS library_type, s % 6 <> 1 AS em_converged FROM (
  SELECT l_suppkey % {N_SAMPLES} AS s, CAST(SUM(l_quantity) AS BIGINT) AS num_processed,
@@ -391,7 +392,7 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-cte("vectors", """SELECT feature, 'D' || lpad(CAST(d AS VARCHAR), 2, '0') AS sample, CAST(v AS DOUBLE) AS value FROM (
+cte("vectors", """SELECT feature, 'D' || lpad(CAST(d AS VARCHAR), CAST(greatest(2, length(CAST(d AS VARCHAR))) AS INTEGER), '0') AS sample, CAST(v AS DOUBLE) AS value FROM (
  SELECT vec_id AS feature, unnest(range(len(embedding))) AS d, unnest(embedding) AS v FROM embeddings)""")
 
 

@@ -135,14 +135,14 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @query("a21_type_composition", """SELECT track, gene_type, COUNT(*) AS n FROM (
  SELECT track, COALESCE(t.gene_type, 'unannotated') AS gene_type FROM (
  SELECT 'A' AS track, gene_key FROM de_a WHERE significant UNION ALL SELECT 'B', gene_key FROM de_b WHERE significant) s
- LEFT JOIN (SELECT 'ENSG' || lpad(CAST(p_partkey AS VARCHAR), 11, '0') AS gene_key, p_type AS gene_type FROM part WHERE p_size > 5) t
+ LEFT JOIN (SELECT 'ENSG' || lpad(CAST(p_partkey AS VARCHAR), CAST(greatest(11, length(CAST(p_partkey AS VARCHAR))) AS INTEGER), '0') AS gene_key, p_type AS gene_type FROM part) t
  ON s.gene_key = t.gene_key) GROUP BY GROUPING SETS ((track, gene_type), (track))""", "de_a", "de_b")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     from cohortlens.plans.registry import text_id
 
     sets = C.stack_tables({"A": B.de_a(spark, sf).where("significant").select("gene_key"),
                            "B": B.de_b(spark, sf).where("significant").select("gene_key")})
-    types = B.table(spark, sf, "part").where("p_size > 5").select(text_id("ENSG", F.col("p_partkey"), 11).alias("gene_key"), F.col("p_type").alias("gene_type"))
+    types = B.table(spark, sf, "part").select(text_id("ENSG", F.col("p_partkey"), 11).alias("gene_key"), F.col("p_type").alias("gene_type"))
     return C.type_composition(sets, types, "gene_key", "track")
 
 

@@ -111,8 +111,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 LEVELS = ["pca_tumor", "pca_adjacent_normal", "bph_adenoma", "bph_normal", "metastasis"]
 
 
-@query("a1_group_counts", f"""SELECT l.analysis_group, COUNT(c.gsm) AS n FROM (VALUES {", ".join(f"('{v}')" for v in LEVELS)}) l(analysis_group)
- LEFT JOIN classified c ON c.analysis_group = l.analysis_group GROUP BY 1""", "classified")
+@query("a1_group_counts", f"""SELECT COALESCE(l.analysis_group, c.analysis_group) AS analysis_group, COUNT(c.gsm) AS n FROM (VALUES {", ".join(f"('{v}')" for v in LEVELS)}) l(analysis_group)
+ FULL JOIN classified c ON c.analysis_group = l.analysis_group GROUP BY 1""", "classified")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return M.group_counts(M.classify(B.records(spark, sf), B.class_rules(), "analysis_group"), "analysis_group", LEVELS)
 
@@ -154,11 +154,11 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("a29_exactly_one", """SELECT n.p_name, COUNT(p.p_partkey) AS n FROM (SELECT DISTINCT p_name FROM part UNION SELECT r_name FROM region) n
- LEFT JOIN (SELECT * FROM part WHERE p_size < 4) p ON p.p_name = n.p_name GROUP BY 1 HAVING COUNT(p.p_partkey) <> 1""")
+ LEFT JOIN part p ON p.p_name = n.p_name GROUP BY 1 HAVING COUNT(p.p_partkey) <> 1""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     part = B.table(spark, sf, "part")
     names = part.select("p_name").union(B.table(spark, sf, "region").select("r_name")).distinct()
-    return M.exactly_one(names, "p_name", part.where("p_size < 4"), "p_name")
+    return M.exactly_one(names, "p_name", part, "p_name")
 
 
 @query("g1_check_manifest", """SELECT rule, severity, key, detail FROM (

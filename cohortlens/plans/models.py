@@ -65,7 +65,7 @@ cte("factors", """SELECT gene_id, sample_id, "count", length, exp(ln(nl * s) - a
 
 
 def factors(spark: SparkSession, sf: str) -> DataFrame:
-    return M.norm_factors(M.drop_all_zero(B.genes(spark, sf)))
+    return M.norm_factors(M.drop_all_zero(M.whole_counts(B.genes(spark, sf))))
 
 
 @query("m4_norm_factors", 'SELECT gene_id, sample_id, CAST("count" AS BIGINT) AS "count", ROUND(nf, 6) AS nf FROM factors', "factors")

@@ -60,7 +60,7 @@ def half(spark: SparkSession, sf: str, parity: int) -> DataFrame:
     ).agg(F.sum(F.when(F.col("l_linestatus") == status, F.col("l_quantity")).otherwise(0.0)).alias("v"))
 
 
-cte("halves", f"""SELECT 'S' || lpad(CAST(l_suppkey % {B.N_SAMPLES} AS VARCHAR), 2, '0') AS sample_id, l_partkey AS feature_id,
+cte("halves", f"""SELECT 'S' || lpad(CAST(l_suppkey % {B.N_SAMPLES} AS VARCHAR), CAST(greatest(2, length(CAST(l_suppkey % {B.N_SAMPLES} AS VARCHAR))) AS INTEGER), '0') AS sample_id, l_partkey AS feature_id,
  SUM(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0 END) AS a, SUM(CASE WHEN l_linestatus = 'O' THEN l_quantity ELSE 0 END) AS b FROM lineitem GROUP BY 1, 2""")
 cte("top_halves", """SELECT x.sample_id, COUNT(*) AS top_shared FROM
  (SELECT sample_id, feature_id FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY a DESC, feature_id) AS rn FROM halves) WHERE rn <= 100) x

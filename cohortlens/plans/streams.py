@@ -13,7 +13,7 @@ from cohortlens.session import scratch_path
 from cohortlens.streaming import status as S
 
 Z1 = f"""SELECT stage, latest_state, epoch_us(latest_ts) AS latest_us, completed, total, {STATUS_SQL} FROM (
- SELECT user_id AS stage, arg_max(event_type || '#' || CAST(event_id AS VARCHAR), ts) AS latest_state, MAX(ts) AS latest_ts,
+ SELECT user_id AS stage, arg_max(event_type || '#' || CAST(event_id AS VARCHAR), struct_pack(t := ts, s := event_type || '#' || CAST(event_id AS VARCHAR))) AS latest_state, MAX(ts) AS latest_ts,
  COUNT(*) FILTER (value > 40) AS completed, COUNT(*) AS total, bool_or(event_type = 'purchase') AS r, bool_or(event_type = 'error') AS f
  FROM events GROUP BY 1)"""
 

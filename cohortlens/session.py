@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _LOCAL_FALLBACK: dict[str, str] = {}
 
@@ -35,12 +34,14 @@ def local_session(cpus: str = "8", app: str = "cohortlens", **conf: str) -> Spar
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only where that setting is absent (local tests) a temporary folder of this
-    machine is used.
+    Only where that setting is absent and the master is local (tests), a temporary
+    folder of this machine is used; a cluster without the setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_FALLBACK:
         _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="spark-", dir="/tmp" if os.path.isdir("/tmp") else None)
@@ -59,12 +60,3 @@ def materialise(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Checkpoint a narrow side of a join and broadcast it if its counted rows are few.
-
-    A longer side is returned as it is, and the join shuffles.
-    """
-    stored = materialise(df)
-    return F.broadcast(stored) if stored.count() <= max_rows else stored

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -18,31 +18,42 @@ def read_binary(spark: SparkSession, paths: str | Sequence[str], glob: str = "*"
 
 
 LINES_PER_FRAME = 20_000
+#: Text members of a QC report archive: those of the published tool, and the short names of the bound tables.
+REPORT_MEMBERS = ("fastqc_data.txt", "summary.txt", "data.txt")
 
 
-def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _unzip(members: frozenset[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     frame = lambda rows: pd.DataFrame(rows, columns=["path", "member", "seq", "line"])
-    rows: list[tuple[str, str, int, str]] = []
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                for member in archive.namelist():
-                    lines = archive.read(member).decode("utf-8").splitlines()
-                    name = member.rsplit("/", 1)[-1]
-                    rows.extend((path, name, seq, line) for seq, line in enumerate(lines))
-                    if len(rows) >= LINES_PER_FRAME:
-                        yield frame(rows)
-                        rows = []
-    yield frame(rows)
-
-
-def archive_lines(files: DataFrame, lines_per_chunk: int = 4096) -> DataFrame:
-    """Lines of every zip member: ``(path, member, chunk, seq, line)``.
+
+    def job(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[tuple[str, str, int, str]] = []
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    for member in archive.namelist():
+                        name = member.rsplit("/", 1)[-1]
+                        if name not in members:
+                            continue
+                        with archive.open(member) as raw:
+                            for seq, line in enumerate(io.TextIOWrapper(raw, "utf-8")):
+                                rows.append((path, name, seq, line.rstrip("\r\n")))
+                                if len(rows) >= LINES_PER_FRAME:
+                                    yield frame(rows)
+                                    rows = []
+        yield frame(rows)
+
+    return job
+
+
+def archive_lines(files: DataFrame, members: Sequence[str] = REPORT_MEMBERS, lines_per_chunk: int = 4096) -> DataFrame:
+    """Lines of the named zip members: ``(path, member, chunk, seq, line)``.
+
+    Other members (images, pages) are not opened, and lines are streamed.
 
     ``files`` has the binary-file columns ``path`` and ``content``.  Only the
     decompression runs in Python; sections and values are found by Spark.
     """
-    rows = files.select("path", "content").mapInPandas(_unzip, "path string, member string, seq long, line string")
+    rows = files.select("path", "content").mapInPandas(_unzip(frozenset(members)), "path string, member string, seq long, line string")
     return rows.withColumn("chunk", F.floor(F.col("seq") / lines_per_chunk))
 
 

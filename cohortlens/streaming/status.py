@@ -21,11 +21,11 @@ def stage_status(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     """Latest state and progress per stage from an append-only feed.
 
     ``events``: ``stage, state, ts, ok, running, failed``.  In a stream use update
-    mode; state is one row per stage.
+    mode; state is one row per stage.  Of several events with one time, the largest state counts.
     """
     source = events.withWatermark("ts", watermark) if events.isStreaming else events
     sums = source.groupBy("stage").agg(
-        F.max_by("state", "ts").alias("latest_state"), F.max("ts").alias("latest_ts"),
+        F.max_by("state", F.struct("ts", "state")).alias("latest_state"), F.max("ts").alias("latest_ts"),
         F.count_if("ok").alias("completed"), F.count(F.lit(1)).alias("total"),
         F.bool_or("running").alias("_r"), F.bool_or("failed").alias("_f"),
     )

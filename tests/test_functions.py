@@ -50,3 +50,16 @@ def test_analysis_id_depends_on_every_field(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("a", 1)], "x string, y int")
     ids = [r[0] for r in df.select(X.analysis_id("x", "y")).collect()]
     assert len(set(ids)) == 3 and ids[0] == ids[3] and len(ids[0]) == 64
+
+
+def test_text_id_keeps_numbers_wider_than_the_pad(spark):
+    import duckdb
+
+    from cohortlens.plans.registry import text_id
+
+    numbers = [7, 99, 100, 8_000_000, 8_000_001, 500_000_000]
+    df = spark.createDataFrame([(n,) for n in numbers], "n long").select("n", text_id("G", F.col("n"), 2).alias("id"))
+    got = {r.n: r.id for r in df.collect()}
+    assert got == {7: "G07", **{n: f"G{n}" for n in numbers[1:]}}
+    sql = "SELECT n, 'G' || lpad(CAST(n AS VARCHAR), CAST(greatest(2, length(CAST(n AS VARCHAR))) AS INTEGER), '0') FROM (SELECT unnest(?) AS n)"
+    assert dict(duckdb.execute(sql, [numbers]).fetchall()) == got

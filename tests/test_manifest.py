@@ -81,7 +81,7 @@ def test_flags_keep_rule_order(spark):
 
 def test_zero_levels_survive(spark):
     df = spark.createDataFrame([("a",), ("a",), ("z",)], "c string")
-    assert rows(M.group_counts(df, "c", ["a", "b"])) == [("a", 2), ("b", 0)]
+    assert rows(M.group_counts(df, "c", ["a", "b"])) == [("a", 2), ("b", 0), ("z", 1)]
 
 
 def test_exactly_one_and_patterns(spark):

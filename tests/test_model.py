@@ -80,6 +80,13 @@ def test_size_and_norm_factors(spark, study):
     np.testing.assert_allclose(wide[0], got / np.exp(np.log(got).mean()), rtol=1e-9)
 
 
+def test_counts_are_rounded_half_to_even_before_the_zero_filter(spark):
+    cells = [("half", 12.5), ("half", 13.5), ("small", 0.3), ("small", 0.2), ("one", 0.5), ("one", 1.5)]
+    genes = spark.createDataFrame([(g, f"s{i % 2}", c, 1000.0) for i, (g, c) in enumerate(cells)], "gene_id string, sample_id string, count double, length double")
+    kept = M.drop_all_zero(M.whole_counts(genes)).collect()
+    assert sorted((r.gene_id, r["count"]) for r in kept) == [("half", 12.0), ("half", 14.0), ("one", 0.0), ("one", 2.0)]
+
+
 @pytest.mark.parametrize("paired", [False, True])
 def test_recovery_of_known_effects(spark, study, paired):
     genes, samples, _ = study

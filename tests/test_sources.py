@@ -114,6 +114,8 @@ def test_zip_report(spark, tmp_path):
     buffer = io.BytesIO()
     with zipfile.ZipFile(buffer, "w") as z:
         z.writestr("r/summary.txt", "PASS\tBasic\tf\nFAIL\tAdapter Content\tf\n")
+        z.writestr("r/Images/plot.png", b"\x89PNG\r\n\x1a\n\xff\xfe\x00")
+        z.writestr("r/report.html", b"<html>\xe9</html>")
         z.writestr("r/data.txt", ">>Basic\tpass\nTotal\t7\n>>END_MODULE\n>>Dup\tpass\n#Dedup\t3.5\nTotal\t9\n>>END_MODULE\n")
     (tmp_path / "r.zip").write_bytes(buffer.getvalue())
     lines = reports.archive_lines(reports.read_binary(spark, str(tmp_path), "*.zip")).cache()
