@@ -221,6 +221,32 @@ def discordance_category(df: DataFrame, present: Column, p: str, padj: str, out:
     )
 
 
+def discordance_table(compared: DataFrame, types: DataFrame, key: str = "gene_key") -> DataFrame:
+    """Every id of either list with its status, category, both types and direction.
+
+    ``compared`` comes from :func:`compare_full`; ``types`` has the key and our
+    ``type``.  Ids of our list only have no published category.
+    """
+    status = F.when(F.col("in_both_significant"), "shared_DE").when(F.col("in_published"), "published_only").otherwise("ours_only")
+    named = discordance_category(compared, F.col("in_ours"), "pvalue", "padj").withColumn(
+        "category", F.when(F.col("in_published"), F.col("category")).otherwise(F.lit("not_in_published_DE_table")))
+    ours = types.select(key, F.col("type").alias("_ours_type"))
+    product = F.col("published_lfc") * F.col("lfc")
+    return named.join(ours, key, "left").select(
+        key, status.alias("status"), "category", F.col("gene_type").alias("published_type"),
+        F.coalesce("_ours_type", F.lit("unannotated")).alias("ours_type"),
+        F.when(product.isNotNull(), product > 0).alias("direction_agrees"))
+
+
+def comparator_violations(published: DataFrame, key: str, fdr: str, alpha: float = 0.05) -> DataFrame:
+    """``(rule, key, n)`` for a comparator list: ids that occur twice, missing rates, rates that are not significant."""
+    per_id = published.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(F.col(fdr).isNull()).alias("_missing"), F.count_if(F.col(fdr) >= alpha).alias("_above"))
+    found = F.array(*[F.struct(F.lit(rule).alias("rule"), n.alias("n"), (n > most).alias("bad")) for rule, n, most in (
+        ("duplicate_id", F.col("_n"), 1), ("missing_fdr", F.col("_missing"), 0), ("fdr_not_significant", F.col("_above"), 0))])
+    return per_id.select(key, F.explode(found).alias("v")).where("v.bad").select(F.col("v.rule").alias("rule"), key, F.col("v.n").alias("n"))
+
+
 def top_k_overlap(a: DataFrame, b: DataFrame, key: str, value: str, k: int, by: list[str] | None = None) -> DataFrame:
     """Number of members that two top-k lists share, per group."""
     by = by or []
@@ -232,15 +258,11 @@ def top_k_overlap(a: DataFrame, b: DataFrame, key: str, value: str, k: int, by:
 
 
 def set_algebra(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """Ids of the intersection, the differences and the union: ``(key, part)``."""
-    left, right = a.select(key), b.select(key)
-    named = lambda df, part: df.withColumn("part", F.lit(part))
-    return (
-        named(left.intersect(right), "intersect")
-        .unionByName(named(left.subtract(right), "a_only"))
-        .unionByName(named(right.subtract(left), "b_only"))
-        .unionByName(named(left.union(right).distinct(), "union"))
-    )
+    """Ids of the intersection, the differences and the union: ``(key, part)``; one aggregate reads each side once."""
+    marked = a.select(key, F.lit(True).alias("_a")).unionByName(b.select(key, F.lit(False).alias("_a")))
+    sides = marked.groupBy(key).agg(F.bool_or("_a").alias("_in_a"), F.bool_or(~F.col("_a")).alias("_in_b"))
+    own = F.when(F.col("_in_a") & F.col("_in_b"), "intersect").when(F.col("_in_a"), "a_only").otherwise("b_only")
+    return sides.select(key, F.explode(F.array(own, F.lit("union"))).alias("part"))
 
 
 def missing_members(required: DataFrame, present: DataFrame, key: str) -> DataFrame:

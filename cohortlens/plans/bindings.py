@@ -194,18 +194,23 @@ _LFC_P = f"0.5D * {_LFC_A} + 0.5D * {_LFC_B}"
 _LFC_P_SQL = f"CAST(0.5 AS DOUBLE) * {_LFC_A} + CAST(0.5 AS DOUBLE) * {_LFC_B}"
 
 
-def published_raw(spark: SparkSession, sf: str) -> DataFrame:
-    """Comparator in its file layout: significant parts only, ids with another version suffix."""
+def published_all(spark: SparkSession, sf: str) -> DataFrame:
+    """All parts as rows of a comparator, significant or not."""
     part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type")
     rows = de_base(spark, sf).join(part, "l_partkey").withColumn("logFC", F.expr(_LFC_P)).withColumn(
         "PValue", F.exp(-6 * F.abs("logFC"))
     ).withColumn("FDR", F.least(F.lit(1.0), 2 * F.col("PValue")))
-    return rows.where(F.col("FDR") < 0.05).select(
+    return rows.select(
         F.col("p_name").alias("gene_name"), _versioned("l_partkey", 3).alias("ensemble_id"),
         "logFC", "PValue", "FDR", F.col("p_type").alias("type"),
     )
 
 
+def published_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """Comparator in its file layout: significant parts only, ids with another version suffix."""
+    return published_all(spark, sf).where(F.col("FDR") < 0.05)
+
+
 def published(spark: SparkSession, sf: str) -> DataFrame:
     raw = published_raw(spark, sf)
     return raw.select(
@@ -214,11 +219,12 @@ def published(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-cte("published", f"""SELECT gene_key, gene_name, published_lfc, published_p, published_fdr, gene_type FROM (
- SELECT *, least(1.0, 2 * published_p) AS published_fdr FROM (
+cte("published_all", f"""SELECT *, least(1.0, 2 * published_p) AS published_fdr FROM (
  SELECT *, exp(-6 * abs(published_lfc)) AS published_p FROM (
  SELECT 'ENSG' || lpad(CAST(l_partkey AS VARCHAR), CAST(greatest(11, length(CAST(l_partkey AS VARCHAR))) AS INTEGER), '0') AS gene_key, p_name AS gene_name, {_LFC_P_SQL} AS published_lfc,
- p_type AS gene_type FROM de_base JOIN part ON p_partkey = l_partkey))) WHERE published_fdr < 0.05""", "de_base")
+ p_type AS gene_type FROM de_base JOIN part ON p_partkey = l_partkey))""", "de_base")
+cte("published", """SELECT gene_key, gene_name, published_lfc, published_p, published_fdr, gene_type FROM published_all
+ WHERE published_fdr < 0.05""", "published_all")
 
 
 def ours_side(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,7 +10,7 @@ from cohortlens.operators import compare as C
 from cohortlens.operators import model as M
 from cohortlens.operators import ordering as O
 from cohortlens.plans import bindings as B
-from cohortlens.plans.registry import cte, query, rounded
+from cohortlens.plans.registry import cte, query, rounded, text_id
 
 cte("ours", "SELECT gene_key, gene_id AS ours_gene_id, base_mean, lfc, pvalue, padj FROM de_a", "de_a")
 cte("joined", """SELECT COALESCE(p.gene_key, o.gene_key) AS gene_key, p.gene_name, p.published_lfc, p.published_fdr, p.gene_type, o.ours_gene_id,
@@ -138,8 +138,6 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
  LEFT JOIN (SELECT 'ENSG' || lpad(CAST(p_partkey AS VARCHAR), CAST(greatest(11, length(CAST(p_partkey AS VARCHAR))) AS INTEGER), '0') AS gene_key, p_type AS gene_type FROM part) t
  ON s.gene_key = t.gene_key) GROUP BY GROUPING SETS ((track, gene_type), (track))""", "de_a", "de_b")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    from cohortlens.plans.registry import text_id
-
     sets = C.stack_tables({"A": B.de_a(spark, sf).where("significant").select("gene_key"),
                            "B": B.de_b(spark, sf).where("significant").select("gene_key")})
     types = B.table(spark, sf, "part").select(text_id("ENSG", F.col("p_partkey"), 11).alias("gene_key"), F.col("p_type").alias("gene_type"))
@@ -192,6 +190,37 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return C.discordance_category(joined, F.col("ours_gene_id").isNotNull(), "pvalue", "padj").groupBy("category").agg(F.count(F.lit(1)).alias("n"))
 
 
+PART_TYPES_SQL = "SELECT 'ENSG' || lpad(CAST(p_partkey AS VARCHAR), CAST(greatest(11, length(CAST(p_partkey AS VARCHAR))) AS INTEGER), '0') AS gene_key, p_type FROM part"
+TABLE_SQL = f"""SELECT o.gene_key, CASE WHEN in_both_significant THEN 'shared_DE' WHEN in_published THEN 'published_only' ELSE 'ours_only' END AS status,
+ CASE WHEN NOT in_published THEN 'not_in_published_DE_table' WHEN NOT in_ours THEN 'absent_from_our_nonzero_gene_universe'
+ ELSE {CATEGORY_SQL} END AS category, o.gene_type AS published_type, COALESCE(p_type, 'unannotated') AS ours_type,
+ published_lfc * lfc > 0 AS direction_agrees FROM compared o LEFT JOIN ({PART_TYPES_SQL}) t ON t.gene_key = o.gene_key"""
+
+
+def discordance_rows(spark: SparkSession, sf: str) -> DataFrame:
+    types = B.table(spark, sf, "part").select(text_id("ENSG", F.col("p_partkey"), 11).alias("gene_key"), F.col("p_type").alias("type"))
+    return C.discordance_table(C.compare_full(B.published(spark, sf), B.ours_side(spark, sf)), types)
+
+
+@query("p8b_discordance_table", TABLE_SQL, "compared")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return discordance_rows(spark, sf)
+
+
+@query("p8c_published_only_categories", f"SELECT category, COUNT(*) AS n FROM ({TABLE_SQL}) WHERE status = 'published_only' GROUP BY 1", "compared")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return discordance_rows(spark, sf).where("status = 'published_only'").groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("g8_comparator_guards", """SELECT rule, gene_key, n FROM (
+ SELECT 'duplicate_id' AS rule, gene_key, COUNT(*) AS n FROM published_all GROUP BY 2 HAVING COUNT(*) > 1
+ UNION ALL SELECT 'missing_fdr', gene_key, COUNT(*) FROM published_all WHERE published_fdr IS NULL GROUP BY 2
+ UNION ALL SELECT 'fdr_not_significant', gene_key, COUNT(*) FROM published_all WHERE published_fdr >= 0.05 GROUP BY 2)""", "published_all")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    rows = B.published_all(spark, sf).withColumn("gene_key", F.substring_index("ensemble_id", ".", 1))
+    return C.comparator_violations(rows, "gene_key", "FDR")
+
+
 @query("p7_de_flags", """SELECT gene_id, pvalue IS NOT NULL AS tested, COALESCE(padj < 0.05, FALSE) AS significant FROM de_b""", "de_b")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return M.de_flags(B.de_b(spark, sf).drop("tested", "significant")).select("gene_id", "tested", "significant")

@@ -91,16 +91,22 @@ def section_fill(lines: DataFrame, by: list[str], opens: str = ">>", closes: str
     return filled.withColumn("section", F.when(F.col("section") != "", F.col("section")))
 
 
-def id_list(lines: DataFrame, pattern: str) -> DataFrame:
-    """Distinct ids of a line list: ``(id, first_line, valid)``.
+def id_list(lines: DataFrame, pattern: str, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct ids of a line list: ``(*by, id, first_line, valid)``.
 
     Carriage returns, blank lines and ``#`` comments are skipped; ids that break
     the pattern are kept as ``valid = false`` with their first line, so that a
-    caller can reject the whole list.
+    caller can reject the whole list.  Lines with a ``chunk`` (from
+    :func:`read_lines`, with ``by=["file"]``) are numbered from 1 in file order;
+    without it ``seq`` is the line number.
     """
-    cleaned = lines.select(strip(F.col("line")).alias("id"), F.col("seq"))
+    number = "seq"
+    if "chunk" in lines.columns:
+        number = "_line_no"
+        lines = running_total(lines, list(by), "chunk", ["seq"], F.lit(1), number)
+    cleaned = lines.select(*by, strip(F.col("line")).alias("id"), number)
     kept = cleaned.where((F.col("id") != "") & ~F.col("id").startswith("#"))
-    return kept.groupBy("id").agg(F.min("seq").alias("first_line")).withColumn("valid", F.col("id").rlike(pattern))
+    return kept.groupBy(*by, "id").agg(F.min(number).alias("first_line")).withColumn("valid", F.col("id").rlike(pattern))
 
 
 def key_values(lines: DataFrame, by: list[str], position: str = "seq") -> DataFrame:

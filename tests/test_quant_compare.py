@@ -117,6 +117,22 @@ def test_overlap_metrics_and_categories(spark):
                    "d": "our_raw_p_unavailable", "e": "our_BH_padj_unavailable", "f": "absent_from_our_nonzero_gene_universe"}
 
 
+def test_discordance_table_and_guards(spark):
+    published = spark.createDataFrame([("a", 1.0, 0.01, "t"), ("b", -1.0, 0.02, "t"), ("c", 2.0, 0.03, "u")], "gene_key string, published_lfc double, fdr double, gene_type string")
+    ours = spark.createDataFrame([("a", 1.5, 0.001, 0.01), ("b", 1.0, 0.04, 0.2), ("d", 3.0, 0.001, 0.01)], "gene_key string, lfc double, pvalue double, padj double")
+    types = spark.createDataFrame([("a", "x"), ("b", "y")], "gene_key string, type string")
+    got = rows(C.discordance_table(C.compare_full(published, ours), types))
+    assert got == [("a", "shared_DE", "our_significant", "t", "x", True),
+                   ("b", "published_only", "our_nominal_p_below_0.05_but_BH_not", "t", "y", False),
+                   ("c", "published_only", "absent_from_our_nonzero_gene_universe", "u", "unannotated", None),
+                   ("d", "ours_only", "not_in_published_DE_table", None, "unannotated", None)]
+    bad = spark.createDataFrame([("a", 0.01), ("a", 0.02), ("b", None), ("c", 0.05), ("d", 0.01)], "gene_key string, fdr double")
+    assert rows(C.comparator_violations(bad, "gene_key", "fdr")) == [("duplicate_id", "a", 2), ("fdr_not_significant", "c", 1), ("missing_fdr", "b", 1)]
+    left, right = (spark.createDataFrame([(x,) for x in s], "id string") for s in (["a", "b", "b", None], ["b", "c", None]))
+    assert rows(C.set_algebra(left, right, "id")) == sorted([("a", "a_only"), ("a", "union"), ("b", "intersect"), ("b", "union"), ("c", "b_only"),
+                                                             ("c", "union"), (None, "intersect"), (None, "union")], key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
 def test_sets_order_and_partition(spark):
     a = spark.createDataFrame([(i, v) for i, v in enumerate("abc", 1)], "ordinal int, v string")
     b = spark.createDataFrame([(i, v) for i, v in enumerate("acb", 1)], "ordinal int, v string")

@@ -73,6 +73,19 @@ def test_id_list(spark):
     assert rows(X.id_list(df, r"^(SRR|ERR|DRR)\d+$")) == [("ERR3", 7, True), ("SRR1", 1, True), ("SRR2", 4, True), ("bad id", 6, False)]
 
 
+def test_id_list_numbers_lines_over_splits(spark, tmp_path):
+    ids = [f"SRR{i:06d}" for i in range(3000)]
+    (tmp_path / "ids.txt").write_text("# head\n" + "\n".join(ids) + "\n" + ids[5] + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 4096)
+    try:
+        lines = X.read_lines(spark, str(tmp_path / "ids.txt"))
+        assert lines.rdd.getNumPartitions() > 3
+        got = {r.id: r.first_line for r in X.id_list(lines, r"^SRR\d+$", by=["file"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {x: n + 2 for n, x in enumerate(ids)}
+
+
 def test_annotation(spark):
     attr = 'gene_id "G1"; gene_name "N1"; gene_type "t"; havana_gene_id "OTHER";'
     raw = ["# gene comment", f"c\ts\tgene\t1\t2\t.\t+\t.\t{attr}", f"c\ts\texon\t1\t2\t.\t+\t.\t{attr}",
