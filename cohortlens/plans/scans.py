@@ -248,15 +248,14 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(tables.read_published(spark, path))
 
 
-@query("s12_file_inventory")
+@query("s12_file_inventory", """SELECT 's_suppkey=' || CAST(s_suppkey AS VARCHAR) AS dir, CAST(strlen(s_name) + 1 AS BIGINT) AS bytes,
+ sha256(s_name || chr(10)) AS sha256 FROM supplier""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
+    """One text file for every supplier, with known bytes."""
     path = scratch_path(spark, "inventory")
-    B.quant(spark, sf).write.partitionBy("sample_id").parquet(path)
-    files = R.read_binary(spark, path, "*.parquet")
-    name = F.regexp_extract("path", r"(sample_id=[^/]+)/", 1)
-    return sinks.file_inventory(files).groupBy(name.alias("sample_dir")).agg(
-        F.count(F.lit(1)).alias("n_files"), F.sum("bytes").alias("bytes"), F.min(F.length("sha256")).alias("digest_chars")
-    )
+    B.table(spark, sf, "supplier").select("s_suppkey", F.col("s_name").alias("value")).write.partitionBy("s_suppkey").text(path)
+    files = sinks.file_inventory(R.read_binary(spark, f"{path}/*", "*.txt"))
+    return files.select(F.regexp_extract("path", r"(s_suppkey=[^/]+)/", 1).alias("dir"), F.col("bytes").cast("long").alias("bytes"), "sha256")
 
 
 @query("s13_write_table", """SELECT COUNT(*) AS n_rows, CAST(SUM(num_reads) AS BIGINT) AS reads, TRUE AS refused FROM quant""", "quant")

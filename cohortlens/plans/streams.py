@@ -52,11 +52,13 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return _sessions(S.stall_sessions(changes, "run", "ts", 21_600))
 
 
-@query("z2b_stall_sessions_stream")
+@query("z2b_stall_sessions_stream", Z2, "changes")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    """Sessions that a file stream closed; sessions still open at the end are not emitted, hence no SQL twin."""
+    """The same through a file stream in append mode; a closing row at the end of the feed flushes open sessions."""
     feed, out, state = (scratch_path(spark, n) for n in ("changes", "sessions", "state"))
-    size_changes(progress(spark, sf), "run", "ts", "size", "event_id").select("run", "ts").write.parquet(feed)
+    changes = size_changes(progress(spark, sf), "run", "ts", "size", "event_id").select("run", "ts")
+    changes.write.parquet(feed)
+    S.closing_row(spark.read.parquet(feed), "run", "ts", 21_600).write.mode("append").parquet(feed)
     source = spark.readStream.schema("run long, ts timestamp").parquet(feed)
     S.run_available(S.stall_sessions(source, "run", "ts", 21_600), out, state).awaitTermination()
     return _sessions(spark.read.schema("run long, first_change timestamp, last_change timestamp, n_changes long").parquet(out))

@@ -32,6 +32,15 @@ def stage_status(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     return with_status(sums).drop("_r", "_f")
 
 
+def closing_row(changes: DataFrame, run: str, ts: str, timeout_seconds: int, watermark: str = WATERMARK) -> DataFrame:
+    """One late row without a run: it moves the watermark past every session, and its own session is never emitted.
+
+    Append it to a feed that has ended, so that open sessions come out of the stream.
+    """
+    late = F.max(ts) + F.expr(f"INTERVAL {timeout_seconds} SECONDS") + F.expr(f"INTERVAL {watermark}") + F.expr("INTERVAL 1 HOUR")
+    return changes.agg(late.alias(ts)).where(F.col(ts).isNotNull()).select(F.lit(None).cast(changes.schema[run].dataType).alias(run), ts)
+
+
 def stall_sessions(changes: DataFrame, run: str, ts: str, timeout_seconds: int, watermark: str = WATERMARK) -> DataFrame:
     """Periods of activity per run: ``(run, first_change, last_change, n_changes)``.
 
