@@ -39,15 +39,16 @@ RIDGE = 0.1
 #: The kernel is raised to this power, which lowers chance matches against near ones; powers of a kernel are kernels.
 POWER = 3
 COST = 10.0
-#: Sentences that a clean row gives.
+#: Sentences that a clean row gives, and those with the best matches among which a row's sentences are chosen.
 HARD = 2
+CANDIDATES = 8
 #: Kernel value from which two candidate landmarks are variants of one.
 VARIANT = 0.6
 DECAY = 0.7
 THRESHOLD = 0.7
 SPAN = 5
 #: Bytes of text whose words are matched at once (words x landmarks values are held).
-SCORED = 1 << 17
+SCORED = 1 << 16
 
 #: Symbols: 26 letters, six classes of other letters' bytes; digits as the letters they stand for; -1 is dropped.
 _SYMBOL = np.full(256, -1, np.int16)
@@ -249,6 +250,7 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     parts = []
     for i, r in enumerate(raw):
         _, best = model.sentences(np.frombuffer(r, np.uint8), np.array([0, len(r)]))
+        best = best[np.argsort(-best.max(axis=1, initial=0), kind="stable")[:CANDIDATES]]
         parts.append((np.full(len(best), i), best))
     row, features = (np.concatenate(x) for x in zip(*parts, strict=True))
     values, vectors = np.linalg.eigh(model.gram.astype(np.float64) + RIDGE * np.eye(model.size))
