@@ -25,6 +25,7 @@ class ManifestContract:
 
     run_column: str = "run"
     run_pattern: str = r"SRR\d+"
+    sample_pattern: str = r"GSM\d+"
     unique_columns: tuple[str, ...] = ("gsm", "title", "run")
     required: tuple[str, ...] = ("gsm", "title", "run", "patient_id", "analysis_group", "paper_final_set",
                                  "paper_group", "paper_exclusion_reason", "pair_sensitivity", "library_layout")
@@ -48,6 +49,9 @@ def check_manifest(df: DataFrame, contract: ManifestContract) -> DataFrame:
     # All row rules in one pass over the manifest: (rule, broken, detail column).
     rules = [
         ("run_pattern", ~text(contract.run_column).rlike(f"^(?:{contract.run_pattern})$"), contract.run_column),
+        ("gsm_pattern", ~text("gsm").rlike(f"^(?:{contract.sample_pattern})$"), "gsm"),
+        # A ragged line leaves a required column without a value.
+        ("malformed_row", reduce(lambda a, b: a | b, [c(name).isNull() for name in contract.required]), "gsm"),
         ("layout", ~c("library_layout").eqNullSafe(F.lit(contract.layout)), "library_layout"),
         ("final_set_value", not_yes_no(final), "paper_final_set"),
         ("sensitivity_value", not_yes_no(sensitive), "pair_sensitivity"),

@@ -165,6 +165,9 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
  SELECT 'unique_id' AS rule, 'BLOCKER' AS severity, 'run=' || run AS key, CAST(COUNT(*) AS VARCHAR) AS detail FROM manifest GROUP BY run
  HAVING COUNT(*) > 1 OR run = ''
  UNION ALL SELECT 'run_pattern', 'BLOCKER', run, run FROM manifest WHERE NOT regexp_full_match(run, 'SRR[0-9]+')
+ UNION ALL SELECT 'gsm_pattern', 'BLOCKER', run, gsm FROM manifest WHERE NOT regexp_full_match(gsm, 'GSM[0-9]+')
+ UNION ALL SELECT 'malformed_row', 'BLOCKER', run, gsm FROM manifest WHERE gsm IS NULL OR title IS NULL OR run IS NULL OR patient_id IS NULL
+ OR analysis_group IS NULL OR paper_final_set IS NULL OR paper_group IS NULL OR paper_exclusion_reason IS NULL OR pair_sensitivity IS NULL OR library_layout IS NULL
  UNION ALL SELECT 'layout', 'BLOCKER', run, library_layout FROM manifest WHERE library_layout <> 'SINGLE'
  UNION ALL SELECT 'exclusion_provenance', 'BLOCKER', run, paper_exclusion_reason FROM manifest
  WHERE paper_final_set = 'no' AND (paper_group <> 'excluded' OR paper_exclusion_reason = '')

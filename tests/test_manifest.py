@@ -42,6 +42,7 @@ MUTATIONS = [
     (8, "paper_group", "tumor", ("exclusion_provenance", "SRR8")),
     (0, "analysis_group", "bph_normal", ("pair", "P0")),
     (6, "paper_group", "none", ("group_size_control", "group_size_control")),
+    (9, "gsm", "SRX9", ("gsm_pattern", "SRR9")),
 ]
 
 
@@ -52,6 +53,12 @@ def test_each_mutation_gives_one_violation(spark, row, column, value, want):
     assert check(spark, data) == [want]
 
 
+def test_ragged_line_is_malformed(spark):
+    data = base()
+    data[9][COLUMNS.index("library_layout")] = None
+    assert sorted(check(spark, data)) == [("layout", "SRR9"), ("malformed_row", "SRR9")]
+
+
 def test_missing_row_and_column(spark):
     assert check(spark, base()[:9]) == [("row_count", "row_count")]
     with pytest.raises(ValueError, match="Missing manifest columns"):
