@@ -5,7 +5,7 @@ import numpy as np
 
 from cohortlens.llm import op01_suffix, op04_substring, op08_minhash
 from cohortlens.llm.base import Scratch, components
-from tests.llm.conftest import as_documents
+from tests.llm.fixtures import as_documents, pairs  # noqa: F401
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortlens.llm import op02_topk, op05_mixing, op06_toxicity, op09_packing
-from tests.llm.conftest import as_documents
+from tests.llm.fixtures import as_documents, pairs  # noqa: F401
 
 
 def shares(sizes):

@@ -6,7 +6,7 @@ import pytest
 import corpus_pipeline
 from cohortlens.llm import op06_toxicity
 from cohortlens.llm.base import Scratch
-from tests.llm.conftest import as_documents
+from tests.llm.fixtures import as_documents, pairs  # noqa: F401
 from tests.llm.test_dedup import links, smallest
 from tests.llm.test_mix import shares
 from tests.llm.test_text import base_spans

@@ -5,7 +5,7 @@ import re
 import pytest
 
 from cohortlens.llm import op03_license, op07_imatch, op10_pii
-from tests.llm.conftest import as_documents
+from tests.llm.fixtures import as_documents, pairs  # noqa: F401
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
