@@ -6,15 +6,18 @@ similarity 0.8 collides in some band with a probability of 0.99999.  Equal parag
 are one class; classes that collide are joined, confirmed by the exact similarity of
 their five-word shingle sets (0.8 or more) and clustered by components.
 
-*Passages* repeat inside paragraphs that differ otherwise.  Every run of 26 word
-positions has the start of one window of ``WINDOW`` words, chosen by the least window
-hash, so a passage of 50 words and more has a whole window of its own wherever it
-stands.  Such windows are paragraphs with a single band, all their words; windows
-that more than one document holds are merged to runs.
-
-Only clusters over two and more documents are returned; the first document (smallest
-id) of a cluster keeps its copy.  Windows are counted with map-side combine before a
-shuffle; frequent ones are joined as the long side of a join that Spark can split.
+*Passages* are runs of ``WINDOW`` words and more that stand word for word in another
+place.  A window is named by the least hash of ``ANCHOR`` words in it, so two copies
+have the same name; all windows whose name occurs in several places are compared by
+the hash of all their words, and the first place (document, then position) of each is
+found.  A window is removed where an earlier place holds it.  Only then are
+neighbouring windows with one first holder and one decision merged, so spans of
+different holders can overlap; words under any removed span go.  Spans with a window
+in common are one cluster.
+
+Paragraph clusters span two and more documents; the first document (smallest id) keeps
+its copy.  Windows are counted with map-side combine before a shuffle; frequent ones
+are joined as the long side of a join that Spark can split.
 
 Nulls, empty and short texts have no paragraph; rows without an id take no part;
 repeated rows of one id are one document; extra columns are not read.
@@ -23,6 +26,7 @@ repeated rows of one id are one document; extra columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +43,8 @@ ROWS, BANDS = 3, 16
 #: Pairs at 0.8 have 38.4 +- 2.8 of 48 coordinates in common.
 RULE = Rule(coordinates=ROWS * BANDS, min_matches=25, numerator=80)
 WINDOW = 25
-STARTS = 26
+#: Two copies of a window have the same least hash of so many words in a row.
+ANCHOR = 13
 #: A paragraph's id is its document's id and its line number.
 LINE_BITS = 24
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -77,27 +82,54 @@ def _least(key: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(low[:n], low[rest:rest + n])
 
 
+def _grams(words: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the ``k`` words from each position on."""
+    n = max(len(words) - k + 1, 0)
+    key = np.zeros(n, np.uint64)
+    for j in range(k):
+        key = key * _PRIME + words[j:j + n]
+    return mix(key)
+
+
+def _anchors(words: np.ndarray) -> np.ndarray:
+    """The least ``ANCHOR``-word hash in each window: a function of the window's words alone."""
+    if len(words) < WINDOW:
+        return np.zeros(0, np.uint64)
+    return _least(_grams(words, ANCHOR), WINDOW - ANCHOR + 1)
+
+
+def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, part, anchor, again (windows that do not overlap have it in this text) of each text's anchors."""
+    for batch in batches:
+        for first, end, data, bounds in chunks(batch.column("text")):
+            hashes, starts = word_hashes(data, bounds, NOT_SPACE)
+            sizes, anchors, again = [], [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
+            for i in range(end - first):
+                low = _anchors(hashes[starts[i]:starts[i + 1]])
+                own, left = np.unique(low, return_index=True)
+                right = len(low) - 1 - np.unique(low[::-1], return_index=True)[1]
+                sizes.append(len(own))
+                anchors.append(own)
+                again.append(right - left >= WINDOW)
+            row = pa.array(first + np.repeat(np.arange(end - first), sizes), pa.int64())
+            yield pa.record_batch({
+                "doc_id": batch.column("doc_id").take(row), "part": batch.column("part").take(row),
+                "anchor": pa.array(np.concatenate(anchors).view(np.int64)), "again": pa.array(np.concatenate(again))})
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    powers = np.cumprod(np.full(WINDOW, _PRIME))[::-1]
+    """doc_id, part, start, key of the windows whose anchor is one of the row's ``anchors``."""
     for batch in batches:
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         for first, end, data, bounds in chunks(batch.column("text")):
             hashes, starts = word_hashes(data, bounds, NOT_SPACE)
-            docs, places, keys = [], [], []
             for i in range(end - first):
                 words = hashes[starts[i]:starts[i + 1]]
-                n = len(words) - WINDOW + 1
-                if n < 1:
-                    continue
-                key = mix((np.lib.stride_tricks.sliding_window_view(words, WINDOW) * powers).sum(axis=1, dtype=np.uint64))
-                ranked = (key & ~np.uint64((1 << 26) - 1)) | np.arange(n, dtype=np.uint64)
-                chosen = np.unique(_least(ranked, min(STARTS, n)) & np.uint64((1 << 26) - 1)).astype(np.int64)
-                docs.append(np.full(len(chosen), ids[first + i], np.int64))
-                places.append(chosen)
-                keys.append(key[chosen])
-            if docs:
-                yield pa.record_batch({"doc_id": pa.array(np.concatenate(docs)), "start": pa.array(np.concatenate(places)),
-                                       "key": pa.array(np.concatenate(keys).view(np.int64))})
+                wanted = batch.column("anchors")[first + i].values.to_numpy().view(np.uint64)
+                places = np.flatnonzero(np.isin(_anchors(words), wanted))
+                row = pa.array(np.full(len(places), first + i), pa.int64())
+                yield pa.record_batch({
+                    "doc_id": batch.column("doc_id").take(row), "part": batch.column("part").take(row),
+                    "start": pa.array(places, pa.int64()), "key": pa.array(_grams(words, WINDOW)[places].view(np.int64))})
 
 
 def _band_keys(signature: str) -> Column:
@@ -124,26 +156,62 @@ def paragraph_clusters(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return members.join(several, "cluster_id").select("doc_id", F.lit("paragraph").alias("unit"), "position", "n_words", "cluster_id", "first_doc_id")
 
 
+def _place_id(doc: str, position: str) -> Column:
+    """One number for a document and a position in it, whatever the two are."""
+    number = lambda x: F.lit(Decimal(x))
+    wide = F.col(doc).cast("decimal(20,0)")
+    return F.when(F.col(position) < 1 << LINE_BITS, wide * number(1 << LINE_BITS) + F.col(position)).otherwise(
+        number(1 << 100) + (wide + number(1 << 63)) * number(1 << 32) + F.col(position)).cast("decimal(38,0)")
+
+
 def passage_clusters(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id, unit, position (word), n_words, cluster_id, first_doc_id of passages that several documents hold."""
-    windows = scratch.store(docs.mapInArrow(_windows, "doc_id long, start long, key long"))
-    several = windows.groupBy("key").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("_last")).where("first_doc_id != _last").drop("_last")
-    hits = windows.join(several, "key").distinct()
-    order = Window.partitionBy("doc_id").orderBy("start", "key")
-    apart = F.col("start") > F.lag("start").over(order) + WINDOW
-    runs = hits.withColumn("new", F.coalesce(apart, F.lit(True)).cast("int")).withColumn("run", F.sum("new").over(order))
-    return runs.groupBy("doc_id", "run").agg(
-        F.lit("passage").alias("unit"), F.min("start").alias("position"), (F.max("start") + WINDOW - F.min("start")).alias("n_words"),
-        F.min("key").alias("cluster_id"), F.min("first_doc_id").alias("first_doc_id")).drop("run")
+    """doc_id, unit, position (word), n_words, cluster_id, first_doc_id, removed of repeated passages.
+
+    A row is a longest run of windows with one first holder and one decision.
+    """
+    anchors = scratch.store(docs.mapInArrow(_anchor_rows, "doc_id long, part long, anchor long, again boolean"))
+    text = F.struct("doc_id", "part")
+    shared = anchors.groupBy("anchor").agg(F.min(text).alias("low"), F.max(text).alias("high"), F.max("again").alias("again")).where(
+        "again or low != high").select("anchor")
+    wanted = anchors.join(shared, "anchor").groupBy("doc_id", "part").agg(F.collect_set("anchor").alias("anchors"))
+    open_texts = docs.join(wanted, ["doc_id", "part"]).dropDuplicates(["doc_id", "part"])
+    windows = scratch.store(open_texts.mapInArrow(_windows, "doc_id long, part long, start long, key long"))
+    scratch.free()
+
+    place = F.struct("doc_id", "part", "start")
+    first = windows.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(
+        f"first.doc_id != last.doc_id or first.part != last.part or last.start >= first.start + {WINDOW}").drop("last")
+    # Overlapping windows of one text (a repeated word) are no copies of each other.
+    removed = (F.col("doc_id") != F.col("first.doc_id")) | (F.col("part") != F.col("first.part")) | (F.col("start") >= F.col("first.start") + WINDOW)
+    hits = windows.join(first, "key").withColumn("removed", removed).withColumn("first_doc_id", F.col("first.doc_id")).withColumn(
+        "is_first", F.col("first") == place).drop("first")
+    order = Window.partitionBy("doc_id", "part").orderBy("start")
+    follows = (F.lag("start").over(order) == F.col("start") - 1) & (F.lag("first_doc_id").over(order) == F.col("first_doc_id")) & (
+        F.lag("removed").over(order) == F.col("removed"))
+    placed = hits.withColumn("new", ~F.coalesce(follows, F.lit(False)))
+    placed = placed.withColumn("position", F.max(F.when(F.col("new"), F.col("start"))).over(order)).withColumn(
+        "span", F.xxhash64("doc_id", "part", "position"))
+    placed = scratch.store(placed.select("doc_id", "part", "position", "span", "start", "key", "first_doc_id", "removed", "is_first"))
+    # Spans with a window in common are one cluster.
+    edges = placed.select("key", F.col("span").alias("u")).join(placed.where("is_first").select("key", F.col("span").alias("v")), "key").where(
+        "u != v").select("u", "v").distinct()
+    joined = components(scratch, edges).withColumnRenamed("node", "span")
+    spans = placed.groupBy("doc_id", "part", "position", "span", "first_doc_id", "removed").agg(
+        (F.max("start") + WINDOW - F.col("position")).alias("n_words")).join(joined, "span", "left").withColumn("component", F.coalesce("component", "span"))
+    spans = scratch.store(spans)
+    names = spans.groupBy("component").agg(F.min(_place_id("doc_id", "position")).alias("cluster_id"))
+    return spans.join(names, "component").select(
+        "doc_id", F.lit("passage").alias("unit"), "position", "n_words", "cluster_id", "first_doc_id", "removed")
 
 
 def repeated_parts(docs: DataFrame) -> DataFrame:
     """doc_id, unit, position, n_words, cluster_id, first_doc_id, removed: one row per repeated paragraph or passage."""
     scratch = Scratch(docs.sparkSession, "substring")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    both = paragraph_clusters(texts, scratch).unionByName(passage_clusters(texts, scratch).select(
-        "doc_id", "unit", "position", "n_words", "cluster_id", "first_doc_id"))
-    result = scratch.store(both.withColumn("removed", F.col("doc_id") > F.col("first_doc_id")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("part")).where(
+        "doc_id is not null and text is not null")
+    lines = paragraph_clusters(texts, scratch).withColumn("removed", F.col("doc_id") > F.col("first_doc_id")).withColumn(
+        "cluster_id", F.col("cluster_id").cast("decimal(38,0)"))
+    result = scratch.store(lines.unionByName(passage_clusters(texts, scratch)))
     scratch.drop()
     return result
 

@@ -1,11 +1,12 @@
 import hashlib
+import random
 from collections import defaultdict
 
 import numpy as np
 
 from cohortlens.llm import op01_suffix, op04_substring, op08_minhash
 from cohortlens.llm.base import Scratch, components
-from tests.llm.fixtures import as_documents, pairs  # noqa: F401
+from tests.llm.fixtures import as_documents, pairs, prose  # noqa: F401
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -157,3 +158,40 @@ def test_op4_paragraphs_and_passages(spark, pairs):
 
 def test_op4_empty_table(spark):
     assert op04_substring.repeated_parts(as_documents(spark, [(None, "x " * 60), (1, None), (2, "")])).count() == 0
+
+
+def removed_words(rows, window=25):
+    """doc -> words under a window that an earlier place holds, by a dictionary of all windows."""
+    first, out = {}, {}
+    for i, t in sorted(rows):
+        w = words(t)
+        gone = set()
+        for k in range(len(w) - window + 1):
+            at = first.setdefault(tuple(w[k:k + window]), (i, k))
+            if at[0] < i or k >= at[1] + window:
+                gone.update(range(k, k + window))
+        out[i] = gone
+    return out
+
+
+def marked(got):
+    out = defaultdict(set)
+    for r in got:
+        if r.unit == "passage" and r.removed:
+            out[r.doc_id].update(range(r.position, r.position + r.n_words))
+    return out
+
+
+def test_op4_removes_the_words_that_an_earlier_place_holds(spark):
+    rng = random.Random(2)
+    a, body, tail, own = prose(rng, 60), prose(rng, 80), prose(rng, 70), prose(rng, 26)
+    five = body + " " + a + " " + tail
+    rows = [(1, prose(rng, 9) + " " + a), (5, five), (9, five), (12, prose(rng, 30) + " " + own), (13, own + " " + prose(rng, 30)),
+            (20, "x " * 90), (21, body + " " + prose(rng, 40) + " " + body), (2, prose(rng, 24))]
+    got = op04_substring.repeated_parts(as_documents(spark, rows)).collect()
+    want, found = removed_words(rows), marked(got)
+    assert {i: found[i] for i, _ in rows} == want
+    # The first holder keeps the body around the passage, and loses the passage.
+    assert want[5] == set(range(80, 140)) and want[9] == set(range(210)) and want[20] == set(range(25, 90)) and len(want[13]) == 26
+    clusters = {(r.doc_id, r.removed): r.cluster_id for r in got if r.unit == "passage" and r.doc_id in (12, 13)}
+    assert len(clusters) == 2 and len(set(clusters.values())) == 1
