@@ -1,6 +1,7 @@
 """Substring deduplication: paragraphs by MinHash banding, and passages inside longer paragraphs.
 
-*Paragraphs* are the lines of a text with at least ``MIN_WORDS`` words.  Their MinHash
+*Paragraphs* are the lines of a text with at least ``MIN_WORDS`` words, and *blocks* are
+several lines up to the next line without a word (wrapped paragraphs).  Their MinHash
 signatures are cut into 16 bands of 3 coordinates, so that a pair of Jaccard
 similarity 0.8 collides in some band with a probability of 0.99999.  Equal paragraphs
 are one class; classes that collide are joined, confirmed by the exact similarity of
@@ -15,12 +16,13 @@ neighbouring windows with one first holder and one decision merged, so spans of
 different holders can overlap; words under any removed span go.  Spans with a window
 in common are one cluster.
 
-Paragraph clusters span two and more documents; the first document (smallest id) keeps
-its copy.  Windows are counted with map-side combine before a shuffle; frequent ones
+Of a cluster the first member (document, then line) and what overlaps it stay; all
+others are removed, also in the same document.  Windows are counted with map-side combine before a shuffle; frequent ones
 are joined as the long side of a join that Spark can split.
 
 Nulls, empty and short texts have no paragraph; rows without an id take no part;
-repeated rows of one id are one document; extra columns are not read.
+equal rows of one id are one text, differing ones are places of one document; extra
+columns are not read.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortlens.llm.base import NOT_SPACE, Scratch, chunks, components, mix, shingles, table, word_hashes
+from cohortlens.llm.base import CHUNK, NOT_SPACE, Scratch, chunks, components, mix, shingles, table, word_hashes
 from cohortlens.llm.families import Rule, links
 from cohortlens.llm.registry import query
 
@@ -45,14 +47,14 @@ RULE = Rule(coordinates=ROWS * BANDS, min_matches=25, numerator=80)
 WINDOW = 25
 #: Two copies of a window have the same least hash of so many words in a row.
 ANCHOR = 13
-#: A paragraph's id is its document's id and its line number.
+#: Cluster ids are the first member's document and position in one number.
 LINE_BITS = 24
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, part, line, last, n_words, print, signature of lines and of blocks of lines (``last`` > ``line``)."""
     for batch in batches:
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         for first, end, data, bounds in chunks(batch.column("text")):
             breaks = np.flatnonzero(data == 10)
             edges = np.unique(np.concatenate([bounds, breaks, [len(data)]]))
@@ -60,18 +62,41 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = np.searchsorted(bounds, edges[:-1], "right") - 1
             # A line's number is the count of breaks before it in its text.
             line = np.searchsorted(breaks, edges[:-1], "right") - np.searchsorted(breaks, bounds[row], "left")
-            use = np.flatnonzero(np.diff(starts) >= MIN_WORDS)
+            filled = np.flatnonzero(np.diff(starts))
+            new = np.append(True, (np.diff(filled) > 1) | (np.diff(row[filled]) > 0))[:len(filled)]
+            low, high = filled[new], filled[np.append(new[1:], True)[:len(filled)]]
+            low = high = filled
+            use = starts[high + 1] - starts[low] >= MIN_WORDS
+            low, high = low[use], high[use]
             prints, signatures = [], []
-            for i in use.tolist():
-                items = shingles(hashes[starts[i]:starts[i + 1]])
+            for i, j in zip(low.tolist(), high.tolist(), strict=True):
+                items = shingles(hashes[starts[i]:starts[j + 1]])
                 prints.append(np.array([items.sum(), np.bitwise_xor.reduce(mix(items))], np.uint64).tobytes())
                 signatures.append(RULE.signature(items, 16))
+            at = pa.array(first + row[low], pa.int64())
             yield pa.record_batch({
-                "doc": pa.array((ids[first + row[use]].astype(np.int64) << LINE_BITS) + line[use], pa.int64()),
-                "n_words": pa.array(np.diff(starts)[use], pa.int64()), "print": pa.array(prints, pa.binary()),
+                "doc_id": batch.column("doc_id").take(at), "part": batch.column("part").take(at),
+                "line": pa.array(line[low], pa.int64()), "last": pa.array(line[high], pa.int64()),
+                "n_words": pa.array(starts[high + 1] - starts[low], pa.int64()), "print": pa.array(prints, pa.binary()),
                 "signature": pa.array(signatures, pa.list_(pa.int32()))})
 
 
+def _unit_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc, text of the units (doc, line, last) of each row's text."""
+    for batch in batches:
+        for text, units in zip(batch.column("text"), batch.column("units"), strict=True):
+            lines = text.as_py().split("\n")
+            docs, texts, size = [], [], 0
+            for u in units.as_py():
+                docs.append(u["doc"])
+                texts.append("\n".join(lines[u["line"]:u["last"] + 1]))
+                size += len(texts[-1])
+                if size > CHUNK:
+                    yield pa.record_batch({"doc": pa.array(docs, pa.int64()), "text": pa.array(texts, pa.string())})
+                    docs, texts, size = [], [], 0
+            yield pa.record_batch({"doc": pa.array(docs, pa.int64()), "text": pa.array(texts, pa.string())})
+
+
 def _least(key: np.ndarray, width: int) -> np.ndarray:
     span, low = 1, key
     while 2 * span <= width:
@@ -137,25 +162,6 @@ def _band_keys(signature: str) -> Column:
         b, *[F.element_at(signature, b * ROWS + r + 1) for r in range(ROWS)]))
 
 
-def paragraph_clusters(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id, unit, position (line), n_words, cluster_id, first_doc_id of near-equal paragraphs of several documents."""
-    found = scratch.store(docs.mapInArrow(_paragraphs, "doc long, n_words long, print binary, signature array<int>"))
-    classes = found.groupBy("print").agg(F.min("doc").alias("doc"))
-    representatives = scratch.store(classes.join(found.select("doc", "print", "signature"), ["doc", "print"]).dropDuplicates(["doc"]).select("doc", "signature"))
-    posted = representatives.select("doc", F.explode(_band_keys("signature")).alias("key"))
-    shared = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    lists = scratch.store(posted.join(shared, "key").select("doc", "key"))
-    scratch.free()
-    lines = docs.select(F.col("doc_id"), F.posexplode(F.split("text", "\n")).alias("line", "text")).select(
-        (F.shiftleft("doc_id", LINE_BITS) + F.col("line")).alias("doc"), "text")
-    joined = components(scratch, links(RULE, scratch, lists, representatives, lines)).withColumnRenamed("node", "doc")
-    named = classes.join(joined, "doc", "left").select("print", F.coalesce("component", "doc").alias("cluster_id"))
-    members = found.select("doc", "n_words", "print").join(named, "print").select(
-        F.shiftright("doc", LINE_BITS).alias("doc_id"), F.col("doc").bitwiseAND((1 << LINE_BITS) - 1).alias("position"), "n_words", "cluster_id").distinct()
-    several = members.groupBy("cluster_id").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("_last")).where("first_doc_id != _last").drop("_last")
-    return members.join(several, "cluster_id").select("doc_id", F.lit("paragraph").alias("unit"), "position", "n_words", "cluster_id", "first_doc_id")
-
-
 def _place_id(doc: str, position: str) -> Column:
     """One number for a document and a position in it, whatever the two are."""
     number = lambda x: F.lit(Decimal(x))
@@ -164,6 +170,36 @@ def _place_id(doc: str, position: str) -> Column:
         number(1 << 100) + (wide + number(1 << 63)) * number(1 << 32) + F.col(position)).cast("decimal(38,0)")
 
 
+def paragraph_clusters(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """doc_id, unit, position (line), n_words, cluster_id, first_doc_id, removed of near-equal paragraphs and blocks."""
+    found = scratch.store(docs.mapInArrow(
+        _paragraphs, "doc_id long, part long, line long, last long, n_words long, print binary, signature array<int>"))
+    place = F.struct("doc_id", "part", "line", "last")
+    classes = found.groupBy("print").agg(F.min(F.struct(place.alias("place"), F.col("signature"))).alias("low"))
+    # Each class has a number of its own, fixed by storing it, whatever the ids are.
+    classes = scratch.store(classes.select("print", "low.place.*", "low.signature", F.monotonically_increasing_id().alias("doc")))
+    representatives = classes.select("doc", "signature")
+    posted = representatives.select("doc", F.explode(_band_keys("signature")).alias("key"))
+    shared = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    lists = scratch.store(posted.join(shared, "key").select("doc", "key"))
+    scratch.free()
+    units = classes.join(lists.select("doc").distinct(), "doc", "left_semi").groupBy("doc_id", "part").agg(
+        F.collect_list(F.struct("doc", "line", "last")).alias("units"))
+    texts = docs.join(units, ["doc_id", "part"]).dropDuplicates(["doc_id", "part"]).select("text", "units")
+    texts = scratch.store(texts.mapInArrow(_unit_texts, "doc long, text string"))
+    joined = components(scratch, links(RULE, scratch, lists, representatives, texts)).withColumnRenamed("node", "doc")
+    named = classes.select("print", "doc").join(joined, "doc", "left").select("print", F.coalesce("component", "doc").alias("component"))
+    members = scratch.store(found.select("doc_id", "part", "line", "last", "n_words", "print").join(named, "print").drop("print").distinct())
+    # A copy starts after the end of the first unit; a block and its own lines are no copies of each other.
+    first = members.groupBy("component").agg(F.min(F.struct("doc_id", "part", "line", (-F.col("last")).alias("last"))).alias("first"))
+    later = (F.col("doc_id") != F.col("first.doc_id")) | (F.col("part") != F.col("first.part")) | (F.col("line") > -F.col("first.last"))
+    decided = members.join(first, "component").withColumn("removed", later)
+    names = decided.groupBy("component").agg(F.min(_place_id("doc_id", "line")).alias("cluster_id"), F.max("removed").alias("several")).where("several")
+    return decided.join(names, "component").select(
+        "doc_id", F.when(F.col("last") > F.col("line"), "block").otherwise("paragraph").alias("unit"), F.col("line").alias("position"),
+        "n_words", "cluster_id", F.col("first.doc_id").alias("first_doc_id"), "removed")
+
+
 def passage_clusters(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, unit, position (word), n_words, cluster_id, first_doc_id, removed of repeated passages.
 
@@ -209,9 +245,10 @@ def repeated_parts(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "substring")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("part")).where(
         "doc_id is not null and text is not null")
-    lines = paragraph_clusters(texts, scratch).withColumn("removed", F.col("doc_id") > F.col("first_doc_id")).withColumn(
-        "cluster_id", F.col("cluster_id").cast("decimal(38,0)"))
-    result = scratch.store(lines.unionByName(passage_clusters(texts, scratch)))
+    paragraphs = scratch.store(paragraph_clusters(texts, scratch))
+    scratch.drop()
+    scratch.free()
+    result = scratch.store(paragraphs.unionByName(passage_clusters(texts, scratch)))
     scratch.drop()
     return result
 

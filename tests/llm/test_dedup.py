@@ -195,3 +195,14 @@ def test_op4_removes_the_words_that_an_earlier_place_holds(spark):
     assert want[5] == set(range(80, 140)) and want[9] == set(range(210)) and want[20] == set(range(25, 90)) and len(want[13]) == 26
     clusters = {(r.doc_id, r.removed): r.cluster_id for r in got if r.unit == "passage" and r.doc_id in (12, 13)}
     assert len(clusters) == 2 and len(set(clusters.values())) == 1
+
+
+def test_op4_wide_ids(spark):
+    rng = random.Random(4)
+    line, other = prose(rng, 30), prose(rng, 30)
+    low, high = 2**62 + 1, 2**62 + 1 + 2**40
+    rows = [(low, line), (high, other + "\n" + line), (2**62 + 7, prose(rng, 30)), (7, prose(rng, 30)), (-(2**62), other)]
+    got = [r for r in op04_substring.repeated_parts(as_documents(spark, rows)).collect() if r.unit == "paragraph"]
+    assert {(r.doc_id, r.position, r.first_doc_id, r.removed) for r in got} == {
+        (low, 0, low, False), (high, 1, low, True), (-(2**62), 0, -(2**62), False), (high, 0, -(2**62), True)}
+    assert {r.cluster_id for r in got} == {low << 24, -(2**62) << 24}
