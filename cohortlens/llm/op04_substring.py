@@ -40,7 +40,7 @@ from cohortlens.llm.base import CHUNK, NOT_SPACE, Scratch, chunks, components, m
 from cohortlens.llm.families import Rule, links
 from cohortlens.llm.registry import query
 
-MIN_WORDS = 20
+MIN_WORDS = 5
 ROWS, BANDS = 3, 16
 #: Pairs at 0.8 have 38.4 +- 2.8 of 48 coordinates in common.
 RULE = Rule(coordinates=ROWS * BANDS, min_matches=25, numerator=80)
@@ -65,7 +65,7 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             filled = np.flatnonzero(np.diff(starts))
             new = np.append(True, (np.diff(filled) > 1) | (np.diff(row[filled]) > 0))[:len(filled)]
             low, high = filled[new], filled[np.append(new[1:], True)[:len(filled)]]
-            low = high = filled
+            low, high = (np.concatenate([filled, x[high > low]]) for x in (low, high))
             use = starts[high + 1] - starts[low] >= MIN_WORDS
             low, high = low[use], high[use]
             prints, signatures = [], []

@@ -206,3 +206,17 @@ def test_op4_wide_ids(spark):
     assert {(r.doc_id, r.position, r.first_doc_id, r.removed) for r in got} == {
         (low, 0, low, False), (high, 1, low, True), (-(2**62), 0, -(2**62), False), (high, 0, -(2**62), True)}
     assert {r.cluster_id for r in got} == {low << 24, -(2**62) << 24}
+
+
+def test_op4_wrapped_and_short_paragraphs_and_copies_in_a_document(spark):
+    rng = random.Random(6)
+    w, short = prose(rng, 60).split(), prose(rng, 7)
+    near = list(w)
+    near[24] = "changed"
+    wrap = lambda ws, n: "\n".join(" ".join(ws[k:k + n]) for k in range(0, len(ws), n))
+    rows = [(1, wrap(w, 12) + "\n\n" + short), (2, prose(rng, 11) + "\n\n" + wrap(near, 16)), (3, " ".join(w)),
+            (4, short + "\n\n" + prose(rng, 9) + "\n\n" + short), (5, prose(rng, 30) + "\nend")]
+    got = {(r.doc_id, r.unit, r.position): r for r in op04_substring.repeated_parts(as_documents(spark, rows)).collect() if r.unit != "passage"}
+    assert {k: (r.first_doc_id, r.removed) for k, r in got.items()} == {
+        (1, "block", 0): (1, False), (2, "block", 2): (1, True), (3, "paragraph", 0): (1, True),
+        (1, "paragraph", 5): (1, False), (4, "paragraph", 0): (1, True), (4, "paragraph", 4): (1, True)}
