@@ -39,7 +39,7 @@ from cohortlens.llm.registry import query
 RULE = Rule(coordinates=64, min_matches=40, numerator=85)
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _features(rule: Rule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, end, data, bounds in chunks(batch.column("text")):
             hashes, starts = word_hashes(data, bounds)
@@ -52,7 +52,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     signatures.append(None)
                     continue
                 prints.append(np.array([items.sum(), np.bitwise_xor.reduce(mix(items))], np.uint64).tobytes())
-                signatures.append(RULE.signature(items))
+                signatures.append(rule.signature(items))
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id").slice(first, end - first),
                 "n_shingles": pa.array(sizes, pa.int64()),
@@ -61,7 +61,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             })
 
 
-def _postings(representatives: DataFrame) -> DataFrame:
+def _postings(rule: Rule, representatives: DataFrame) -> DataFrame:
     """(doc, key) of the prefix lists of each document that can have a partner."""
     posted = representatives.select("doc", F.posexplode("signature").alias("at", "value")).select(
         "doc", (F.shiftleft(F.col("at").cast("long"), 32) + F.col("value").cast("long") + F.lit(2**31)).alias("key"))
@@ -69,24 +69,25 @@ def _postings(representatives: DataFrame) -> DataFrame:
     found = posted.join(lengths, "key")
     # At most one row per coordinate and document, so the arrays are short.
     ordered = found.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("length", "key"))).alias("lists")).where(
-        F.size("lists") >= RULE.min_matches)
-    return ordered.select("doc", F.explode(F.slice("lists", F.lit(1), F.size("lists") - (RULE.min_matches - 1))).alias("x")).select(
+        F.size("lists") >= rule.min_matches)
+    return ordered.select("doc", F.explode(F.slice("lists", F.lit(1), F.size("lists") - (rule.min_matches - 1))).alias("x")).select(
         "doc", F.col("x.key").alias("key"))
 
 
-def near_duplicates(docs: DataFrame, name: str = "minhash") -> DataFrame:
+def near_duplicates(docs: DataFrame, name: str = "minhash", rule: Rule | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable), kept (doc_id = component_id)."""
     spark = docs.sparkSession
+    rule = rule or RULE
     scratch = Scratch(spark, name)
     features = scratch.store(docs.select("doc_id", "text").mapInArrow(
-        _features, "doc_id long, n_shingles long, print binary, signature array<int>"))
+        lambda batches: _features(rule, batches), "doc_id long, n_shingles long, print binary, signature array<int>"))
     classes = features.where("print is not null").groupBy("print").agg(F.min("doc_id").alias("doc"))
     signed = features.where("print is not null").select(F.col("doc_id").alias("doc"), "print", "signature")
     representatives = scratch.store(classes.join(signed, ["doc", "print"]).dropDuplicates(["doc", "print"]).select("doc", "signature"))
-    prefix = scratch.store(_postings(representatives))
+    prefix = scratch.store(_postings(rule, representatives))
 
     texts = docs.select(F.col("doc_id").alias("doc"), "text")
-    grown = components(scratch, links(RULE, scratch, prefix, representatives, texts)).withColumnRenamed("node", "doc")
+    grown = components(scratch, links(rule, scratch, prefix, representatives, texts)).withColumnRenamed("node", "doc")
     named = classes.join(grown, "doc", "left").select("print", F.coalesce("component", "doc").alias("component"))
     out = features.select("doc_id", "n_shingles", "print").join(named, "print", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

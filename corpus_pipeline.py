@@ -1,9 +1,10 @@
 """Corpus pipeline: toxicity filter, near-duplicate removal, redaction, source mixing, packing.
 
 Every stage takes and returns documents (the last one returns packed pieces), is
-written as Parquet in the shared folder and read again by the next one.  Rows
-without an id cannot be told apart by the duplicate stage and stay; repeated rows
-of one id leave one row there; nulls and empty texts pass.  A table without
+written as Parquet in the shared folder and read again by the next one.  The
+duplicate stage compares texts at op8's 0.85 whatever their ids (near copies from
+0.80 to 0.85 stay): differing texts of one
+id stay, copies without an id leave one row; nulls and empty texts pass.  A table without
 usable labels rejects nothing.
 """
 
@@ -22,10 +23,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near copies."""
-    kept = op08_minhash.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of each group of near copies: the text with the smallest id, rows without an id after all others.
+
+    Texts are compared, not ids.  Each distinct text has a number of its own, in the
+    order of its smallest id; rows without a word are no copies and stay.
+    """
+    scratch = Scratch(spark, "near")
+    read = docs.withColumn("_print", F.sha2("text", 256))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
+    texts = scratch.store(read.where("text is not null").groupBy("_print").agg(F.min(order).alias("low"), F.first("text").alias("text")).select(
+        "_print", "low", F.monotonically_increasing_id().alias("_text"), "text"))
+    found = op08_minhash.near_duplicates(texts.select(F.col("_text").alias("doc_id"), "text"), rule=op08_minhash.RULE)
+    groups = scratch.store(found.join(texts.select(F.col("_text").alias("doc_id"), "_print", "low"), "doc_id").select(
+        "_print", "low", "component_id", "n_shingles"))
+    first = groups.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("low", "_print")).alias("first")).select(
+        F.col("first._print").alias("_print"), F.lit(True).alias("_copy"))
+    empty = groups.where("n_shingles = 0").select("_print", F.lit(False).alias("_copy"))
+    stays = read.join(first.unionByName(empty), "_print")
+    # Equal texts differ in other columns only; the row with the smallest id stays, of one id the smallest by all columns.
+    every = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    row = F.struct(order.alias("order"), every.alias("row"))
+    one = stays.where("_copy").groupBy("_print").agg(F.min(row).alias("low")).select("low.row.*")
+    return one.unionByName(stays.where("not _copy").select(*docs.columns)).unionByName(docs.where(F.col("text").isNull()))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from cohortlens.llm import op06_toxicity
+from cohortlens.llm import op06_toxicity, op08_minhash
 from cohortlens.llm.base import Scratch
 from tests.llm.fixtures import as_documents, pairs  # noqa: F401
 from tests.llm.test_dedup import links, smallest
@@ -68,3 +68,24 @@ def test_stages_take_odd_tables(spark, pairs, tmp_path):
             assert now.columns == docs.columns
         packed = corpus_pipeline.STAGES[-1][1](spark, now, str(tmp_path))
         assert packed.count() >= now.count()
+
+
+def test_near_stage_goes_by_text_and_not_by_id(spark):
+    text = lambda k: " ".join(f"{k}v{i}" for i in range(40))
+    rows = [(3, text("a")), (3, text("b")), (3, text("b")), (None, text("c")), (None, text("c") + " end"), (None, text("a")),
+            (4, ""), (4, ""), (5, None)]
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, as_documents(spark, rows), "").collect()]
+    c = [r for r in got if r[1] and r[1].startswith("cv")]
+    assert len(c) == 1 and c[0][0] is None
+    assert sorted((r for r in got if r not in c), key=str) == sorted([rows[i] for i in (0, 1, 6, 7, 8)], key=str)
+
+
+def test_near_duplicates_take_a_rule(spark):
+    base = [f"w{i}" for i in range(120)]
+    near = list(base)
+    near[30], near[90] = "x", "y"
+    rows = [(1, " ".join(base)), (2, " ".join(near))]
+    assert len(links(rows, 84)[1]) == 1 and not links(rows, 85)[1]
+    docs = as_documents(spark, rows)
+    kept = lambda **rule: {r.doc_id for r in op08_minhash.near_duplicates(docs, **rule).where("kept").collect()}
+    assert kept() == {1, 2} and kept(rule=op08_minhash.Rule(coordinates=64, min_matches=34, numerator=80)) == {1}
