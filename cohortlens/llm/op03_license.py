@@ -1,16 +1,16 @@
-"""License scan by diagonal voting over rolling word k-grams (DataFrame functions only).
+"""License scan by voting over rolling word k-grams (DataFrame functions only).
 
 All word pairs of every text are hashed and joined to the positions of the same
-pairs in a fixed set of templates.  A hit at word p for template position t votes
-for diagonal p - t.  Votes are counted per document, template and diagonal;
-diagonals at most ``SLACK`` words apart are merged (inserted or missing words),
-and a merged span counts if its votes cover enough of the template.  For the base
-phrases every pair must vote on one diagonal, so that a counted diagonal is a
-place of the phrase; a second, independent hash in the join verifies each hit.
+pairs in a fixed set of templates; a second, independent hash in the join verifies
+each hit.  A place of a template is a hit and the hits after it within the length of
+the template and ``SLACK`` words (inserted words).  It has as many votes as template
+positions can be put in order, each once and at a later word, and counts if they
+cover enough of the template: so its words are in the text, in the template's order.
+For the base phrases all pairs must stand in a row.
 
 The template table has a few hundred rows whatever the data, so it is broadcast
-and texts are not shuffled; what is shuffled is one row per document and hit
-diagonal, combined per task before.
+and texts are not shuffled; what is shuffled is a document's hits of a template,
+collected per task before.
 
 Null and empty texts have no word; repeated rows are separate results; very long
 texts are one array of words in a task; extra columns are not read.
@@ -19,10 +19,10 @@ texts are one array of words in a task; extra columns are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from cohortlens.llm.base import fold_ascii, table
 from cohortlens.llm.registry import query
@@ -83,24 +83,38 @@ def scan(docs: DataFrame, templates: tuple = TEMPLATES, phrases: tuple = PHRASES
     hits = rolling.join(F.broadcast(template_grams(docs.sparkSession, templates, phrases).withColumnsRenamed({"h": "_h", "h2": "_h2"})),
                         (F.col("h") == F.col("_h")) & (F.col("h2") == F.col("_h2")) & (F.col("p") >= 0), "left")
     hits = hits.where("template is not null or p = -1").withColumn("n", F.when(F.col("p") == -1, F.col("h")))
-    diagonals = hits.groupBy("row", "doc_id", "template", "label", "base", "need", (F.col("p") - F.col("t")).alias("diagonal")).agg(
-        F.max("n").alias("n"), F.count("*").alias("votes"))
-    near = Window.partitionBy("row", "template").orderBy("diagonal")
-    gap = F.col("diagonal") - F.lag("diagonal").over(near)
-    merged = diagonals.withColumn("new", F.when(gap.isNull() | (gap > F.when(F.col("base"), 0).otherwise(SLACK)), 1).otherwise(0)).withColumn(
-        "span", F.sum("new").over(near)
-    ).groupBy("row", "doc_id", "template", "label", "base", "need", "span").agg(
-        F.max("n").alias("n"), F.sum("votes").alias("votes"), F.min("diagonal").alias("start"))
-    cover = F.least(F.lit(1.0), F.col("votes") / F.col("need"))
-    base = F.coalesce(F.col("base"), F.lit(False)) & (F.col("votes") >= F.col("need"))
-    valid = base | (~F.coalesce(F.col("base"), F.lit(True)) & (cover >= COVERAGE))
+    # A pair of words stands at so many positions of one template at most.
+    repeats = max(Counter(zip(w, w[1:])).most_common(1)[0][1] for w in map(_template_words, [p for p, _ in phrases] + [t for _, t in templates]))
+    place = F.when(F.col("template").isNotNull(), F.struct("p", (-F.col("t")).alias("u")))
+    found = hits.groupBy("row", "doc_id", "template", "label", "base", "need").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(place)).alias("at"))
+    extent = F.col("need") - 1 + F.when(F.col("base"), 0).otherwise(SLACK)
+
+    def votes(x: Column, i: Column) -> Column:
+        """Most template positions in order, from hit ``x`` on and within the extent, each at a later word."""
+        after = F.filter(F.slice("at", i + 2, repeats * (extent + 1)), lambda y: (y["p"] > x["p"]) & (y["p"] <= x["p"] + extent) & (y["u"] < x["u"]))
+        longer = lambda best, y: F.transform(best, lambda v, t: F.when(
+            t == -y["u"], F.greatest(v, F.array_max(F.slice(best, 1, t)) + 1)).otherwise(v))
+        return F.aggregate(after, F.array_repeat(F.lit(0), F.col("need")), longer, F.array_max) + 1
+
+    spans = found.withColumn("spans", F.transform("at", lambda x, i: F.struct(
+        x["p"].alias("p"), (x["p"] + x["u"]).alias("start"), votes(x, i).alias("votes"))))
+    enough = F.when(F.col("base"), F.col("need")).otherwise(COVERAGE * F.col("need"))
+    spans = spans.withColumn("good", F.filter("spans", lambda x: x["votes"] >= enough)).withColumn(
+        "cover", F.array_max(F.transform("spans", lambda x: x["votes"] / F.col("need"))))
+    # Later hits of one place have about the same start.
+    near = F.when(F.col("base"), 0).otherwise(SLACK)
+    apart = F.filter("good", lambda x, i: (i == 0) | (F.abs(x["start"] - F.element_at("good", F.greatest(i, F.lit(1)))["start"]) > near))
+    base = F.coalesce(F.col("base"), F.lit(False)) & (F.size("good") > 0)
+    valid = F.size("good") > 0
     joined = lambda flag: F.array_join(F.array_sort(F.collect_set(F.when(flag, F.col("label")))), ",")
-    return merged.groupBy("row", "doc_id").agg(
-        F.max("n").alias("n_words"), F.count_if(base).alias("n_base"),
-        F.min(F.when(base, F.col("start"))).cast("long").alias("first_word"), F.max(F.when(base, F.col("start"))).cast("long").alias("last_word"),
+    starts = F.transform("good", lambda x: x["start"])
+    listed = F.transform(apart, lambda x: F.struct(x["start"].alias("start"), F.col("label").alias("label"), F.col("need").alias("need")))
+    return spans.groupBy("row", "doc_id").agg(
+        F.max("n").alias("n_words"), F.sum(F.when(base, F.size("good")).otherwise(0)).alias("n_base"),
+        F.min(F.when(base, F.array_min(starts))).cast("long").alias("first_word"), F.max(F.when(base, F.array_max(starts))).cast("long").alias("last_word"),
         joined(base).alias("base_labels"), joined(valid).alias("labels"),
-        F.coalesce(F.max(F.when(base, F.lit(1.0)).when(~F.coalesce(F.col("base"), F.lit(True)), cover)), F.lit(0.0)).alias("score"),
-        F.sort_array(F.collect_list(F.when(valid, F.struct("start", "label", "need")))).alias("spans"),
+        F.coalesce(F.max(F.when(base, F.lit(1.0)).when(~F.coalesce(F.col("base"), F.lit(True)), F.col("cover"))), F.lit(0.0)).alias("score"),
+        F.sort_array(F.flatten(F.collect_list(F.when(valid, listed)))).alias("spans"),
     ).drop("row")
 
 

@@ -139,3 +139,16 @@ def test_op7_likeness():
     assert op07_imatch.likeness("ab12" * 128, "ab12" * 128) == 1
     assert op07_imatch.likeness("ab12" * 128, "cd34" * 128) == 0
     assert op07_imatch.likeness("----" * 128, "cd34" * 128) == 0
+
+
+def test_op3_votes_are_distinct_positions_in_order(spark):
+    whole = "licensed under the GNU Lesser General Public License today"
+    rows = [(1, "general public license general public license"), (2, "the public " * 8), (3, whole),
+            (4, "public domain into the public released into software released free and is free this is unencumbered software"),
+            (5, "This is free and really unencumbered software released into the public domain"), (6, (whole + " ") * 3)]
+    got = {r.doc_id: r for r in op03_license.scan(as_documents(spark, rows)).collect()}
+    assert got[1].labels == "gpl" and got[2].labels == "" and got[2].score < 0.2
+    assert got[3].labels == got[6].labels == "gpl,lgpl" and got[3].n_base == 1 and got[6].n_base == 3
+    assert got[4].labels == "" and got[5].labels == "unlicense"
+    assert [s.start for s in got[3].spans if s.label == "lgpl"] == [3]
+    assert [s.start for s in got[6].spans if s.label == "lgpl"] == [3, 12, 21]
