@@ -214,7 +214,7 @@ def test_op4_wrapped_and_short_paragraphs_and_copies_in_a_document(spark):
     near = list(w)
     near[24] = "changed"
     wrap = lambda ws, n: "\n".join(" ".join(ws[k:k + n]) for k in range(0, len(ws), n))
-    rows = [(1, wrap(w, 12) + "\n\n" + short), (2, prose(rng, 11) + "\n\n" + wrap(near, 16)), (3, " ".join(w)),
+    rows = [(1, wrap(w, 12) + "\n\n" + short), (2, prose(rng, 11) + "\n\n" + wrap(near, 17)), (3, " ".join(w)),
             (4, short + "\n\n" + prose(rng, 9) + "\n\n" + short), (5, prose(rng, 30) + "\nend")]
     got = {(r.doc_id, r.unit, r.position): r for r in op04_substring.repeated_parts(as_documents(spark, rows)).collect() if r.unit != "passage"}
     assert {k: (r.first_doc_id, r.removed) for k, r in got.items()} == {
