@@ -13,7 +13,7 @@ QUERIES: dict[str, Query] = {}
 STATEMENTS: dict[str, str] = {}
 
 MODULES = ("op01_suffix", "op02_topk", "op03_license", "op04_substring", "op05_mixing", "op06_toxicity",
-           "op07_imatch", "op08_minhash", "op09_packing", "op10_pii", "op12_filters")
+           "op07_imatch", "op08_minhash", "op09_packing", "op10_pii", "op11_search", "op12_filters", "op13_html")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
