@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import ratio
-from cohortlens.operators.ordering import mid_rank, top_k_per_group
+from cohortlens.operators.ordering import distinct_ladder, join_by_value, top_k_per_group
 
 
 def significant(df: DataFrame, alpha: float = 0.05) -> DataFrame:
@@ -151,9 +151,21 @@ def pearson(pairs: DataFrame, x: str, y: str, by: list[str] | None = None) -> Da
 
 def spearman(pairs: DataFrame, x: str, y: str, by: list[str] | None = None) -> DataFrame:
     """Pearson correlation of mid-ranks over complete pairs."""
-    kept = pairs.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    ranked = mid_rank(mid_rank(kept, x, by, "_rx"), y, by, "_ry")
-    return pearson(ranked, "_rx", "_ry", by)
+    by = by or []
+    # Equal pairs are counted once; both rankings and the sums read these counts.
+    counted = pairs.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(
+        *by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).agg(F.count(F.lit(1)).alias("_w")).where(~F.isnan("_x") & ~F.isnan("_y"))
+    ranked = counted
+    for value, out in (("_x", "_rx"), ("_y", "_ry")):
+        ladder = distinct_ladder(counted, value, by, weight="_w").withColumn(out, F.col("below") + (F.col("n") + 1) / F.lit(2.0))
+        ranked = join_by_value(ranked, ladder.select(*by, value, "n", out, "total"), value, by, [out, "total"]).withColumnRenamed("total", f"_n{out}")
+    # Mid-ranks of n pairs have the mean (n + 1) / 2, so one pass over centred ranks is exact enough.
+    dx, dy = (F.col(r) - (F.col(f"_n{r}") + 1) / F.lit(2.0) for r in ("_rx", "_ry"))
+    w = F.col("_w")
+    sums = (ranked.groupBy(*by) if by else ranked.groupBy()).agg(
+        F.coalesce(F.sum(w), F.lit(0)).alias("n"), F.sum(w * dx * dy).alias("_c"), F.sum(w * dx * dx).alias("_vx"), F.sum(w * dy * dy).alias("_vy"))
+    usable = (F.col("n") >= 2) & (F.col("_vx") > 0) & (F.col("_vy") > 0)
+    return sums.select(*by, "n", F.when(usable, F.col("_c") / (F.sqrt("_vx") * F.sqrt("_vy"))).alias("r"))
 
 
 def type_composition(ids: DataFrame, types: DataFrame, key: str, group: str, missing: str = "unannotated") -> DataFrame:

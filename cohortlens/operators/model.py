@@ -212,44 +212,97 @@ class Trend:
         return F.lit(self.a1) / mean + F.lit(self.a0)
 
 
+class NotConverged(RuntimeError):
+    """A fit that has used up its steps; no half-way result is returned."""
+
+
+# Lengths of a Newton step: the whole one first, the others in one more pass where it does not lower the loss.
+STEP_LENGTHS = (1.0, 0.5, 0.125, 1.0 / 64)
+# The trend stays above this at every mean, and does not rise with the mean.
+LOWEST_TREND = 1e-8
+
+
+def _gamma_sums(good: DataFrame, points: Sequence[tuple[float, float]]) -> list[dict[str, float]]:
+    """Deviance, gradient and Hessian of the gamma likelihood at several coefficient pairs, in one aggregate."""
+    columns = []
+    for i, (a0, a1) in enumerate(points):
+        y, x, mu = F.col("y"), F.col("x"), F.lit(a0) + F.lit(a1) * F.col("x")
+        slope, curve, safe = (mu - y) / (mu * mu), (2 * y - mu) / (mu * mu * mu), 1 / (mu * mu)
+        terms = {"loss": y / mu + F.ln(mu), "g0": slope, "g1": slope * x, "h00": curve, "h01": curve * x, "h11": curve * x * x,
+                 "w": safe, "wx": safe * x, "wxx": safe * x * x}
+        columns += [F.sum(term).alias(f"{name}_{i}") for name, term in terms.items()]
+    row = good.agg(*columns).first().asDict()
+    return [{name.rsplit("_", 1)[0]: v for name, v in row.items() if name.endswith(f"_{i}")} for i in range(len(points))]
+
+
+def _newton_step(s: dict[str, float], a0: float, a1: float) -> tuple[float, float]:
+    """Newton direction, or the scoring direction where the likelihood is not convex; one-dimensional where a1 stays 0."""
+    if a1 <= 0 and s["g1"] >= 0:
+        return -s["g0"] / (s["h00"] if s["h00"] > 0 else s["w"]), 0.0
+    for h00, h01, h11 in ((s["h00"], s["h01"], s["h11"]), (s["w"], s["wx"], s["wxx"])):
+        det = h00 * h11 - h01 * h01
+        if h00 > 0 and det > 1e-14 * h00 * h11:
+            return (h01 * s["g1"] - h11 * s["g0"]) / det, (h01 * s["g0"] - h00 * s["g1"]) / det
+    return -s["g0"] / s["w"], 0.0
+
+
+def gamma_fit(good: DataFrame, start: tuple[float, float], steps: int = 40, tol: float = 1e-6) -> tuple[float, float]:
+    """Coefficients of ``y ~ a0 + a1 x`` with gamma errors (both kept from falling below their bounds).
+
+    A safeguarded Newton iteration: each pass over the rows returns the likelihood and
+    its derivatives after a step, and a step that does not lower the loss is shortened.
+    Convergence is quadratic, so a step below ``tol`` leaves an error near its square.
+    Raises :class:`NotConverged` when no step is small enough after ``steps`` passes.
+    """
+    at, sums = start, None
+    for _ in range(steps):
+        if sums is None:
+            sums = _gamma_sums(good, [at])[0]
+            if sums["w"] is None:
+                raise ValueError("No genes left for the dispersion trend")
+        d0, d1 = _newton_step(sums, *at)
+        tried = [(max(at[0] + t * d0, LOWEST_TREND), max(at[1] + t * d1, 0.0)) for t in STEP_LENGTHS]
+        found = _gamma_sums(good, tried[:1])
+        if found[0]["loss"] > sums["loss"]:
+            found += _gamma_sums(good, tried[1:])
+        best = min(range(len(found)), key=lambda i: found[i]["loss"])
+        moved = sum(abs(b - a) / (abs(a) + 1e-8) for a, b in zip(at, tried[best], strict=True))
+        # No length lowers the loss any more: rounding is all that is left.
+        stuck = found[best]["loss"] > sums["loss"]
+        if not stuck:
+            at, sums = tried[best], found[best]
+        if moved < tol or (stuck and moved < 1e-5):
+            return at
+    raise NotConverged(f"Gamma fit did not converge in {steps} passes")
+
+
 def dispersion_trend(genes: DataFrame, rounds: int = 10) -> Trend:
     """Gamma fit with identity link, repeated without genes far from the trend.
 
-    Each least-squares step is one Spark aggregate of five sums; only these sums
-    reach the driver.  ``genes`` needs ``base_mean`` and ``disp_gene``.
+    ``genes`` needs ``base_mean`` and ``disp_gene``.  Each pass of :func:`gamma_fit` is one
+    Spark aggregate; only sums reach the driver.  Raises :class:`NotConverged` when the
+    coefficients still move after ``rounds`` fits.
     """
     usable = genes.where((F.col("disp_gene") >= 100 * nbfit.MIN_DISP) & (F.col("base_mean") > 0)).select(
         F.col("disp_gene").alias("y"), (1.0 / F.col("base_mean")).alias("x")
     )
-    a0, a1 = 0.1, 1.0
+    at = (0.1, 1.0)
     for _ in range(rounds):
-        start = (a0, a1)
-        ratio = F.col("y") / (F.lit(a0) + F.lit(a1) * F.col("x"))
-        good = usable.where((ratio > 1e-4) & (ratio < 15))
-        for _ in range(25):
-            mu = F.lit(a0) + F.lit(a1) * F.col("x")
-            w = 1.0 / (mu * mu)
-            s = good.agg(
-                F.sum(w).alias("w"), F.sum(w * F.col("x")).alias("wx"), F.sum(w * F.col("x") * F.col("x")).alias("wxx"),
-                F.sum(w * F.col("y")).alias("wy"), F.sum(w * F.col("x") * F.col("y")).alias("wxy"),
-            ).first()
-            if s["w"] is None:
-                raise ValueError("No genes left for the dispersion trend")
-            det = s["w"] * s["wxx"] - s["wx"] ** 2
-            if det <= 0:
-                return Trend(s["wy"] / s["w"], 0.0)
-            b0 = (s["wxx"] * s["wy"] - s["wx"] * s["wxy"]) / det
-            b1 = (s["w"] * s["wxy"] - s["wx"] * s["wy"]) / det
-            # The trend must stay positive over the data.
-            b0, b1 = max(b0, 1e-8), max(b1, 0.0)
-            moved = abs(b0 - a0) / (abs(a0) + 1e-8) + abs(b1 - a1) / (abs(a1) + 1e-8)
-            a0, a1 = b0, b1
-            if moved < 1e-6:
-                break
-        step = math.log(max(a0, 1e-300) / max(start[0], 1e-300)) ** 2 + math.log(max(a1, 1e-300) / max(start[1], 1e-300)) ** 2
+        ratio = F.col("y") / (F.lit(at[0]) + F.lit(at[1]) * F.col("x"))
+        found = gamma_fit(usable.where((ratio > 1e-4) & (ratio < 15)), at)
+        step = sum(math.log(max(b, 1e-300) / max(a, 1e-300)) ** 2 for a, b in zip(at, found, strict=True))
+        at = found
         if step < 1e-6:
-            break
-    return Trend(a0, a1)
+            return Trend(*at)
+    raise NotConverged(f"Dispersion trend did not settle in {rounds} fits")
+
+
+def moment_dispersion(factors: DataFrame) -> DataFrame:
+    """``gene_id, base_mean, disp_gene`` by moments over all samples, without a design."""
+    q = F.col("count") / F.col("nf")
+    sums = factors.groupBy("gene_id").agg(F.avg(q).alias("base_mean"), F.var_samp(q).alias("_v"), F.avg(1 / F.col("nf")).alias("_i"))
+    raw = F.try_divide(F.col("_v") - F.col("_i") * F.col("base_mean"), F.col("base_mean") * F.col("base_mean"))
+    return sums.select("gene_id", "base_mean", F.greatest(raw, F.lit(nbfit.MIN_DISP)).alias("disp_gene"))
 
 
 @dataclass(frozen=True)
@@ -453,10 +506,14 @@ def de_flags(result: DataFrame, alpha: float = 0.05) -> DataFrame:
     })
 
 
-def vst(factors: DataFrame, trend: Trend) -> DataFrame:
-    """Variance-stabilised value of each cell from the trend, on the log2 scale."""
-    q = F.col("count") / F.col("nf")
-    a0, a1 = F.lit(trend.a0), F.lit(trend.a1)
+def trend_table(spark: SparkSession, trend: Trend) -> DataFrame:
+    """A fitted trend as a table of one row, ``a0, a1``."""
+    return spark.createDataFrame([(trend.a0, trend.a1)], "a0 double, a1 double")
+
+
+def vst(factors: DataFrame, trend: DataFrame) -> DataFrame:
+    """Variance-stabilised value of each cell, on the log2 scale; ``trend`` is a fitted one (:func:`trend_table`)."""
+    q, a0, a1 = F.col("count") / F.col("nf"), trend.select("a0").scalar(), trend.select("a1").scalar()
     inner = (1 + a1 + 2 * a0 * q + 2 * F.sqrt(a0 * q * (1 + a1 + a0 * q))) / (4 * a0)
     return factors.select("gene_id", "sample_id", F.log2(inner).alias("vst"))
 

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.session import materialise
+
 # 64 steps per power of two; the shift keeps codes of positive values positive
 # over the whole exponent range of a double; infinities lie beyond all of them.
 _STEPS_PER_OCTAVE = 64
@@ -103,49 +105,110 @@ def value_code(x: Column) -> Column:
     return F.when(x > 0, step).when(x < 0, -step).otherwise(F.lit(0)).cast("long")
 
 
-def distinct_ladder(df: DataFrame, value: str, by: list[str] | None = None, rows_per_rung: int = 250_000) -> DataFrame:
+def value_bits(x: Column) -> Column:
+    """The bits of a double as an order-preserving long (negative values below zero).
+
+    Powers of two and scaling by them are exact, so the code differs for any two
+    different values, up to the smallest and largest ones.
+    """
+    size = F.abs(x)
+    two = lambda e: F.pow(F.lit(2.0), e)
+    guess = F.greatest(F.floor(F.log2(size)), F.lit(-1022))
+    exponent = guess - (size < two(guess)).cast("long") + (size >= two(guess + 1)).cast("long")
+    normal = (exponent + 1023) * F.lit(1 << 52) + ((size / two(exponent) - 1) * F.lit(2.0**52)).cast("long")
+    bits = (
+        F.when(size == F.lit(float("inf")), F.lit(2047 << 52))
+        .when(size < F.lit(2.0**-1022), (size * F.lit(2.0**537) * F.lit(2.0**537)).cast("long"))
+        .otherwise(normal)
+    )
+    return F.when(x < 0, -bits).otherwise(bits)
+
+
+#: A rung is the values whose bits agree down to one of these places: sign, octave and 1/64 octave first,
+#: then ten more bits at a time where it is crowded; below the last place there are 65,536 values at most.
+_PLACES = (46, 36, 26, 16)
+
+
+def _down_to(bits: Column, place: int) -> Column:
+    return F.shiftleft(F.shiftright(bits, place), place)
+
+
+def distinct_ladder(df: DataFrame, value: str, by: list[str] | None = None, rows_per_rung: int = 250_000,
+                    weight: str | None = None) -> DataFrame:
     """Distinct values of each group with the number of rows before them.
 
-    Output: ``by``, ``value``, ``n`` (rows holding the value), ``below`` (rows
-    with a smaller value), ``total`` (rows in the group) and the rung
-    ``(_code, _fine)`` the value lies in.  Nulls and NaN are left out.
+    Output: ``by``, ``value``, ``n`` (rows holding the value, or their ``weight``),
+    ``below`` (rows with a smaller value), ``total`` (rows in the group) and ``_rung``,
+    the lowest bits of the rung that the value lies in.  Nulls and NaN are left out.
 
     Ties are counted before the shuffle, so a hot value costs one row per map
-    task.  Distinct values are placed on rungs by their magnitude, and a crowded
-    rung is split evenly between its exact minimum and maximum.  Every step is a
-    deterministic function of the data, so a recomputed task agrees with the rest.
+    task (this job runs at once).  Distinct values are counted by the leading bits, and a crowded rung is split
+    by further bits, again and again until it is small: values may lie as close together
+    as they like, and no task orders more than the larger of ``rows_per_rung`` and 65,536
+    values of a group.  Crowded rungs are few (one for each ``rows_per_rung`` values at
+    most), which bounds their broadcast.  Every step is a deterministic function of the
+    data, so a recomputed task agrees with the rest.
     """
     by = by or []
-    keyed = df.select(*by, F.col(value).cast("double").alias(value))
+    keyed = df.select(*by, F.col(value).cast("double").alias(value), *([weight] if weight else []))
     keyed = keyed.where(F.col(value).isNotNull() & ~F.isnan(value))
-    counts = keyed.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n")).withColumn("_code", value_code(F.col(value)))
-    span = counts.groupBy(*by, "_code").agg(
-        F.min(value).alias("_span_lo"), F.max(value).alias("_span_hi"), F.count(F.lit(1)).alias("_span_n")
-    )
-    parts = F.ceil(F.col("_span_n") / F.lit(float(rows_per_rung)))
-    share = (F.col(value) - F.col("_span_lo")) / (F.col("_span_hi") - F.col("_span_lo"))
-    fine = F.when(
-        (parts > 1) & (F.col("_span_hi") > F.col("_span_lo")), F.least(F.floor(share * parts), parts - 1)
-    ).otherwise(F.lit(0))
-    rungs = counts.join(span, [*by, "_code"]).withColumn("_fine", fine.cast("long")).drop("_span_lo", "_span_hi", "_span_n")
-
-    totals = rungs.groupBy(*by, "_code", "_fine").agg(F.sum("n").alias("_ord_n"))
-    upto = _window(by, _asc(["_code", "_fine"]))
-    whole = Window.partitionBy(*([F.col(c) for c in by] or [F.lit(0)]))
-    offsets = totals.select(
-        *by, "_code", "_fine",
-        F.coalesce(F.sum("_ord_n").over(upto.rowsBetween(UNBOUNDED, -1)), F.lit(0)).alias("_ord_before"),
-        F.sum("_ord_n").over(whole).alias("total"),
-    )
-    inside = F.sum("n").over(_window([*by, "_code", "_fine"], _asc([value])).rowsBetween(UNBOUNDED, -1))
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    # Stored once: every step below reads the counts, not what they come from.
+    counts = materialise(keyed.groupBy(*by, value).agg(n.alias("n")).withColumn("_bits", value_bits(F.col(value))))
+    rungs = counts.withColumn("_rung", _down_to(F.col("_bits"), _PLACES[0]))
+    for finer in _PLACES[1:]:
+        crowded = rungs.groupBy(*by, "_rung").agg(F.count(F.lit(1)).alias("_ord_n")).where(F.col("_ord_n") > rows_per_rung)
+        crowded = materialise(crowded.select(*by, "_rung", F.lit(True).alias("_ord_open")))
+        if crowded.isEmpty():
+            break
+        split = F.when(F.col("_ord_open"), _down_to(F.col("_bits"), finer)).otherwise(F.col("_rung"))
+        rungs = rungs.join(F.broadcast(crowded), [*by, "_rung"], "left").withColumn("_rung", split).drop("_ord_open")
+    rungs = rungs.drop("_bits")
+    before = F.coalesce(F.sum("n").over(_window([*by, "_rung"], _asc([value])).rowsBetween(UNBOUNDED, -1)), F.lit(0))
+    offsets = _rung_offsets(rungs.groupBy(*by, "_rung").agg(F.sum("n").alias("_ord_n")), by)
     return (
-        rungs.withColumn("_ord_in", F.coalesce(inside, F.lit(0)))
-        .join(offsets, [*by, "_code", "_fine"])
+        rungs.withColumn("_ord_in", before)
+        .join(offsets, [*by, "_rung"])
         .withColumn("below", F.col("_ord_before") + F.col("_ord_in"))
         .drop("_ord_before", "_ord_in")
     )
 
 
+def _rung_offsets(totals: DataFrame, by: list[str]) -> DataFrame:
+    """Rows before each rung and in its group, by two levels of prefix sums: over the first places, and inside each."""
+    placed = totals.withColumn("_top", F.shiftright("_rung", _PLACES[0]))
+    tops = placed.groupBy(*by, "_top").agg(F.sum("_ord_n").alias("_ord_n"))
+    whole = Window.partitionBy(*([F.col(c) for c in by] or [F.lit(0)]))
+    tops = tops.select(
+        *by, "_top", F.sum("_ord_n").over(whole).alias("total"),
+        F.coalesce(F.sum("_ord_n").over(_window(by, _asc(["_top"])).rowsBetween(UNBOUNDED, -1)), F.lit(0)).alias("_ord_upto"))
+    inner = F.coalesce(F.sum("_ord_n").over(_window([*by, "_top"], _asc(["_rung"])).rowsBetween(UNBOUNDED, -1)), F.lit(0))
+    return placed.withColumn("_ord_in", inner).join(tops, [*by, "_top"]).select(
+        *by, "_rung", (F.col("_ord_upto") + F.col("_ord_in")).alias("_ord_before"), "total")
+
+
+#: Rows from which a value is joined by broadcast: of a table there are at most rows / HOT_ROWS such values.
+HOT_ROWS = 1_000_000
+
+
+def join_by_value(df: DataFrame, side: DataFrame, value: str, by: list[str], columns: list[str]) -> DataFrame:
+    """Attach ``columns`` of ``side`` (one row per ``by`` and ``value``, with its number of rows ``n``) to the rows of ``df``.
+
+    Rows without a value match nothing and are spread over the tasks, values of very
+    many rows are joined by broadcast, all others by a shuffle; so no key meets in one task.
+    """
+    keyed = df.withColumn("_ord_key", F.col(value).cast("double"))
+    side = side.withColumnRenamed(value, "_ord_key") if value != "_ord_key" else side
+    hot = side.where(F.col("n") >= HOT_ROWS).select(*by, "_ord_key", F.lit(True).alias("_ord_hot"), *[F.col(c).alias(f"_hot_{c}") for c in columns])
+    aside = F.col("_ord_key").isNull() | F.isnan("_ord_key") | F.col("_ord_hot").isNotNull()
+    spread = keyed.join(F.broadcast(hot), [*by, "_ord_key"], "left").withColumn(
+        "_ord_slot", F.when(aside, 1 + F.monotonically_increasing_id() % 65_536).otherwise(F.lit(0).cast("long")))
+    cold = side.where(F.col("n") < HOT_ROWS).select(*by, "_ord_key", *columns, F.lit(0).cast("long").alias("_ord_slot"))
+    joined = spread.join(cold, [*by, "_ord_key", "_ord_slot"], "left")
+    return joined.withColumns({c: F.coalesce(f"_hot_{c}", c) for c in columns}).drop(
+        "_ord_key", "_ord_slot", "_ord_hot", *[f"_hot_{c}" for c in columns])
+
+
 def with_ranks(df: DataFrame, value: str, by: list[str] | None = None, *, mid: str | None = None,
                low: str | None = None, descending: bool = False) -> DataFrame:
     """Attach mid-ranks and/or minimum ranks of ``value``; null values get null ranks."""
@@ -157,10 +220,8 @@ def with_ranks(df: DataFrame, value: str, by: list[str] | None = None, *, mid: s
         columns.append((first + (F.col("n") + 1) / F.lit(2.0)).alias(mid))
     if low:
         columns.append((first + 1).cast("long").alias(low))
-    ranks = ladder.select(*by, F.col(value).alias("_ord_key"), *columns)
-    keyed = df.withColumn("_ord_key", F.col(value).cast("double"))
-    # -0.0 and 0.0 are the same value for grouping and joining alike.
-    return keyed.join(ranks, [*by, "_ord_key"], "left").drop("_ord_key")
+    ranks = ladder.select(*by, F.col(value).alias("_ord_key"), "n", *columns)
+    return join_by_value(df, ranks, value, by, [c for c in (mid, low) if c])
 
 
 def mid_rank(df: DataFrame, value: str, by: list[str] | None = None, out: str = "mid_rank") -> DataFrame:
@@ -172,21 +233,23 @@ def bh_adjust(df: DataFrame, p: str, by: list[str] | None = None, out: str = "pa
     """Benjamini-Hochberg adjusted p-values; nulls stay null and do not count."""
     by = by or []
     adjusted = bh_ladder(distinct_ladder(df, p, by), p, by)
-    side = adjusted.select(*by, F.col(p).alias("_ord_key"), F.col("_padj").alias(out))
-    keyed = df.withColumn("_ord_key", F.col(p).cast("double"))
-    return keyed.join(side, [*by, "_ord_key"], "left").drop("_ord_key")
+    return join_by_value(df, adjusted.select(*by, F.col(p).alias("_ord_key"), "n", F.col("_padj").alias(out)), p, by, [out])
 
 
 def bh_ladder(ladder: DataFrame, p: str, by: list[str]) -> DataFrame:
     """Adjusted value per distinct p: suffix minimum of ``p * total / rank``."""
     step = ladder.withColumn("_ord_q", F.col(p) * F.col("total") / (F.col("below") + F.col("n")))
-    lows = step.groupBy(*by, "_code", "_fine").agg(F.min("_ord_q").alias("_ord_low"))
-    later = _window(by, [F.col("_code").desc(), F.col("_fine").desc()]).rowsBetween(UNBOUNDED, -1)
-    after = lows.select(*by, "_code", "_fine", F.min("_ord_low").over(later).alias("_ord_after"))
-    inner = _window([*by, "_code", "_fine"], [F.col(p).desc()]).rowsBetween(UNBOUNDED, 0)
+    # Two levels, as for the sums: the minimum of later first places, and of later rungs of the same one.
+    lows = step.groupBy(*by, "_rung").agg(F.min("_ord_q").alias("_ord_low")).withColumn("_top", F.shiftright("_rung", _PLACES[0]))
+    later = lambda keys, order: _window(keys, [F.col(order).desc()]).rowsBetween(UNBOUNDED, -1)
+    tops = lows.groupBy(*by, "_top").agg(F.min("_ord_low").alias("_ord_low")).select(
+        *by, "_top", F.min("_ord_low").over(later(by, "_top")).alias("_ord_upper"))
+    after = lows.withColumn("_ord_near", F.min("_ord_low").over(later([*by, "_top"], "_rung"))).join(tops, [*by, "_top"]).select(
+        *by, "_rung", F.least("_ord_near", "_ord_upper").alias("_ord_after"))
+    inner = _window([*by, "_rung"], [F.col(p).desc()]).rowsBetween(UNBOUNDED, 0)
     return (
         step.withColumn("_ord_own", F.min("_ord_q").over(inner))
-        .join(after, [*by, "_code", "_fine"])
+        .join(after, [*by, "_rung"])
         .withColumn("_padj", F.least(F.lit(1.0), "_ord_own", "_ord_after"))
         .drop("_ord_q", "_ord_own", "_ord_after")
     )

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.operators.compare import spearman
@@ -15,8 +16,10 @@ from cohortlens.session import materialise
 
 # Samples per Gram block: a task keeps one block of 2,048 x 2,048 doubles (32 MB).
 SAMPLES_PER_BLOCK = 2_048
-# Largest Gram matrix that may be read by the driver: 2,000 x 2,000 doubles are 32 MB.
-DRIVER_GRAM_SAMPLES = 2_000
+# Feature rows that a task turns into dense matrices at once.
+FEATURES_PER_STEP = 1_024
+# Cells that one task of a Gram product reads, counting a cell once for each block it meets.
+CELLS_PER_TASK = 4_000_000
 
 
 def sample_index(long: DataFrame, sample: str) -> DataFrame:
@@ -28,54 +31,78 @@ def sample_index(long: DataFrame, sample: str) -> DataFrame:
 
 
 def _dense(cells: pd.Series, first: int, width: int) -> np.ndarray:
-    """Rows of (index, value) cells as a dense matrix over one block of samples."""
+    """Rows of (index, value) cells of one block of samples as a dense matrix."""
     x = np.zeros((len(cells), width))
     for row, entries in enumerate(cells):
-        if len(entries["idx"]):
-            at = np.asarray(entries["idx"]) - first
-            inside = (at >= 0) & (at < width)
-            x[row, at[inside]] = np.asarray(entries["v"])[inside]
+        x[row, np.asarray(entries["idx"], dtype=int) - first] = entries["v"]
     return x
 
 
 def _block_products(block: int):
+    """Sums of feature-row products of each block pair; rows come sorted by pair and feature, both sides of a feature together."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[tuple[int, int], np.ndarray] = {}
+        pair, total = None, np.zeros((0, 0))
         for batch in batches:
-            for (bi, bj), rows in batch.groupby(["bi", "bj"], sort=False):
-                left = _dense(rows["cells"], bi * block, block)
-                right = left if bi == bj else _dense(rows["cells"], bj * block, block)
-                product = left.T @ right
-                key = (int(bi), int(bj))
-                sums[key] = sums[key] + product if key in sums else product
-        for (bi, bj), m in sums.items():
-            i, j = np.nonzero(np.triu(np.ones_like(m, dtype=bool)) if bi == bj else np.ones_like(m, dtype=bool))
-            yield pd.DataFrame({"i": i + bi * block, "j": j + bj * block, "v": m[i, j]})
+            for (bi, bj), rows in batch.groupby(["bi", "bj"], sort=True):
+                if (bi, bj) != pair:
+                    yield from _entries(pair, total, block)
+                    pair, total = (bi, bj), np.zeros((block, block))
+                for at in range(0, len(rows), FEATURES_PER_STEP):
+                    step = rows.iloc[at:at + FEATURES_PER_STEP]
+                    left = _dense(step["left"], bi * block, block)
+                    total += left.T @ (left if bi == bj else _dense(step["right"], bj * block, block))
+        yield from _entries(pair, total, block)
 
     return run
 
 
+def _entries(pair: tuple[int, int] | None, total: np.ndarray, block: int) -> Iterator[pd.DataFrame]:
+    if pair is None:
+        return
+    keep = np.triu(np.ones(total.shape, dtype=bool)) if pair[0] == pair[1] else np.ones(total.shape, dtype=bool)
+    i, j = np.nonzero(keep)
+    yield pd.DataFrame({"i": i + pair[0] * block, "j": j + pair[1] * block, "v": total[i, j]})
+
+
 def gram(long: DataFrame, feature: str, sample: str, value: str, samples_per_block: int = SAMPLES_PER_BLOCK) -> DataFrame:
     """``sum over features of x_i * x_j`` for every sample pair ``i <= j``; absent cells count zero.
 
-    One shuffle brings the cells of a feature together (one per sample), tasks
-    multiply batches of feature rows with numpy, and their partial matrices are
-    summed by a second, small shuffle.  A self-join would instead emit every
-    sample pair of every feature.  More samples than one block holds are split
-    into block pairs, spread over the tasks.
+    Samples are cut into blocks, and a feature's cells of one block are one row.  With B
+    blocks a row is sent to the B block pairs that its block is part of, and meets the
+    other block's row of the same feature there by a join.  A task works on one pair at
+    a time and keeps one matrix; the number of tasks grows with the rows that are sent, so a
+    pair with many features is shared by several, whose matrices a second shuffle sums.
+    A self-join of cells would instead emit every sample pair of every feature.
     """
     index = materialise(sample_index(long, sample))
     n = index.count()
-    width = min(n, samples_per_block)
-    blocks = -(-n // samples_per_block) if n else 1
-    rows = long.join(index, sample).groupBy(feature).agg(
+    width = max(1, min(n, samples_per_block))
+    blocks = max(1, -(-n // width))
+    placed = long.join(index, sample).withColumn("b", F.floor(F.col("idx") / width).cast("int"))
+    rows = placed.groupBy(feature, *(["b"] if blocks > 1 else [])).agg(
         F.sort_array(F.collect_list(F.struct("idx", F.col(value).cast("double").alias("v")))).alias("_c")
-    ).select(feature, F.struct(F.col("_c.idx").alias("idx"), F.col("_c.v").alias("v")).alias("cells"))
-    pairs = F.array(*[F.struct(F.lit(i).alias("bi"), F.lit(j).alias("bj")) for i in range(blocks) for j in range(i, blocks)])
-    spread = rows.select(feature, "cells", F.explode(pairs).alias("p")).select(feature, "p.bi", "p.bj", "cells")
-    if blocks > 1:
-        spread = spread.repartition("bi", "bj", F.pmod(F.xxhash64(feature), F.lit(16)))
-    parts = spread.select("bi", "bj", "cells").mapInPandas(_block_products(width), "i long, j long, v double")
+    )
+    cells = F.struct(F.col("_c.idx").alias("idx"), F.col("_c.v").alias("v"))
+    if blocks == 1:
+        # One block: the rows are multiplied where the grouping left them.
+        zero = F.lit(0).cast("int")
+        ready = rows.select(zero.alias("bi"), zero.alias("bj"), cells.alias("left"), F.lit(None).cast("struct<idx: array<int>, v: array<double>>").alias("right"))
+    else:
+        rows = rows.select(feature, "b", cells.alias("cells"))
+        other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+        sent = rows.withColumn("other", other).select(
+            feature, F.least("b", "other").alias("bi"), F.greatest("b", "other").alias("bj"), "b", "cells")
+        # Both sides of (feature, pair) in one row; a feature without cells in one of the blocks adds nothing.
+        joined = sent.groupBy(feature, "bi", "bj").agg(
+            F.max(F.when(F.col("b") == F.col("bi"), F.col("cells"))).alias("left"),
+            F.max(F.when(F.col("b") == F.col("bj"), F.col("cells"))).alias("right"),
+        ).where(F.col("left").isNotNull() & F.col("right").isNotNull())
+        spark = long.sparkSession
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-long.count() * blocks // CELLS_PER_TASK))
+        slices = max(1, -(-tasks * 2 // (blocks * (blocks + 1))))
+        ready = joined.repartition(tasks, "bi", "bj", F.pmod(F.xxhash64(feature), F.lit(slices))).sortWithinPartitions("bi", "bj").select(
+            "bi", "bj", "left", "right")
+    parts = ready.mapInPandas(_block_products(width), "i long, j long, v double")
     sums = parts.where((F.col("i") < n) & (F.col("j") < n)).groupBy("i", "j").agg(F.sum("v").alias("dot"))
     names = lambda side, out: index.select(F.col("idx").cast("long").alias(side), F.col(sample).alias(out))
     return sums.join(names("i", "sample_i"), "i").join(names("j", "sample_j"), "j").select(
@@ -116,91 +143,137 @@ def sample_distances(long: DataFrame, feature: str, sample: str, value: str) ->
     )
 
 
-def _fix_sign(scores: np.ndarray) -> np.ndarray:
-    """Orient each axis so that its largest absolute score is positive."""
-    big = np.abs(scores).argmax(axis=0)
-    return scores * np.where(scores[big, np.arange(scores.shape[1])] < 0, -1.0, 1.0)
-
-
-def sample_pca(long: DataFrame, feature: str, sample: str, value: str, k: int = 2,
-               driver_samples: int = DRIVER_GRAM_SAMPLES) -> DataFrame:
+def sample_pca(long: DataFrame, feature: str, sample: str, value: str, k: int = 2) -> DataFrame:
     """Centred, unscaled PCA of samples: ``(sample, pc_1..pc_k, var_1..var_k)``.
 
-    Up to ``driver_samples`` samples the small Gram matrix is decomposed on the
-    driver.  Beyond that the leading axes come from subspace iteration, in which
-    each product with the data is a Spark join and aggregate.
+    One method at every size.  The Gram matrix of the samples stays a table; its
+    leading eigenvectors come from :func:`leading_axes`, in which every product with it is a
+    join and an aggregate.  Axes beyond the rank of the data have score and share 0.
     """
-    centred = centre_by_feature(long, feature, sample, value)
-    if centred.select(sample).distinct().count() > driver_samples:
-        return _subspace_pca(centred, feature, sample, k)
-    table = gram(centred, feature, sample, "_c").toPandas()
-    ids = sorted(set(table["sample_i"]) | set(table["sample_j"]))
-    at = {s: i for i, s in enumerate(ids)}
-    g = np.zeros((len(ids), len(ids)))
-    i, j = table["sample_i"].map(at).to_numpy(), table["sample_j"].map(at).to_numpy()
-    g[i, j] = table["dot"]
-    g[j, i] = table["dot"]
-    values, vectors = np.linalg.eigh(g)
-    order = np.argsort(values)[::-1][:k]
-    scores = _fix_sign(vectors[:, order] * np.sqrt(np.maximum(values[order], 0.0)))
-    share = values[order] / values.sum() if values.sum() > 0 else np.zeros(len(order))
-    out = pd.DataFrame({sample: ids})
-    for c in range(len(order)):
-        out[f"pc_{c + 1}"] = scores[:, c]
-    for c in range(len(order)):
-        out[f"var_{c + 1}"] = share[c]
-    return long.sparkSession.createDataFrame(out)
-
-
-def _subspace_pca(centred: DataFrame, feature: str, sample: str, k: int, rounds: int = 60, tol: float = 1e-10) -> DataFrame:
-    """Leading axes of ``X'X`` with X features x samples, kept in long form throughout."""
-    width = k + 4
-    axes = [f"_q{c}" for c in range(width)]
-    start = [(F.pmod(F.xxhash64(F.col(sample).cast("string"), F.lit(c)), F.lit(2_000_003)) / 1_000_001.5 - 1).alias(a)
-             for c, a in enumerate(axes)]
-    q = centred.select(sample).distinct().select(sample, *start)
-    total = centred.agg(F.sum(F.col("_c") * F.col("_c"))).first()[0]
-
-    def gram_of(df: DataFrame) -> np.ndarray:
-        sums = df.agg(*[F.sum(F.col(axes[a]) * F.col(axes[b])).alias(f"g_{a}_{b}") for a in range(width) for b in range(a, width)]).first()
-        g = np.zeros((width, width))
-        for a in range(width):
-            for b in range(a, width):
-                g[a, b] = g[b, a] = sums[f"g_{a}_{b}"]
-        return g
-
-    def rotate(df: DataFrame, m: np.ndarray) -> DataFrame:
-        cols = [sum((F.col(axes[r]) * float(m[r, c]) for r in range(1, width)), F.col(axes[0]) * float(m[0, c])).alias(axes[c])
-                for c in range(width)]
-        return df.select(sample, *cols)
-
-    last = None
-    for _ in range(rounds):
-        # Orthonormal basis through the small Gram matrix of the basis itself.
-        g = gram_of(q)
-        w, v = np.linalg.eigh(g)
-        q = materialise(rotate(q, v / np.sqrt(np.maximum(w, 1e-300))))
-        t = centred.join(q, sample).groupBy(feature).agg(*[F.sum(F.col("_c") * F.col(a)).alias(a) for a in axes])
-        y = materialise(
-            centred.join(t, feature).groupBy(sample).agg(*[F.sum(F.col("_c") * F.col(a)).alias(a) for a in axes])
-        )
-        # Rayleigh quotients of the current basis.
-        mixed = q.join(y.select(sample, *[F.col(a).alias("y" + a) for a in axes]), sample)
-        row = mixed.agg(*[F.sum(F.col(axes[a]) * F.col("y" + axes[b])).alias(f"g_{a}_{b}") for a in range(width) for b in range(width)]).first()
-        h = np.array([[row[f"g_{a}_{b}"] for b in range(width)] for a in range(width)])
-        values, vectors = np.linalg.eigh((h + h.T) / 2)
-        values, vectors = values[::-1], vectors[:, ::-1]
-        ritz = rotate(q, vectors)
-        if last is not None and np.max(np.abs(values[:k] - last[:k])) <= tol * max(values[0], 1e-300):
-            break
-        last = values
-        q = y
-    columns = [(F.col(axes[c]) * float(np.sqrt(max(values[c], 0.0)))).alias(f"pc_{c + 1}") for c in range(k)]
-    shares = [F.lit(float(values[c] / total) if total else 0.0).alias(f"var_{c + 1}") for c in range(k)]
-    scores = ritz.select(sample, *columns)
-    ends = scores.agg(*[F.max_by(f"pc_{c + 1}", F.abs(f"pc_{c + 1}")).alias(f"e{c}") for c in range(k)]).first()
-    flips = [(F.col(f"pc_{c + 1}") * (-1.0 if ends[f"e{c}"] < 0 else 1.0)).alias(f"pc_{c + 1}") for c in range(k)]
-    return scores.select(sample, *flips, *shares)
+    dots = materialise(gram(centre_by_feature(long, feature, sample, value), feature, sample, "_c"))
+    values, vectors = leading_axes(dots, k)
+    total = dots.where(F.col("sample_i") == F.col("sample_j")).agg(F.sum("dot")).first()[0] or 0.0
+    score = lambda c: F.col("_v")[c] * float(np.sqrt(max(values[c], 0.0))) if c < len(values) else F.lit(0.0)
+    scores = vectors.select(F.col("_s").alias(sample), *[score(c).alias(f"pc_{c + 1}") for c in range(k)])
+    # Each axis is oriented so that its largest absolute score is positive.
+    ends = scores.agg(*[F.max_by(f"pc_{c + 1}", F.struct(F.abs(f"pc_{c + 1}"), F.col(sample))).alias(f"e{c}") for c in range(k)]).first()
+    turn = lambda c: -1.0 if (ends[f"e{c}"] or 0.0) < 0 else 1.0
+    share = lambda c: F.lit(float(values[c] / total) if c < len(values) and total > 0 else 0.0)
+    return scores.select(sample, *[(F.col(f"pc_{c + 1}") * turn(c)).alias(f"pc_{c + 1}") for c in range(k)],
+                         *[share(c).alias(f"var_{c + 1}") for c in range(k)])
+
+
+# Columns of the basis before a restart, and products with the matrix before giving up.
+LARGEST_BASIS = 96
+MOST_PRODUCTS = 200
+
+
+def leading_axes(dots: DataFrame, k: int, tol: float = 1e-10, extra: int = 14, most: int = MOST_PRODUCTS) -> tuple[np.ndarray, DataFrame]:
+    """Largest ``k`` eigenvalues of the symmetric matrix ``(sample_i, sample_j, dot)`` (i <= j) and vectors ``(_s, _v array)``.
+
+    Block Krylov subspaces with Rayleigh-Ritz steps: a block of vectors is multiplied by
+    the matrix, made orthogonal to the basis (twice) and to itself, and joins it.  A
+    direction is dropped when nothing of it is left after that (its rank is used up), so
+    matrices of rank 1, or of less than ``k``, need no special care.  The basis is
+    a table with one array per sample; the driver sees only its small inner products.
+    When the basis is full, it is cut to the best vectors.  The method ends when the residuals
+    ``|G v - lambda v|`` of all wanted axes are below ``tol`` times the largest eigenvalue, and
+    raises after ``most`` products without that.
+    """
+    upper = dots.select(F.col("sample_i").alias("_a"), F.col("sample_j").alias("_b"), "dot")
+    matrix = materialise(upper.unionByName(upper.where("_a != _b").select(F.col("_b").alias("_a"), F.col("_a").alias("_b"), "dot")))
+    width = k + extra
+    seed = lambda c: F.pmod(F.xxhash64(F.col("_s").cast("string"), F.lit(c)), F.lit(2_000_003)) / 1_000_001.5 - 1
+    start = matrix.select(F.col("_a").alias("_s")).distinct().select("_s", F.array(*[seed(c) for c in range(width)]).alias("_y"))
+    basis = start.select("_s", F.array().cast("array<double>").alias("_q"), "_y")
+    scale = float(np.sqrt(matrix.agg(F.sum(F.col("dot") * F.col("dot"))).first()[0] or 0.0))
+    if scale == 0.0:
+        return np.zeros(0), basis.select("_s", F.col("_q").alias("_v"))
+    wide, floor = width, 1.0
+    projected, size, residual = np.zeros((0, 0)), 0, np.zeros(0)
+    for _ in range(most):
+        # Y less its part in Q, twice; the second part is tiny, so what is left of Y needs no third pass.
+        used = np.zeros((size, width))
+        for _again in range(2):
+            inner = _inner_products(basis, size + width)
+            part = inner[:size, size:]
+            used += part
+            basis = basis.select("_s", "_q", _less(F.col("_q"), F.col("_y"), part).alias("_y"))
+        own = inner[size:, size:] - part.T @ part
+        own = (own + own.T) / 2
+        weight, turn = np.linalg.eigh(own)
+        fresh = weight > (1e-10 * floor) ** 2
+        if size:
+            # Y is the matrix times the last block, so these columns of the projected matrix are known now.
+            at = size - width
+            projected[:, at:] = used
+            projected[at:, :] = projected[:, at:].T
+            values, inside = np.linalg.eigh((projected + projected.T) / 2)
+            values, inside = values[::-1], inside[:, ::-1]
+            residual = np.sqrt(np.maximum(np.einsum("ij,ik,kj->j", inside[at:], own, inside[at:]), 0.0))
+            top = min(k, size)
+            if not fresh.any() or (size >= k and (residual[:top] <= tol * abs(values[0])).all()):
+                kept = [c for c in range(top) if values[c] > 1e-12 * values[0]]
+                return values[kept], materialise(basis.select("_s", _times(F.col("_q"), inside[:, kept]).alias("_v")))
+            if size + width > LARGEST_BASIS:
+                basis = basis.select("_s", _times(F.col("_q"), inside[:, :wide]).alias("_q"), "_y")
+                projected, size = np.diag(values[:wide]), min(wide, size)
+        directions = turn[:, fresh] / np.sqrt(weight[fresh])
+        width, floor = directions.shape[1], scale
+        grown = basis.select("_s", F.concat("_q", _times(F.col("_y"), directions)).alias("_q"))
+        padded = np.zeros((size + width, size + width))
+        padded[:size, :size] = projected
+        projected, size = padded, size + width
+        block = [F.col("_q")[size - width + c].alias(f"_x{c}") for c in range(width)]
+        product = matrix.join(grown.select(F.col("_s").alias("_b"), *block), "_b").groupBy("_a").agg(
+            *[F.sum(F.col("dot") * F.col(f"_x{c}")).alias(f"_x{c}") for c in range(width)])
+        columns = F.array(*[F.col(f"_x{c}") for c in range(width)])
+        basis = materialise(grown.join(product.select(F.col("_a").alias("_s"), columns.alias("_y")), "_s"))
+    raise RuntimeError(f"Eigenvectors did not converge in {most} products; residuals {residual[:k].tolist()}")
+
+
+def _inner_products(basis: DataFrame, width: int) -> np.ndarray:
+    """Inner products of all columns of ``_q`` and ``_y``, summed per task first."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((width, width))
+        for batch in batches:
+            if len(batch):
+                x = np.stack([np.concatenate([q, y]) for q, y in zip(batch["_q"], batch["_y"], strict=True)])
+                total += x.T @ x
+        i, j = np.indices(total.shape)
+        yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "v": total.ravel()})
+
+    sums = basis.select("_q", "_y").mapInPandas(run, "i long, j long, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
+    out = np.zeros((width, width))
+    for r in sums:
+        out[r["i"], r["j"]] = r["v"]
+    return out
+
+
+def _times(row: Column, m: np.ndarray) -> Column:
+    """Product of an array with a small matrix, which goes along as one literal."""
+    if not m.shape[0] or not m.shape[1]:
+        return F.array_repeat(F.lit(0.0), m.shape[1])
+    columns = F.from_json(F.lit(json.dumps(m.T.tolist())), "array<array<double>>")
+    return F.transform(columns, lambda c: F.aggregate(F.zip_with(row, c, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x))
+
+
+def _less(q: Column, y: Column, part: np.ndarray) -> Column:
+    """``y`` less the combination of ``q``."""
+    return F.zip_with(y, _times(q, part), lambda a, b: a - b) if part.shape[0] else y
+
+
+def axis_residuals(dots: DataFrame, values: np.ndarray, vectors: DataFrame) -> DataFrame:
+    """axis, total_variance, residual: the length of ``G v - lambda v`` as a share of the total variance."""
+    full = dots.unionByName(dots.where(F.col("sample_i") != F.col("sample_j")).select(
+        F.col("sample_j").alias("sample_i"), F.col("sample_i").alias("sample_j"), "dot"))
+    entries = vectors.select("_s", F.posexplode("_v").alias("_axis", "_x"))
+    product = full.join(entries, F.col("sample_j") == F.col("_s")).groupBy("_axis", F.col("sample_i").alias("_s")).agg(F.sum(F.col("dot") * F.col("_x")).alias("_gx"))
+    value = F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("_axis") + 1)
+    off = product.join(entries, ["_axis", "_s"]).withColumn("_off", F.col("_gx") - value * F.col("_x"))
+    total = dots.where(F.col("sample_i") == F.col("sample_j")).agg(F.sum("dot").alias("t")).select("t").scalar()
+    return off.groupBy((F.col("_axis") + 1).alias("axis")).agg(F.sqrt(F.sum(F.col("_off") * F.col("_off"))).alias("_r")).select(
+        "axis", total.alias("total_variance"), (F.col("_r") / total).alias("residual"))
 
 
 def distance_rank(points: DataFrame, x: str, y: str, by: list[str]) -> DataFrame:

@@ -39,15 +39,14 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 cte("nonzero", """SELECT * FROM genes WHERE gene_id IN (SELECT gene_id FROM genes GROUP BY 1 HAVING SUM("count") > 0)""", "genes")
 
 
-@query("p6_drop_all_zero", """SELECT COUNT(DISTINCT gene_id) AS n_genes, COUNT(*) AS n_cells, CAST(SUM("count") AS BIGINT) AS reads FROM dense_part
- WHERE gene_id IN (SELECT gene_id FROM dense_part GROUP BY 1 HAVING SUM("count") > 0)""", "dense_part")
+@query("p6_drop_all_zero", """SELECT COUNT(DISTINCT gene_id) AS n_genes, COUNT(*) AS n_cells, CAST(SUM("count") AS BIGINT) AS reads FROM dense
+ WHERE gene_id IN (SELECT gene_id FROM dense GROUP BY 1 HAVING SUM("count") > 0)""", "dense")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    part = Q.densify(B.genes_raw(spark, sf), B.SAMPLES).withColumn("count", F.when(F.col("count") > 190, F.col("count")).otherwise(0.0))
+    part = Q.densify(B.genes_raw(spark, sf), B.SAMPLES)
     return M.drop_all_zero(part).groupBy("gene_id").agg(F.count(F.lit(1)).alias("n"), F.sum("count").alias("c")).agg(
         F.count(F.lit(1)).alias("n_genes"), F.sum("n").alias("n_cells"), F.sum("c").cast("long").alias("reads"))
 
 
-cte("dense_part", """SELECT gene_id, sample_id, CASE WHEN "count" > 190 THEN "count" ELSE 0 END AS "count" FROM dense""", "dense")
 cte("geo_count", """SELECT gene_id, exp(avg(ln(NULLIF("count", 0)))) AS g FROM dense GROUP BY 1 HAVING MIN("count") > 0""", "dense")
 
 
@@ -100,6 +99,43 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(genes.select("gene_id", "base_mean", trend.column(F.col("base_mean")).alias("disp_fit")))
 
 
+cte("mom", """SELECT gene_id, avg(q) AS base_mean,
+ greatest(CASE WHEN avg(q) <> 0 THEN (var_samp(q) - avg(1 / nf) * avg(q)) / (avg(q) * avg(q)) END, 1e-8) AS disp_gene
+ FROM (SELECT *, "count" / nf AS q FROM factors) GROUP BY 1""", "factors")
+
+
+@query("m6b_moment_dispersion", "SELECT gene_id, ROUND(base_mean, 5) AS base_mean, ROUND(disp_gene, 6) AS disp_gene FROM mom", "mom")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    found = M.moment_dispersion(factors(spark, sf))
+    return rounded(rounded(found, 5, "base_mean"), 6, "disp_gene")
+
+
+# Weighted least squares step by step; (o0, o1) choose the genes of the present fit, done once two fits agree.
+cte("trend", """WITH RECURSIVE f(n, o0, o1, a0, a1, done) AS (
+ SELECT 0, CAST(0.1 AS DOUBLE), CAST(1 AS DOUBLE), CAST(0.1 AS DOUBLE), CAST(1 AS DOUBLE), false
+ UNION ALL
+ SELECT n + 1, CASE WHEN fitted THEN b0 ELSE o0 END, CASE WHEN fitted THEN b1 ELSE o1 END, b0, b1,
+  fitted AND pow(ln(b0 / o0), 2) + pow(ln(greatest(b1, 1e-300) / greatest(o1, 1e-300)), 2) < 1e-6
+ FROM (SELECT *, abs(b0 - a0) / (a0 + 1e-8) + abs(b1 - a1) / (a1 + 1e-8) < 1e-11 AS fitted FROM (
+  SELECT n, o0, o1, a0, a1, CASE WHEN w * wxy < wx * wy THEN wy / w ELSE greatest((wxx * wy - wx * wxy) / (w * wxx - wx * wx), 1e-8) END AS b0,
+   greatest((w * wxy - wx * wy) / (w * wxx - wx * wx), 0) AS b1 FROM (
+   SELECT n, o0, o1, a0, a1, sum(w) AS w, sum(w * x) AS wx, sum(w * x * x) AS wxx, sum(w * y) AS wy, sum(w * x * y) AS wxy FROM (
+    SELECT f.*, x, y, 1 / ((a0 + a1 * x) * (a0 + a1 * x)) AS w
+    FROM f, (SELECT disp_gene AS y, 1 / base_mean AS x FROM mom WHERE disp_gene >= 1e-6 AND base_mean > 0)
+    WHERE NOT done AND n < 3000 AND y / (o0 + o1 * x) > 1e-4 AND y / (o0 + o1 * x) < 15)
+   GROUP BY 1, 2, 3, 4, 5)))) SELECT a0, a1 FROM f WHERE done""", "mom")
+
+
+def moment_trend(spark: SparkSession, cells: DataFrame) -> DataFrame:
+    """The trend of the moment dispersions, fitted without the design."""
+    return M.trend_table(spark, M.dispersion_trend(materialise(M.moment_dispersion(cells))))
+
+
+@query("m7b_trend_of_moments", "SELECT ROUND(a0, 6) AS a0, ROUND(a1, 6) AS a1 FROM trend", "trend")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(moment_trend(spark, factors(spark, sf)))
+
+
 @query("m8_dispersion_map")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     genes, design = fitted_genes(spark, sf)
@@ -154,12 +190,27 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(M.independent_filter(B.de_a(spark, sf).drop("padj")), 9).select("gene_id", "padj")
 
 
-VST_SQL = """log2((1 + 1.5 + 2 * 0.02 * q + 2 * sqrt(0.02 * q * (1 + 1.5 + 0.02 * q))) / (4 * 0.02))"""
+cte("vst", """SELECT gene_id, sample_id, log2((1 + a1 + 2 * a0 * q + 2 * sqrt(a0 * q * (1 + a1 + a0 * q))) / (4 * a0)) AS vst
+ FROM (SELECT gene_id, sample_id, "count" / nf AS q FROM factors), trend""", "factors", "trend")
+
+
+def vst_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Stabilised values of all genes and samples, with the trend fitted to them."""
+    cells = materialise(factors(spark, sf))
+    return M.vst(cells, moment_trend(spark, cells))
 
 
-@query("m12_vst", f"""SELECT gene_id, sample_id, ROUND({VST_SQL}, 6) AS vst FROM (SELECT gene_id, sample_id, "count" / nf AS q FROM factors)""", "factors")
+@query("m12_vst", "SELECT gene_id, sample_id, ROUND(vst, 5) AS vst FROM vst", "vst")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(M.vst(factors(spark, sf), M.Trend(0.02, 1.5)))
+    return rounded(vst_values(spark, sf), 5)
+
+
+@query("m12b_blind_vst")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """With the trend of likelihood dispersions under an intercept alone."""
+    cells = materialise(factors(spark, sf))
+    trend = M.blind_trend(cells, M.local_design(design_a(spark, sf), "sample_id"))
+    return rounded(M.vst(cells, M.trend_table(spark, trend)), 5)
 
 
 @query("m3b_exact_median", """SELECT l_returnflag, ROUND(median(l_extendedprice), 6) AS med FROM lineitem GROUP BY 1""")

@@ -170,10 +170,56 @@ def test_gram_blocks_distances_and_pca(spark):
     assert len(d) == 55 and d[("s02", "s07")] == pytest.approx(np.linalg.norm(x[:, 2] - x[:, 7]))
     c = x - x.mean(axis=1, keepdims=True)
     u, sv, vt = np.linalg.svd(c, full_matrices=False)
-    direct = S.sample_pca(long, "f", "s", "v", 2).toPandas().sort_values("s")
-    iterated = S.sample_pca(long, "f", "s", "v", 2, driver_samples=3).toPandas().sort_values("s")
-    for out, tol in ((direct, 1e-8), (iterated, 1e-4)):
-        np.testing.assert_allclose(out["var_1"], sv[0] ** 2 / (sv**2).sum(), rtol=1e-6)
-        for k in (0, 1):
-            np.testing.assert_allclose(np.abs(out[f"pc_{k + 1}"]), np.abs(vt[k] * sv[k]), atol=tol * sv[0])
-            assert out[f"pc_{k + 1}"].iloc[np.abs(out[f"pc_{k + 1}"]).argmax()] > 0
+    out = S.sample_pca(long, "f", "s", "v", 2).toPandas().sort_values("s")
+    np.testing.assert_allclose(out["var_1"], sv[0] ** 2 / (sv**2).sum(), rtol=1e-9)
+    for k in (0, 1):
+        np.testing.assert_allclose(np.abs(out[f"pc_{k + 1}"]), np.abs(vt[k] * sv[k]), atol=1e-8 * sv[0])
+        assert out[f"pc_{k + 1}"].iloc[np.abs(out[f"pc_{k + 1}"]).argmax()] > 0
+
+
+def long_of(spark, x):
+    return spark.createDataFrame([(f, f"s{j:03d}", float(v)) for f, row in enumerate(x) for j, v in enumerate(row)], "f int, s string, v double")
+
+
+@pytest.mark.parametrize("rank", [0, 1, 2])
+def test_pca_of_low_rank(spark, rank):
+    """Axes beyond the rank are 0; three are asked for."""
+    rng = np.random.default_rng(rank)
+    x = np.zeros((20, 12)) + rng.integers(0, 9, size=(20, 1))
+    for r in range(rank):
+        x += np.outer(rng.normal(size=20), rng.normal(size=12)) * 4**r
+    out = S.sample_pca(long_of(spark, x), "f", "s", "v", 3).toPandas().sort_values("s")
+    _, sv, vt = np.linalg.svd(x - x.mean(axis=1, keepdims=True), full_matrices=False)
+    for k in range(3):
+        want = np.abs(vt[k] * sv[k]) if k < rank else np.zeros(12)
+        np.testing.assert_allclose(np.abs(out[f"pc_{k + 1}"]), want, atol=1e-7)
+        assert out[f"var_{k + 1}"].iloc[0] == pytest.approx(sv[k] ** 2 / (sv**2).sum() if k < rank else 0.0, abs=1e-9)
+
+
+def test_axes_restart_and_give_up(spark, monkeypatch):
+    """A flat spectrum needs more products than the basis holds; too few of them raise."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(70, 60))
+    dots = S.gram(S.centre_by_feature(long_of(spark, x), "f", "s", "v"), "f", "s", "_c")
+    monkeypatch.setattr(S, "LARGEST_BASIS", 14)
+    values, vectors = S.leading_axes(dots, 2, extra=3)
+    sv = np.linalg.svd(x - x.mean(axis=1, keepdims=True), compute_uv=False)
+    np.testing.assert_allclose(values, sv[:2] ** 2, rtol=1e-9)
+    left = S.axis_residuals(dots, values, vectors).toPandas()
+    assert len(left) == 2 and (left["residual"] < 1e-9).all() and left["total_variance"].iloc[0] == pytest.approx((sv**2).sum())
+    with pytest.raises(RuntimeError, match="did not converge"):
+        S.leading_axes(dots, 2, extra=3, most=2)
+
+
+def test_trend_at_its_bounds_and_without_convergence(spark):
+    rng = np.random.default_rng(1)
+    mean = np.exp(rng.normal(5, 1, 500))
+    rising = spark.createDataFrame(pd.DataFrame({"base_mean": mean, "disp_gene": 0.1 + mean / 1e4}))
+    trend = M.dispersion_trend(rising)
+    assert trend.a1 == 0.0 and trend.a0 == pytest.approx((0.1 + mean / 1e4).mean(), rel=1e-6)
+    noisy = spark.createDataFrame(pd.DataFrame({"base_mean": mean, "disp_gene": (0.1 + 2 / mean) * rng.gamma(2, 0.5, 500)}))
+    with pytest.raises(M.NotConverged):
+        M.dispersion_trend(noisy, rounds=1)
+    y = noisy.select(F.col("disp_gene").alias("y"), (1 / F.col("base_mean")).alias("x"))
+    with pytest.raises(M.NotConverged):
+        M.gamma_fit(y, (0.1, 1.0), steps=1)
