@@ -219,4 +219,4 @@ def test_op4_wrapped_and_short_paragraphs_and_copies_in_a_document(spark):
     got = {(r.doc_id, r.unit, r.position): r for r in op04_substring.repeated_parts(as_documents(spark, rows)).collect() if r.unit != "passage"}
     assert {k: (r.first_doc_id, r.removed) for k, r in got.items()} == {
         (1, "block", 0): (1, False), (2, "block", 2): (1, True), (3, "paragraph", 0): (1, True),
-        (1, "paragraph", 5): (1, False), (4, "paragraph", 0): (1, True), (4, "paragraph", 4): (1, True)}
+        (1, "paragraph", 6): (1, False), (4, "paragraph", 0): (1, True), (4, "paragraph", 4): (1, True)}
