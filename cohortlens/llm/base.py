@@ -22,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def as_struct(docs: DataFrame) -> Column:
+    """All columns of a row in one, so that names of a step's own cannot clash with theirs."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 class Scratch:
     """Intermediate tables as Parquet below the shared folder.
 

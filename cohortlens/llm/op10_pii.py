@@ -25,7 +25,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm.base import Scratch, table
+from cohortlens.llm.base import Scratch, as_struct, table
 from cohortlens.llm.registry import query
 
 #: Fixed values of the contract, in the order of listing; possessive forms of its expressions (same matches, no backtracking).
@@ -116,14 +116,16 @@ def _with_context(text: Column, spans: Column) -> Column:
         F.concat(F.regexp_extract(left(s), before, 1), F.lit(" _ "), F.regexp_extract(right(s), r"^\S*\s+([^\s.,;:!?]+)", 1)).alias("around")))
 
 
-def extract(docs: DataFrame, scratch: Scratch, row: Column | None = None) -> DataFrame:
-    """row, doc_id, base (spans), open (identifiers that overlap no base span), with contexts."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    number = F.monotonically_increasing_id() if row is None else row
-    found = docs.select(number.alias("row"), "doc_id", text.alias("text")).withColumn(
+def extract(docs: DataFrame, scratch: Scratch, whole: bool = False) -> DataFrame:
+    """row, doc_id (or ``doc``, all columns), base (spans), all (these and identifiers that overlap none of them, with contexts).
+
+    Rows are numbered once, by storing the table.
+    """
+    text, carried = F.coalesce(F.col("text"), F.lit("")), as_struct(docs).alias("doc") if whole else F.col("doc_id")
+    found = docs.select(F.monotonically_increasing_id().alias("row"), carried, text.alias("text")).withColumn(
         "base", base_spans(F.col("text"))).withColumn("ids", identifiers(F.col("text")))
     free = F.filter("ids", lambda i: ~F.exists("base", lambda b: (b["start"] < i["end"]) & (i["start"] < b["end"])))
-    return scratch.store(found.select("row", "doc_id", "base", _with_context(F.col("text"), F.concat("base", free)).alias("all")))
+    return scratch.store(found.select("row", "doc" if whole else "doc_id", "base", _with_context(F.col("text"), F.concat("base", free)).alias("all")))
 
 
 def bootstrap(found: DataFrame, scratch: Scratch, rounds: int = ROUNDS) -> DataFrame:
@@ -169,27 +171,27 @@ def personal_data(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with every span replaced by its kind in brackets; columns stay, n_chars follows the text."""
     scratch = Scratch(docs.sparkSession, "pii")
-    key = F.xxhash64("doc_id", "text")
-    rows = docs.withColumn("_row", key)
-    found = extract(docs, scratch, key).dropDuplicates(["row"])
-    spans = found.join(bootstrap(found, scratch), "row", "left").select("row", F.array_sort(F.concat(
+    found = extract(docs, scratch, whole=True)
+    spans = F.array_sort(F.concat(
         F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))),
-        F.coalesce("added", F.array().cast("array<struct<start:int,kind:int,end:int>>")))).alias("_spans")).where(F.size("_spans") > 0)
-    joined = rows.join(spans.withColumnRenamed("row", "_row"), "_row", "left")
+        F.coalesce("added", F.array().cast("array<struct<start:int,kind:int,end:int>>"))))
+    joined = found.join(bootstrap(found, scratch), "row", "left").select("doc", F.when(F.size(spans) > 0, spans).alias("spans"))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    text = F.col("text")
+    text = F.col("doc.text")
     piece = lambda s, x: F.concat(F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.element_at(names, x["kind"] + 1))
     # A span that begins inside the one before only lengthens it.
-    cut = F.aggregate("_spans", start, lambda s, x: F.struct(
+    cut = F.aggregate("spans", start, lambda s, x: F.struct(
         F.greatest(s["at"], x["end"]).alias("at"),
         F.when((x["start"] < s["at"]), s["out"]).otherwise(F.concat(s["out"], F.array(piece(s, x)))).alias("out"),
     ), lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.length(text))))
-    changed = F.when(F.col("_spans").isNotNull(), cut).otherwise(text)
-    out = joined.withColumn("text", changed)
+    changed = joined.select("doc", F.when(F.col("spans").isNotNull(), cut).alias("cut"))
+    out = {"text": F.coalesce("cut", "doc.text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out["n_chars"] = F.when(F.col("cut").isNotNull(), F.length("cut").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("doc.n_chars"))
+    result = scratch.store(changed.select(*[out.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns]))
+    scratch.drop()
+    return result
 
 
 @query("op10_pii_bootstrap")

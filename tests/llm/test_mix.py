@@ -54,6 +54,17 @@ def test_op5_without_words(spark):
     assert [(r.size, r.target, r.taken) for r in got] == [(0, 0.0, 0)] * 3
 
 
+def test_op5_rows_without_an_id_and_of_very_unequal_size(spark):
+    """No id, one id or many: no source is off by more than a large document."""
+    rng = random.Random(7)
+    sizes = [int(1.5 ** rng.uniform(0, 20)) for _ in range(3000)]
+    for ids in (lambda i: None, lambda i: 5, lambda i: i):
+        docs = as_documents(spark, [(ids(i), "w " * n) for i, n in enumerate(sizes)], sources=("a", "b", "c", None))
+        sums = op05_mixing.rates(docs).groupBy("source_size").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("size").alias("most"))
+        for r in sums.collect():
+            assert abs(r.taken - r.target) <= r.most, r
+
+
 def test_op5_taken_comes_near_the_targets(spark):
     rng = random.Random(2)
     docs = as_documents(spark, [(i, "w " * rng.randint(1, 40)) for i in range(6000)], sources=("a", "a", "a", "b", "c", "d"))
