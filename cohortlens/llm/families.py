@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,6 +38,23 @@ class Rule:
         return (low >> np.uint64(64 - bits)).astype(np.uint32).view(np.int32)
 
 
+    def signatures(self, items: np.ndarray, starts: np.ndarray, ends: np.ndarray, bits: int = 16) -> np.ndarray:
+        """MinHash values of many ranges of one array of shingles, none of them empty: a row for each range."""
+        out = np.empty((len(starts), self.coordinates), np.uint64)
+        if not len(starts):
+            return out
+        a = mix(np.arange(1, self.coordinates + 1, dtype=np.uint64)) | np.uint64(1)
+        b = mix(np.arange(1001, self.coordinates + 1001, dtype=np.uint64))
+        edges = np.stack([starts, ends], axis=1).ravel()
+        row = np.empty(len(items) + 1, np.uint64)
+        for c in range(self.coordinates):
+            np.multiply(items, a[c], out=row[:-1])
+            row[:-1] += b[c]
+            row[-1] = np.iinfo(np.uint64).max
+            out[:, c] = np.minimum.reduceat(row, edges)[::2]
+        return out >> np.uint64(64 - bits)
+
+
 def _joined(rule: Rule, signatures: np.ndarray, sets: list[np.ndarray], left: int | None) -> list[tuple[int, int]]:
     """Links that join the documents of a block, or of its first ``left`` rows with the others, as far as they are alike."""
     n = len(sets)
@@ -101,10 +119,12 @@ def _in_blocks(rule: Rule, members: DataFrame, buckets: int) -> DataFrame:
     return spread.withColumn("bucket", bucket).drop("blocks").groupBy("bucket").applyInArrow(lambda rows: _compare(rule, rows), _LINKS)
 
 
-def links(rule: Rule, scratch: Scratch, lists: DataFrame, representatives: DataFrame, texts: DataFrame) -> DataFrame:
+def links(rule: Rule, scratch: Scratch, lists: DataFrame, representatives: DataFrame,
+          texts: DataFrame | Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Links (u, v) that join all alike texts.
 
-    ``lists``: doc, key; ``representatives``: doc, signature; ``texts``: doc, text.
+    ``lists``: doc, key; ``representatives``: doc, signature; ``texts``: doc, text, or what gives
+    them for a table of docs.
     Every pair that shares a list and has enough equal coordinates is confirmed on
     the full texts, or already joined by links found before.
     """
@@ -129,6 +149,7 @@ def links(rule: Rule, scratch: Scratch, lists: DataFrame, representatives: DataF
     members = families.unionByName(apart.select(F.explode(F.array("u", "v")).alias("doc"), F.concat(F.lit("p"), "u", F.lit(":"), "v").alias("family")).select(
         "doc", F.xxhash64("family").alias("family")))
     wanted = scratch.store(members.join(representatives, "doc"))
-    texts = texts.where("text is not null").join(wanted.select("doc").distinct(), "doc")
+    named = wanted.select("doc").distinct()
+    texts = texts(named) if callable(texts) else texts.where("text is not null").join(named, "doc")
     buckets = 8 * int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
     return scratch.store(_in_blocks(rule, wanted.join(texts, "doc"), buckets))

@@ -9,11 +9,14 @@ their five-word shingle sets (0.8 or more) and clustered by components.
 
 *Passages* are runs of ``WINDOW`` words and more that stand word for word in another
 place.  A window is named by the least hash of ``ANCHOR`` words in it, so two copies
-have the same name; all windows whose name occurs in several places are compared by
-the hash of all their words, and the first place (document, then position) of each is
-found.  A window is removed where an earlier place holds it.  Only then are
-neighbouring windows with one first holder and one decision merged, so spans of
-different holders can overlap; words under any removed span go.  Spans with a window
+have the same name.  The up to 13 windows in a row that owe their name to the same
+words are a block, kept as its place, size and the hash of its words.  Where all blocks of a name are
+equal they are compared as they are (windows of a block differ, and stand at the same place in
+each copy); only where they differ, at the ends of a passage, are single windows compared by
+the hash of all their words.  The first place (document, then position) of each block or window is
+found, and it is removed where an earlier place holds it.  Only then are
+neighbours with one first holder and one decision merged, so spans of
+different holders can overlap; words under any removed span go.  Spans with a block or window
 in common are one cluster.
 
 Of a cluster the first member (document, then line) and what overlaps it stay; all
@@ -21,8 +24,8 @@ others are removed, also in the same document.  Windows are counted with map-sid
 are joined as the long side of a join that Spark can split.
 
 Nulls, empty and short texts have no paragraph; rows without an id take no part;
-equal rows of one id are one text, differing ones are places of one document; extra
-columns are not read.
+equal rows of one id are one text, differing ones are places of one document; very long
+texts are read whole; an empty table gives no row; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -36,11 +39,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortlens.llm.base import CHUNK, NOT_SPACE, Scratch, chunks, components, mix, shingles, table, word_hashes
+from cohortlens.llm.base import _BASE, _INVERSE, CHUNK, NOT_SPACE, Scratch, _powers, chunks, components, mix, table, word_hashes
 from cohortlens.llm.families import Rule, links
 from cohortlens.llm.registry import query
 
-MIN_WORDS = 5
+MIN_WORDS = SHINGLE = 5
 ROWS, BANDS = 3, 16
 #: Pairs at 0.8 have 38.4 +- 2.8 of 48 coordinates in common.
 RULE = Rule(coordinates=ROWS * BANDS, min_matches=25, numerator=80)
@@ -68,17 +71,47 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low, high = (np.concatenate([filled, x[high > low]]) for x in (low, high))
             use = starts[high + 1] - starts[low] >= MIN_WORDS
             low, high = low[use], high[use]
-            prints, signatures = [], []
-            for i, j in zip(low.tolist(), high.tolist(), strict=True):
-                items = shingles(hashes[starts[i]:starts[j + 1]])
-                prints.append(np.array([items.sum(), np.bitwise_xor.reduce(mix(items))], np.uint64).tobytes())
-                signatures.append(RULE.signature(items, 16))
+            begin, stop = starts[low], starts[high + 1]
+            prints = _prints(hashes, begin, stop)
+            # Copies within the chunk are told by their print; one of them carries the signature.
+            first_of = np.unique(prints, axis=0, return_index=True)[1]
+            signed = RULE.signatures(_grams(hashes, SHINGLE), begin[first_of], stop[first_of] - SHINGLE + 1)
+            values = np.zeros((len(low), RULE.coordinates), np.uint16)
+            values[first_of] = signed
+            absent = np.ones(len(low), bool)
+            absent[first_of] = False
             at = pa.array(first + row[low], pa.int64())
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id").take(at), "part": batch.column("part").take(at),
                 "line": pa.array(line[low], pa.int64()), "last": pa.array(line[high], pa.int64()),
-                "n_words": pa.array(starts[high + 1] - starts[low], pa.int64()), "print": pa.array(prints, pa.binary()),
-                "signature": pa.array(signatures, pa.list_(pa.int32()))})
+                "n_words": pa.array(stop - begin, pa.int64()), "print": _binary(prints),
+                "signature": _lists(values, absent)})
+
+
+def _prints(words: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Two hashes of each range of words."""
+    return np.stack([_ranges(mix(words + np.uint64(k)), begin, stop) for k in (0, 1)], axis=1)
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    """Rows of two longs as 16 bytes each."""
+    fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(rows), [None, pa.py_buffer(np.ascontiguousarray(rows).tobytes())])
+    return fixed.cast(pa.binary())
+
+
+def _ranges(words: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hash of each range of words (a polynomial in their hashes)."""
+    powers, inverse = _powers(_BASE, len(words)), _powers(_INVERSE, len(words) + 1)
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * powers, out=sums[1:])
+    return mix((sums[stop] - sums[begin]) * inverse[begin] + (stop - begin).astype(np.uint64))
+
+
+def _lists(values: np.ndarray, absent: np.ndarray) -> pa.Array:
+    """Rows of shorts, null where absent."""
+    sizes = np.where(absent, 0, values.shape[1])
+    offsets = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(values[~absent].view(np.int16).ravel()), mask=pa.array(absent))
 
 
 def _unit_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,45 +149,58 @@ def _grams(words: np.ndarray, k: int) -> np.ndarray:
     return mix(key)
 
 
-def _anchors(words: np.ndarray) -> np.ndarray:
-    """The least ``ANCHOR``-word hash in each window: a function of the window's words alone."""
-    if len(words) < WINDOW:
-        return np.zeros(0, np.uint64)
-    return _least(_grams(words, ANCHOR), WINDOW - ANCHOR + 1)
+def _windows_of(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start of each window that does not cross a text, and the number of its text."""
+    sizes = np.maximum(np.diff(starts) - WINDOW + 1, 0)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    before = np.cumsum(sizes) - sizes
+    return np.arange(len(text)) - before[text] + starts[:-1][text], text
 
 
-def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, part, anchor, again (windows that do not overlap have it in this text) of each text's anchors."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, part, anchor, start, count, key of the blocks of windows of each text."""
     for batch in batches:
-        for first, end, data, bounds in chunks(batch.column("text")):
-            hashes, starts = word_hashes(data, bounds, NOT_SPACE)
-            sizes, anchors, again = [], [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
-            for i in range(end - first):
-                low = _anchors(hashes[starts[i]:starts[i + 1]])
-                own, left = np.unique(low, return_index=True)
-                right = len(low) - 1 - np.unique(low[::-1], return_index=True)[1]
-                sizes.append(len(own))
-                anchors.append(own)
-                again.append(right - left >= WINDOW)
-            row = pa.array(first + np.repeat(np.arange(end - first), sizes), pa.int64())
+        for first, _end, data, bounds in chunks(batch.column("text")):
+            words, starts = word_hashes(data, bounds, NOT_SPACE)
+            at, text = _windows_of(words, starts)
+            if not len(at):
+                continue
+            span = WINDOW - ANCHOR + 1
+            grams = _grams(words, ANCHOR)
+            low = _least(grams, span)[at]
+            # The leftmost place of the least hash; windows that share it are one block.
+            where = at + span - 1
+            for step in range(span - 2, -1, -1):
+                where = np.where(grams[at + step] == low, at + step, where)
+            new = np.append(True, (np.diff(where) > 0) | (np.diff(text) > 0))
+            begin = np.flatnonzero(new)
+            count = np.diff(np.append(begin, len(at)))
+            start = at[begin]
+            row = pa.array(first + text[begin], pa.int64())
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id").take(row), "part": batch.column("part").take(row),
-                "anchor": pa.array(np.concatenate(anchors).view(np.int64)), "again": pa.array(np.concatenate(again))})
+                "anchor": pa.array(low[begin].view(np.int64)), "start": pa.array((start - starts[text[begin]]).astype(np.int32)),
+                "count": pa.array(count.astype(np.int32)), "key": pa.array(_ranges(words, start, start + count + WINDOW - 1).view(np.int64))})
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, part, start, key of the windows whose anchor is one of the row's ``anchors``."""
+def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, part, start, count (1), key of the windows in the row's ``ranges``."""
     for batch in batches:
         for first, end, data, bounds in chunks(batch.column("text")):
-            hashes, starts = word_hashes(data, bounds, NOT_SPACE)
-            for i in range(end - first):
-                words = hashes[starts[i]:starts[i + 1]]
-                wanted = batch.column("anchors")[first + i].values.to_numpy().view(np.uint64)
-                places = np.flatnonzero(np.isin(_anchors(words), wanted))
-                row = pa.array(np.full(len(places), first + i), pa.int64())
-                yield pa.record_batch({
-                    "doc_id": batch.column("doc_id").take(row), "part": batch.column("part").take(row),
-                    "start": pa.array(places, pa.int64()), "key": pa.array(_grams(words, WINDOW)[places].view(np.int64))})
+            words, starts = word_hashes(data, bounds, NOT_SPACE)
+            wanted = batch.column("ranges").slice(first, end - first)
+            sizes = np.diff(wanted.offsets.to_numpy())
+            flat = wanted.flatten()
+            start, count = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("start", "count"))
+            text = np.repeat(np.repeat(np.arange(end - first), sizes), count)
+            within = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+            local = np.repeat(start, count) + within
+            at = starts[text] + local
+            row = pa.array(first + text, pa.int64())
+            yield pa.record_batch({
+                "doc_id": batch.column("doc_id").take(row), "part": batch.column("part").take(row),
+                "start": pa.array(local.astype(np.int32)), "count": pa.array(np.ones(len(at), np.int32)),
+                "key": pa.array(_ranges(words, at, at + WINDOW).view(np.int64))})
 
 
 def _band_keys(signature: str) -> Column:
@@ -173,20 +219,27 @@ def _place_id(doc: str, position: str) -> Column:
 def paragraph_clusters(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, unit, position (line), n_words, cluster_id, first_doc_id, removed of near-equal paragraphs and blocks."""
     found = scratch.store(docs.mapInArrow(
-        _paragraphs, "doc_id long, part long, line long, last long, n_words long, print binary, signature array<int>"))
+        _paragraphs, "doc_id long, part long, line long, last long, n_words long, print binary, signature array<short>"))
     place = F.struct("doc_id", "part", "line", "last")
-    classes = found.groupBy("print").agg(F.min(F.struct(place.alias("place"), F.col("signature"))).alias("low"))
+    # Any signature of a class will do: they are equal where present.
+    classes = found.groupBy("print").agg(F.min(place).alias("place"), F.first("signature", ignorenulls=True).alias("signature"))
     # Each class has a number of its own, fixed by storing it, whatever the ids are.
-    classes = scratch.store(classes.select("print", "low.place.*", "low.signature", F.monotonically_increasing_id().alias("doc")))
-    representatives = classes.select("doc", "signature")
-    posted = representatives.select("doc", F.explode(_band_keys("signature")).alias("key"))
-    shared = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    lists = scratch.store(posted.join(shared, "key").select("doc", "key"))
+    classes = scratch.store(classes.select("print", "place.*", "signature", F.monotonically_increasing_id().alias("doc")))
+    posted = classes.select("doc", F.explode(_band_keys("signature")).alias("key"))
+    shared = posted.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high")).where("n > 1")
+    # Most lists have two members, which the counts already tell.
+    shared = scratch.store(shared)
+    pairs = shared.where("n = 2").select(F.explode(F.array("low", "high")).alias("doc"), "key")
+    lists = scratch.store(pairs.unionByName(posted.join(shared.where("n > 2").select("key"), "key").select("doc", "key")))
     scratch.free()
-    units = classes.join(lists.select("doc").distinct(), "doc", "left_semi").groupBy("doc_id", "part").agg(
-        F.collect_list(F.struct("doc", "line", "last")).alias("units"))
-    texts = docs.join(units, ["doc_id", "part"]).dropDuplicates(["doc_id", "part"]).select("text", "units")
-    texts = scratch.store(texts.mapInArrow(_unit_texts, "doc long, text string"))
+    representatives = classes.join(lists.select("doc").distinct(), "doc", "left_semi").select("doc", "signature")
+    representatives = scratch.store(representatives)
+
+    def texts(wanted: DataFrame) -> DataFrame:
+        units = classes.join(wanted, "doc", "left_semi").groupBy("doc_id", "part").agg(F.collect_list(F.struct("doc", "line", "last")).alias("units"))
+        rows = docs.join(units, ["doc_id", "part"]).dropDuplicates(["doc_id", "part"]).select("text", "units")
+        return rows.mapInArrow(_unit_texts, "doc long, text string")
+
     joined = components(scratch, links(RULE, scratch, lists, representatives, texts)).withColumnRenamed("node", "doc")
     named = classes.select("print", "doc").join(joined, "doc", "left").select("print", F.coalesce("component", "doc").alias("component"))
     members = scratch.store(found.select("doc_id", "part", "line", "last", "n_words", "print").join(named, "print").drop("print").distinct())
@@ -205,13 +258,14 @@ def passage_clusters(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
     A row is a longest run of windows with one first holder and one decision.
     """
-    anchors = scratch.store(docs.mapInArrow(_anchor_rows, "doc_id long, part long, anchor long, again boolean"))
-    text = F.struct("doc_id", "part")
-    shared = anchors.groupBy("anchor").agg(F.min(text).alias("low"), F.max(text).alias("high"), F.max("again").alias("again")).where(
-        "again or low != high").select("anchor")
-    wanted = anchors.join(shared, "anchor").groupBy("doc_id", "part").agg(F.collect_set("anchor").alias("anchors"))
-    open_texts = docs.join(wanted, ["doc_id", "part"]).dropDuplicates(["doc_id", "part"])
-    windows = scratch.store(open_texts.mapInArrow(_windows, "doc_id long, part long, start long, key long"))
+    blocks = scratch.store(docs.mapInArrow(_blocks, "doc_id long, part long, anchor long, start int, count int, key long"))
+    shared = blocks.groupBy("anchor").agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high")).where("n > 1")
+    named = scratch.store(blocks.join(shared.select("anchor", (F.col("low") == F.col("high")).alias("equal")), "anchor"))
+    scratch.free()
+    ranges = named.where("not equal").groupBy("doc_id", "part").agg(F.collect_list(F.struct("start", "count")).alias("ranges"))
+    open_texts = docs.join(ranges, ["doc_id", "part"]).dropDuplicates(["doc_id", "part"])
+    single = open_texts.mapInArrow(_single_windows, "doc_id long, part long, start int, count int, key long")
+    windows = scratch.store(named.where("equal").select("doc_id", "part", "start", "count", "key").unionByName(single))
     scratch.free()
 
     place = F.struct("doc_id", "part", "start")
@@ -222,22 +276,24 @@ def passage_clusters(docs: DataFrame, scratch: Scratch) -> DataFrame:
     hits = windows.join(first, "key").withColumn("removed", removed).withColumn("first_doc_id", F.col("first.doc_id")).withColumn(
         "is_first", F.col("first") == place).drop("first")
     order = Window.partitionBy("doc_id", "part").orderBy("start")
-    follows = (F.lag("start").over(order) == F.col("start") - 1) & (F.lag("first_doc_id").over(order) == F.col("first_doc_id")) & (
+    # Equal rows of one id are one text.
+    hits = hits.withColumn("same", F.lag("start").over(order).eqNullSafe(F.col("start"))).where("not same").drop("same")
+    follows = (F.lag(F.col("start") + F.col("count")).over(order) == F.col("start")) & (F.lag("first_doc_id").over(order) == F.col("first_doc_id")) & (
         F.lag("removed").over(order) == F.col("removed"))
     placed = hits.withColumn("new", ~F.coalesce(follows, F.lit(False)))
     placed = placed.withColumn("position", F.max(F.when(F.col("new"), F.col("start"))).over(order)).withColumn(
         "span", F.xxhash64("doc_id", "part", "position"))
-    placed = scratch.store(placed.select("doc_id", "part", "position", "span", "start", "key", "first_doc_id", "removed", "is_first"))
+    placed = scratch.store(placed.select("doc_id", "part", "position", "span", "start", "count", "key", "first_doc_id", "removed", "is_first"))
     # Spans with a window in common are one cluster.
     edges = placed.select("key", F.col("span").alias("u")).join(placed.where("is_first").select("key", F.col("span").alias("v")), "key").where(
         "u != v").select("u", "v").distinct()
     joined = components(scratch, edges).withColumnRenamed("node", "span")
     spans = placed.groupBy("doc_id", "part", "position", "span", "first_doc_id", "removed").agg(
-        (F.max("start") + WINDOW - F.col("position")).alias("n_words")).join(joined, "span", "left").withColumn("component", F.coalesce("component", "span"))
+        (F.max(F.col("start") + F.col("count")) - 1 + WINDOW - F.col("position")).cast("long").alias("n_words")).join(joined, "span", "left").withColumn("component", F.coalesce("component", "span"))
     spans = scratch.store(spans)
     names = spans.groupBy("component").agg(F.min(_place_id("doc_id", "position")).alias("cluster_id"))
     return spans.join(names, "component").select(
-        "doc_id", F.lit("passage").alias("unit"), "position", "n_words", "cluster_id", "first_doc_id", "removed")
+        "doc_id", F.lit("passage").alias("unit"), F.col("position").cast("long").alias("position"), "n_words", "cluster_id", "first_doc_id", "removed")
 
 
 def repeated_parts(docs: DataFrame) -> DataFrame:
