@@ -11,11 +11,12 @@ documents both have subsets with few terms; a subset without a term is empty.
 
 Two fingerprints are compared level by level: the share of subsets with equal,
 non-empty hashes among those that are non-empty in one of both.  The likeness is
-the highest level's share, and 1 for equal fingerprints.
+the highest level's share, and 1 for equal fingerprints (0 for two empty ones of different texts).
 
 Null and empty texts have the empty fingerprint (every subset empty; equal texts,
 equal fingerprints).  Documents are followed by id, ties by text; rows without an
-id come first.  One document is followed by itself.
+id come first.  One document is followed by itself.  Very long texts are read whole; an empty
+table gives no row; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ SUBSETS = LEVELS * PER_LEVEL
 LEAST, MOST = 0.0005, 0.25
 #: Fixed limit of the lexicon's size; the proven bound must not exceed it.
 LARGEST = 4_000_000
+EMPTY = "----" * SUBSETS
 #: A level counts from so many non-empty subsets on.
 ENOUGH = 4
 #: Terms are the words without punctuation: runs of letters, digits and non-ASCII bytes.
@@ -113,7 +115,7 @@ def fingerprint(terms: np.ndarray, known: np.ndarray) -> str:
     else:
         terms = terms[:0]
     if not len(terms):
-        return "----" * SUBSETS
+        return EMPTY
     draws = mix(terms[:, None] ^ _LEVEL_SALT[None, :])
     member = (draws >> np.uint64(64 - LEVELS - 1)) < (np.uint64(1) << (np.uint64(LEVELS) - (np.arange(SUBSETS) // PER_LEVEL).astype(np.uint64)))
     # Terms are sorted; a chained hash over those of the subset would do, a sum of mixed hashes is the same for sets.
@@ -122,9 +124,10 @@ def fingerprint(terms: np.ndarray, known: np.ndarray) -> str:
     return "".join(f"{int(s) >> 48:04x}" if e else "----" for s, e in zip(sums.tolist(), some.tolist(), strict=True))
 
 
-def likeness(a: str, b: str) -> float:
+def likeness(a: str, b: str, equal_texts: bool = False) -> float:
+    """Two empty fingerprints say nothing of their texts; they are alike only where these are equal."""
     if a == b:
-        return 1.0
+        return 1.0 if equal_texts or a != EMPTY else 0.0
     x, y = (np.frombuffer(s.encode(), "<u4").reshape(LEVELS, PER_LEVEL) for s in (a, b))
     blank = np.frombuffer(b"----", "<u4")[0]
     used = ((x != blank) | (y != blank)).sum(axis=1)
@@ -167,7 +170,8 @@ def _row(one: tuple, after: tuple, mark) -> tuple:
     half = len(text) // 2
     edited = text[:len(text) - half] + after[2][:half]
     edited_print = mark(edited)
-    return (doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), print_, edited_print, likeness(print_, edited_print), likeness(print_, after[3]))
+    return (doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), print_, edited_print, likeness(print_, edited_print, text == edited),
+            likeness(print_, after[3], text == after[2]))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

@@ -5,16 +5,17 @@ below a window is packed.  Remainders are dealt by a hash into groups of about
 ``GROUP`` windows.  A group of remainders with sum S starts with ceil(S / window)
 windows and is packed by the Karmarkar-Karp method: every remainder is a partial
 partition, and the two partitions with the largest imbalance are merged with
-their imbalances opposed, until one is left.  Windows are then near-equal; what
-exceeds the capacity of a window is cut off and moved into windows with room
-(``cut=False``: the number of windows rises instead until all fit).
+their imbalances opposed, until one is left.  Windows are then near-equal.  While one of
+them exceeds the capacity the number of windows rises, by up to ``MORE_WINDOWS`` of it, which keeps
+remainders whole; only what still exceeds a window then (a group of very large remainders) is
+cut off and moved into windows with room (``cut=False``: the number rises until all fit).
 
 Texts are read once.  Ids are those of the tokenizer file: its merges never cross
 a space that follows a non-space, so units between such spaces are encoded once
 and kept in a bounded cache.
 
 Null and empty texts have the closing id only.  Repeated rows are packed each on
-its own.  An empty table gives no piece.
+its own.  Very long texts are encoded whole.  An empty table gives no piece.  Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ from cohortlens.llm.registry import query
 
 WINDOW = 1024
 GROUP = 128
+#: Windows that a group may have beyond those its ids need, before anything is cut.
+MORE_WINDOWS = 0.02
 #: Units kept in a task's cache before it starts anew.
 CACHE = 300_000
 TOKENIZER = "byte_bpe_50k"
@@ -194,13 +197,13 @@ def difference(sizes: list[int], k: int) -> list[list[int]]:
 def pack(sizes: list[int], window: int = WINDOW, cut: bool = True) -> list[list[tuple[int, int, int]]]:
     """Windows of (item, start, length); no window exceeds ``window``."""
     total = sum(sizes)
-    k = max(1, -(-total // window))
-    while True:
+    least = max(1, -(-total // window))
+    most = least + int(least * MORE_WINDOWS) if cut else len(sizes) + 1
+    for k in range(least, max(most, least) + 1):
         parts = difference(sizes, k)
         fill = [sum(sizes[i] for i in p) for p in parts]
-        if cut or max(fill) <= window:
+        if max(fill) <= window:
             break
-        k += 1
     out = [[(i, 0, sizes[i]) for i in p] for p in parts]
     loose: list[tuple[int, int, int]] = []
     for w, pieces in enumerate(out):

@@ -1,7 +1,9 @@
 import collections
 import hashlib
+import random
 import re
 
+import numpy as np
 import pytest
 
 from cohortlens.llm import op03_license, op07_imatch, op10_pii
@@ -139,6 +141,35 @@ def test_op7_likeness():
     assert op07_imatch.likeness("ab12" * 128, "ab12" * 128) == 1
     assert op07_imatch.likeness("ab12" * 128, "cd34" * 128) == 0
     assert op07_imatch.likeness("----" * 128, "cd34" * 128) == 0
+    assert op07_imatch.likeness("----" * 128, "----" * 128) == 0 and op07_imatch.likeness("----" * 128, "----" * 128, True) == 1
+
+
+def test_op7_band_and_fields_by_brute_force(spark):
+    """The lexicon counted in Python, and fields that agree exactly where the subsets' terms do."""
+    rng = random.Random(9)
+    vocabulary = [f"t{i}" for i in range(60)]
+    texts = [" ".join(rng.choices(vocabulary, weights=[1 / (i + 1) for i in range(60)], k=rng.randint(0, 25))) for _ in range(120)] + [None, ""]
+    known, n = op07_imatch.lexicon(as_documents(spark, list(enumerate(texts))))
+    df = {w: sum(w in (t or "").split() for t in texts) for w in vocabulary}
+    low, high = max(2.0, op07_imatch.LEAST * n), max(2.0, op07_imatch.MOST * n)
+    code = {w: int(op07_imatch.word_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[0][0]) for w in vocabulary}
+    assert n == len(texts) and sorted(known.tolist()) == sorted(code[w] for w in vocabulary if low <= df[w] <= high)
+    used = {code[w]: w for w in vocabulary if code[w] in set(known.tolist())}
+    draws = op07_imatch.mix(np.array(sorted(used), np.uint64)[:, None] ^ op07_imatch._LEVEL_SALT[None, :])
+    subset = [{t for t, d in zip(sorted(used), draws[:, k].tolist(), strict=True) if d >> (63 - op07_imatch.LEVELS) < 1 << (op07_imatch.LEVELS - k // op07_imatch.PER_LEVEL)}
+              for k in range(op07_imatch.SUBSETS)]
+    sets = [{code[w] for w in (t or "").split()} for t in texts]
+    prints = [op07_imatch.fingerprint(np.array(sorted(s), np.uint64), known) for s in sets]
+    by_chance = 0  # a field has 16 bits
+    for i in range(0, len(texts), 7):
+        for j in range(i + 1, len(texts), 5):
+            for k in range(op07_imatch.SUBSETS):
+                a, b = (prints[x][4 * k:4 * k + 4] for x in (i, j))
+                assert (a == "----") == (not sets[i] & subset[k])
+                same = sets[i] & subset[k] == sets[j] & subset[k]
+                assert a == b or not same, (i, j, k)
+                by_chance += a == b and not same
+    assert by_chance <= 10
 
 
 def test_op3_votes_are_distinct_positions_in_order(spark):
@@ -152,3 +183,26 @@ def test_op3_votes_are_distinct_positions_in_order(spark):
     assert got[4].labels == "" and got[5].labels == "unlicense"
     assert [s.start for s in got[3].spans if s.label == "lgpl"] == [3]
     assert [s.start for s in got[6].spans if s.label == "lgpl"] == [3, 12, 21]
+
+
+def test_op3_whole_paragraphs_with_words_put_in_and_left_out(spark):
+    """Every template is found as it is, with up to its slack of other words, and with a fifth of its end cut off; not with its words shuffled."""
+    rng = random.Random(12)
+    rows, want = [], {}
+    for n, (label, text) in enumerate(op03_license.TEMPLATES):
+        w = text.split()
+        longer = list(w)
+        for _ in range(max(op03_license.SLACK, (len(w) - 1) // 10)):
+            longer.insert(len(longer) // 2, "x")
+        shuffled = list(w)
+        rng.shuffle(shuffled)
+        fill = " ".join("zz%d" % rng.randrange(99) for _ in range(40))
+        for k, words in enumerate((w, longer if len(w) > 16 else w, w[:len(w) - len(w) // 5] if len(w) > 16 else w)):
+            rows.append((10 * n + k, fill + " " + " ".join(words) + " " + fill))
+            want[10 * n + k] = label
+        if len(w) > 16:
+            rows.append((10 * n + 5, " ".join(reversed(w))))
+            want[10 * n + 5] = None
+    got = {r.doc_id: r.labels.split(",") for r in op03_license.scan(as_documents(spark, rows)).collect()}
+    wrong = {i: (got[i], label) for i, label in want.items() if (label not in got[i] if label else got[i] != [""])}
+    assert not wrong
