@@ -31,6 +31,8 @@ MOST_REPEATS = 3
 SEED = "mix-1:"
 #: Rows of one source and size that a task puts in order.
 ROWS_PER_SLICE = 1_000_000
+#: Sources whose targets are sent to all tasks; with more of them they are joined by a shuffle.
+MOST_BROADCAST = 200_000
 
 
 def n_words(text: Column) -> Column:
@@ -76,16 +78,21 @@ def targets(sizes: DataFrame, most: int = MOST_REPEATS) -> DataFrame:
         F.col("capped"), (most * F.col("source_size")).cast("double")).otherwise(share).alias("target"))
 
 
-def _with_copies(sized: DataFrame, n_rows: int) -> DataFrame:
-    """Adds source_size, target and copies to rows with doc_id, text, source, size (and others)."""
-    shares = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))).withColumnRenamed("source", "of")
-    joined = sized.join(shares, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+def _with_copies(sized: DataFrame, scratch: Scratch) -> DataFrame:
+    """Adds source_size, target and copies to rows with place, source, size (and others)."""
+    n_rows = sized.count()
+    shares = scratch.store(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))).withColumnRenamed("source", "of"))
+    # Counted first; beyond the bound the rows are dealt by source for the join, and by (source, slice) after it.
+    few = shares.count() <= MOST_BROADCAST
+    joined = sized.join(F.broadcast(shares) if few else shares, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     # A third of all rows may have one size: slices of the hash split them.
     slices = 1 + n_rows // ROWS_PER_SLICE
     part = F.floor(F.conv(F.substring("place", 1, 8), 16, 10).cast("long") * slices / F.lit(1 << 32))
     named = joined.withColumn("rate", rate).withColumn("name", F.coalesce(F.col("source"), F.lit(""))).withColumn(
         "nameless", F.col("source").isNull()).withColumn("slice", F.struct((-F.col("size")).alias("size"), part.alias("part")))
+    if not few:
+        named = named.repartition("nameless", "name", "slice")
     counted = running_total(named, ["nameless", "name"], "slice", ["place"], F.lit(1), "n")
     fraction, start = F.col("rate") - F.floor("rate"), offset(F.col("source"))
     extra = F.floor(start + F.col("n") * fraction) - F.floor(start + (F.col("n") - 1) * fraction)
@@ -96,7 +103,7 @@ def rates(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies for every document."""
     scratch = scratch or Scratch(docs.sparkSession, "mixing")
     sized = scratch.store(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), place(F.col("doc_id"), F.col("text")).alias("place")))
-    result = scratch.store(_with_copies(sized, sized.count()).select(
+    result = scratch.store(_with_copies(sized, scratch).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies"))
     scratch.drop()
     return result
@@ -105,7 +112,8 @@ def rates(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
 def emit(docs: DataFrame) -> DataFrame:
     """The mixed table itself: every row of ``docs`` as often as the mix takes it, columns unchanged."""
     sized = docs.select(as_struct(docs).alias("doc"), "source", n_words(F.col("text")).alias("size"), place(F.col("doc_id"), F.col("text")).alias("place"))
-    mixed = _with_copies(sized, docs.count()).where("copies > 0")
+    # The one stored table, a row for each source, has to stay for the result.
+    mixed = _with_copies(sized, Scratch(docs.sparkSession, "mixed")).where("copies > 0")
     return mixed.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("doc.*")
 
 
