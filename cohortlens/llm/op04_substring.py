@@ -74,7 +74,7 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begin, stop = starts[low], starts[high + 1]
             prints = _prints(hashes, begin, stop)
             # Copies within the chunk are told by their print; one of them carries the signature.
-            first_of = np.unique(prints, axis=0, return_index=True)[1]
+            first_of = _firsts(prints)
             signed = RULE.signatures(_grams(hashes, SHINGLE), begin[first_of], stop[first_of] - SHINGLE + 1)
             values = np.zeros((len(low), RULE.coordinates), np.uint16)
             values[first_of] = signed
@@ -93,6 +93,13 @@ def _prints(words: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarra
     return np.stack([_ranges(mix(words + np.uint64(k)), begin, stop) for k in (0, 1)], axis=1)
 
 
+def _firsts(prints: np.ndarray) -> np.ndarray:
+    """Places of the first row of each print, in order (which the ranges of the signatures need)."""
+    order = np.lexsort((prints[:, 1], prints[:, 0]))
+    new = np.append(True, (np.diff(prints[order], axis=0) != 0).any(axis=1))[:len(order)]
+    return np.sort(order[new])
+
+
 def _binary(rows: np.ndarray) -> pa.Array:
     """Rows of two longs as 16 bytes each."""
     fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(rows), [None, pa.py_buffer(np.ascontiguousarray(rows).tobytes())])
