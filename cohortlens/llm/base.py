@@ -38,12 +38,22 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self.paths: list[str] = []
+        self.places: dict[int, int] = {}
 
     def store(self, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{len(self.paths)}"
         df.write.parquet(path)
         self.paths.append(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        stored = self.spark.read.schema(df.schema).parquet(path)
+        self.places[id(stored)] = len(self.paths) - 1
+        return stored
+
+    def discard(self, *tables: DataFrame) -> None:
+        """Delete stored tables that nothing reads any more, and let their shuffle files go."""
+        for df in tables:
+            at = self.places.pop(id(df))
+            self._delete(self.paths[at])
+            self.paths[at] = ""
 
     def free(self) -> None:
         """Let Spark's cleaner remove shuffle files of finished steps; it acts when the driver collects garbage."""
@@ -52,14 +62,16 @@ class Scratch:
 
     def drop(self, keep: int = 1) -> None:
         """Delete all stored tables but the last ``keep``."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         gone = self.paths[:-keep] if keep else list(self.paths)
         for path in gone:
             if path:
-                where = jvm.org.apache.hadoop.fs.Path(path)
-                where.getFileSystem(conf).delete(where, True)
+                self._delete(path)
         self.paths = [""] * len(gone) + self.paths[len(gone):]
 
+    def _delete(self, path: str) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
 
 def fold_ascii(text: Column) -> Column:
     """A-Z to a-z and nothing else (``lower`` also changes other letters)."""
@@ -203,7 +215,8 @@ def components(scratch: Scratch, edges: DataFrame, u: str = "u", v: str = "v") -
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                               F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")
         ).select("e.u", "e.v").where("u != v").distinct()
-        now = scratch.store(small)
+        before, now = now, scratch.store(small)
+        scratch.discard(before)
         row = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if (state := tuple(row)) == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

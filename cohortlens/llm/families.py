@@ -145,10 +145,13 @@ def links(rule: Rule, scratch: Scratch, lists: DataFrame, representatives: DataF
     apart = open_lists.join(other, "key").where((F.col("doc") > F.col("v")) & (F.col("family") != F.col("family_v")) & (
         _matches("signature", "signature_v") >= rule.min_matches)).select(F.col("doc").alias("u"), "v").distinct()
     apart = scratch.store(apart)
+    scratch.discard(labelled)
+    scratch.free()
 
     members = families.unionByName(apart.select(F.explode(F.array("u", "v")).alias("doc"), F.concat(F.lit("p"), "u", F.lit(":"), "v").alias("family")).select(
         "doc", F.xxhash64("family").alias("family")))
     wanted = scratch.store(members.join(representatives, "doc"))
+    scratch.free()
     named = wanted.select("doc").distinct()
     texts = texts(named) if callable(texts) else texts.where("text is not null").join(named, "doc")
     buckets = 8 * int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))

@@ -232,15 +232,22 @@ def paragraph_clusters(docs: DataFrame, scratch: Scratch) -> DataFrame:
     classes = found.groupBy("print").agg(F.min(place).alias("place"), F.first("signature", ignorenulls=True).alias("signature"))
     # Each class has a number of its own, fixed by storing it, whatever the ids are.
     classes = scratch.store(classes.select("print", "place.*", "signature", F.monotonically_increasing_id().alias("doc")))
+    # Signatures are most of these tables; each is rewritten without them once they have been read.
+    members_of = scratch.store(found.drop("signature"))
+    scratch.discard(found)
     posted = classes.select("doc", F.explode(_band_keys("signature")).alias("key"))
     shared = posted.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high")).where("n > 1")
     # Most lists have two members, which the counts already tell.
     shared = scratch.store(shared)
     pairs = shared.where("n = 2").select(F.explode(F.array("low", "high")).alias("doc"), "key")
     lists = scratch.store(pairs.unionByName(posted.join(shared.where("n > 2").select("key"), "key").select("doc", "key")))
-    scratch.free()
+    scratch.discard(shared)
     representatives = classes.join(lists.select("doc").distinct(), "doc", "left_semi").select("doc", "signature")
     representatives = scratch.store(representatives)
+    places = scratch.store(classes.drop("signature"))
+    scratch.discard(classes)
+    classes = places
+    scratch.free()
 
     def texts(wanted: DataFrame) -> DataFrame:
         units = classes.join(wanted, "doc", "left_semi").groupBy("doc_id", "part").agg(F.collect_list(F.struct("doc", "line", "last")).alias("units"))
@@ -249,7 +256,8 @@ def paragraph_clusters(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
     joined = components(scratch, links(RULE, scratch, lists, representatives, texts)).withColumnRenamed("node", "doc")
     named = classes.select("print", "doc").join(joined, "doc", "left").select("print", F.coalesce("component", "doc").alias("component"))
-    members = scratch.store(found.select("doc_id", "part", "line", "last", "n_words", "print").join(named, "print").drop("print").distinct())
+    scratch.free()
+    members = scratch.store(members_of.select("doc_id", "part", "line", "last", "n_words", "print").join(named, "print").drop("print").distinct())
     # A copy starts after the end of the first unit; a block and its own lines are no copies of each other.
     first = members.groupBy("component").agg(F.min(F.struct("doc_id", "part", "line", (-F.col("last")).alias("last"))).alias("first"))
     later = (F.col("doc_id") != F.col("first.doc_id")) | (F.col("part") != F.col("first.part")) | (F.col("line") > -F.col("first.last"))
