@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.operators.ordering import carry_last, previous
+from cohortlens.sources.sinks import content_fingerprint
 
 
 def verify_digests(expected: DataFrame, observed: DataFrame, key: str = "path") -> DataFrame:
@@ -24,21 +25,47 @@ def verify_digests(expected: DataFrame, observed: DataFrame, key: str = "path")
     return left.join(right, key, "full").select(key, state.alias("state"))
 
 
-def reconcile_artifacts(expected: DataFrame, inventory: DataFrame, evidence: DataFrame, key: str) -> DataFrame:
+def revalidate(results: DataFrame, recorded: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """``(key, valid)`` of each recorded result: whether its rows still have the fingerprint they had.
+
+    ``recorded`` is what ``content_fingerprint`` gave when the results were accepted.
+    """
+    now = content_fingerprint(results, list(columns), [key])
+    lanes = [c for c in now.columns if c != key]
+    seen = now.select(key, *[F.col(c).alias(f"_now_{c}") for c in lanes])
+    same = F.lit(True)
+    for c in lanes:
+        same = same & F.col(c).eqNullSafe(F.col(f"_now_{c}"))
+    return recorded.join(seen, key, "left").select(key, same.alias("valid"))
+
+
+def reconcile_artifacts(expected: DataFrame, inventory: DataFrame, evidence: DataFrame, key: str,
+                        validity: DataFrame | None = None) -> DataFrame:
     """What to do with each requested run: ``(key, state)``.
 
     ``expected``: ``size, sha256, config``; ``inventory``: ``has_final, has_work,
-    source_size``; ``evidence``: ``e_sha256, e_config``.
+    source_size`` and, where the source was read again, ``source_sha256``;
+    ``evidence``: ``e_sha256, e_config``; ``validity``: ``valid`` of existing results (:func:`revalidate`).
+    A result that fails there is ``INVALID_RESULT``; a source whose digest differs just before
+    a run is ``SOURCE_CHECKSUM_MISMATCH``.
     """
     joined = expected.join(inventory, key, "left").join(evidence, key, "left")
+    digest_differs, invalid = F.lit(False), F.lit(False)
+    if "source_sha256" in inventory.columns:
+        digest_differs = ~F.col("source_sha256").eqNullSafe(F.col("sha256"))
+    if validity is not None:
+        joined = joined.join(validity.select(key, "valid"), key, "left")
+        invalid = ~F.coalesce("valid", F.lit(False))
     final = F.coalesce("has_final", F.lit(False))
     work = F.coalesce("has_work", F.lit(False))
     state = (
         F.when(~F.col("source_size").eqNullSafe(F.col("size")), "SOURCE_MUTATED")
         .when(final & F.col("e_sha256").isNull(), "UNVERIFIED_RESULT")
         .when(final & ((F.col("e_sha256") != F.col("sha256")) | ~F.col("e_config").eqNullSafe(F.col("config"))), "PROVENANCE_CONFLICT")
+        .when(final & invalid, "INVALID_RESULT")
         .when(final, "VALIDATED_SKIP")
         .when(work, "INTERRUPTED")
+        .when(digest_differs, "SOURCE_CHECKSUM_MISMATCH")
         .otherwise("RUN")
     )
     return joined.select(key, state.alias("state"))

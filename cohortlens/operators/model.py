@@ -130,6 +130,12 @@ def norm_factors(genes: DataFrame) -> DataFrame:
     return product.withColumn("nf", F.exp(F.col("_ns") - per_gene(F.avg("_ns")))).drop("_n", "_kn", "_ns", "size_factor")
 
 
+def track_factors(genes: DataFrame, samples: DataFrame, sample: str) -> DataFrame:
+    """Factors of one track: the samples of its cohort are taken first, then whole counts, zero filter and factors."""
+    chosen = genes.join(samples.select(F.col(sample).alias("sample_id")).distinct(), "sample_id", "left_semi")
+    return norm_factors(drop_all_zero(whole_counts(chosen)))
+
+
 def norm_factor_violations(factors: DataFrame) -> DataFrame:
     bad = F.col("nf").isNull() | F.isnan("nf") | (F.col("nf") <= 0) | (F.col("nf") == F.lit(float("inf")))
     return factors.where(bad)

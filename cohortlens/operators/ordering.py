@@ -8,6 +8,7 @@ crosses chunk borders travels in a small table with one row per chunk.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -51,6 +52,20 @@ def keep_first(df: DataFrame, keys: list[str], position: str | Column) -> DataFr
     return keep_last(df, keys, position, first=True)
 
 
+def quantile_chunks(df: DataFrame, column: str, rows_per_chunk: int = 100_000, out: str = "chunk") -> DataFrame:
+    """Adds the number of a chunk of consecutive values of ``column``, about ``rows_per_chunk`` rows each.
+
+    The edges come from a quantile summary of the data, so the number of chunks grows
+    with the rows; equal values share a chunk.  Nulls are the first chunk's.
+    """
+    parts = -(-df.count() // rows_per_chunk)
+    edges = sorted(set(df.approxQuantile(column, [i / parts for i in range(1, parts)], 0.25 / parts))) if parts > 1 else []
+    if not edges:
+        return df.withColumn(out, F.lit(0))
+    known = F.from_json(F.lit(json.dumps(edges)), "array<double>")
+    return df.withColumn(out, F.coalesce(F.size(F.filter(known, lambda e: e < F.col(column))), F.lit(0)))
+
+
 def running_total(df: DataFrame, by: list[str], chunk: str, position: list[str], value: Column, out: str) -> DataFrame:
     """Running sum of ``value`` in (chunk, position) order within ``by``."""
     cells = df.withColumn("_ord_v", value)

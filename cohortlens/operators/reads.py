@@ -77,37 +77,55 @@ def threshold_sweep(results: DataFrame, by: list[str], threshold: str, metric: s
 
 
 # Tile lengths for exact substring search; a sequence uses the longest tile with 2 * tile - 1 <= length.
-TILES = (16, 4, 1)
+TILES = (16, 4)
+# Shorter sequences than the last tile needs are looked up as a whole.
+SHORT = 2 * TILES[-1] - 2
 
 
 def overrepresented_lookup(seqs: DataFrame, panel: DataFrame, seq_id: str, seq: str, panel_id: str, text: str) -> DataFrame:
     """Which sequences occur inside which panel texts: ``(seq_id, panel_id)``.
 
-    Panel texts are cut into adjacent tiles, sequences into their first tile
-    offsets.  A text that contains a sequence has a tile that lies wholly inside
-    it, so an equality join on tiles finds every candidate and a substring test
-    keeps the true ones.  No pair of unrelated rows is ever formed.
+    Panel texts are cut into adjacent tiles.  Where a text contains a sequence, all tiles
+    of the sequence from one of its first offsets on are tiles of that text.  Texts
+    are counted by tile, so an offset with a tile that no text has is out before any text is
+    looked at, and each other one is looked up by its rarest tile; a substring test keeps the
+    true candidates.  Sequences of up to ``SHORT`` characters are joined to the texts' substrings of that
+    length, which needs no test.  No pair of unrelated rows is ever formed.
     """
     length = F.char_length(seq)
     tile = F.lit(None).cast("int")
     for t in reversed(TILES):
         tile = F.when(length >= 2 * t - 1, t).otherwise(tile)
-    keyed = seqs.select(seq_id, seq, tile.alias("tile")).where(F.col("tile").isNotNull())
-    grams = keyed.select(
-        seq_id, "tile",
-        F.explode(F.transform(F.sequence(F.lit(1), F.col("tile")), lambda o: F.substr(F.col(seq), o, F.col("tile")))).alias("gram"),
-    ).distinct()
+    keyed = seqs.select(seq_id, seq, tile.alias("tile"), length.alias("_len")).where("_len > 0").withColumn("_key", F.xxhash64(seq))
+    pieces = lambda at, size: F.struct(at.alias("at"), F.substr(F.col(seq), at, size).alias("gram"))
+    every = keyed.where("tile is not null").select(seq_id, "_key", "tile", F.explode(F.transform(
+        F.sequence(F.lit(1), F.col("_len") - F.col("tile") + 1), lambda at: pieces(at, F.col("tile")))).alias("p"))
+    grams = every.select(seq_id, "_key", "tile", ((F.col("p.at") - 1) % F.col("tile")).alias("_offset"), "p.gram")
+
     used = keyed.agg(F.collect_set("tile")).scalar()
     cut = None
     for t in TILES:
-        pieces = panel.where(F.array_contains(used, t)).select(
+        found = panel.where(F.array_contains(used, t)).select(
             panel_id, F.lit(t).alias("tile"),
             F.explode(F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{{t}}}"), F.lit(0)))).alias("gram"),
         )
-        cut = pieces if cut is None else cut.unionByName(pieces)
-    candidates = cut.join(grams, ["tile", "gram"]).select(seq_id, panel_id).distinct()
+        cut = found if cut is None else cut.unionByName(found)
+    texts_with = cut.groupBy("tile", "gram").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = grams.join(texts_with, ["tile", "gram"], "left").groupBy(seq_id, "_key", "tile", "_offset").agg(
+        F.min_by("gram", "_n").alias("gram"), (F.count("_n") == F.count(F.lit(1))).alias("_all")).where("_all")
+    candidates = cut.join(rarest.select(seq_id, "tile", "gram").distinct(), ["tile", "gram"]).select(seq_id, panel_id).distinct()
     checked = candidates.join(seqs.select(seq_id, seq), seq_id).join(panel.select(panel_id, text), panel_id)
-    return checked.where(F.contains(F.col(text), F.col(seq))).select(seq_id, panel_id)
+    long_hits = checked.where(F.contains(F.col(text), F.col(seq))).select(seq_id, panel_id)
+
+    short = keyed.where("tile is null")
+    sizes = short.agg(F.collect_set("_len")).scalar()
+    grams = None
+    for k in range(1, SHORT + 1):
+        starts, size = F.sequence(F.lit(1), F.char_length(text) - k + 1), F.lit(k)
+        found = panel.where(F.array_contains(sizes, k) & (F.char_length(text) >= k)).select(
+            panel_id, F.explode(F.array_distinct(F.transform(starts, lambda at: F.substr(F.col(text), at, size)))).alias(seq))
+        grams = found if grams is None else grams.unionByName(found)
+    return long_hits.unionByName(short.select(seq_id, seq).join(grams, seq).select(seq_id, panel_id)).distinct()
 
 
 def reproducibility_check(a: DataFrame, b: DataFrame, by: list[str], columns: list[str]) -> DataFrame:

@@ -290,6 +290,28 @@ def join_sample_qc(points: DataFrame, metrics: DataFrame, extra: DataFrame, key:
     return points.join(metrics, key).join(extra, key)
 
 
+#: Report measures of the sample table: key in the report, column, type.
+QC_MEASURES = (("Total Sequences", "reads", "long"), ("Sequence length", "read_length_range", "string"),
+               ("Total Deduplicated Percentage", "deduplicated_pct", "double"))
+
+
+def sample_qc_table(manifest: DataFrame, values: DataFrame, status: DataFrame, rates: DataFrame, run: str = "run") -> DataFrame:
+    """One row per sample of the manifest: its columns, report measures, module states, mapping rates.
+
+    ``values``: ``run, key, value`` of the reports; ``status``: one column per module;
+    ``rates``: ``pct_mapped, pct_decoy, num_mapped, num_processed``.  A missing report or
+    run leaves nulls (module states ``unknown``); ``counts_agree`` tells whether manifest
+    (``spots``), report and run metadata have one number of reads.
+    """
+    pick = lambda key, name, kind: F.max(F.when(F.col("key") == key, F.col("value"))).try_cast(kind).alias(name)
+    measures = values.groupBy(run).agg(*[pick(*m) for m in QC_MEASURES])
+    modules = [c for c in status.columns if c != run]
+    rows = manifest.join(measures, run, "left").join(status, run, "left").join(
+        rates.select(run, "pct_mapped", "pct_decoy", "num_mapped", "num_processed"), run, "left")
+    agree = F.col("spots").eqNullSafe(F.col("reads")) & F.col("spots").eqNullSafe(F.col("num_processed"))
+    return rows.withColumns({m: F.coalesce(m, F.lit("unknown")) for m in modules}).withColumn("counts_agree", agree).drop("num_processed")
+
+
 def unjoined_samples(points: DataFrame, joined: DataFrame, key: str) -> DataFrame:
     """Samples that the QC joins lost; empty when the join kept every one."""
     return points.select(key).join(joined.select(key), key, "left_anti")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cohortlens.operators import artifacts as A
 from cohortlens.plans import bindings as B
 from cohortlens.plans.registry import cte, query, rounded
+from cohortlens.sources.sinks import content_fingerprint
 
 
 def crosscheck(spark: SparkSession, sf: str) -> DataFrame:
@@ -53,6 +54,28 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return A.reconcile_artifacts(expected, inventory, evidence, "run")
 
 
+@query("j14c_revalidated_results", """SELECT c_custkey AS run, CASE WHEN n IS NOT NULL AND c_nationkey = 7 THEN 'PROVENANCE_CONFLICT'
+ WHEN n IS NOT NULL AND changed THEN 'INVALID_RESULT' WHEN n IS NOT NULL THEN 'VALIDATED_SKIP' WHEN c_nationkey = 4 THEN 'INTERRUPTED'
+ WHEN c_nationkey % 5 = 3 THEN 'SOURCE_CHECKSUM_MISMATCH' ELSE 'RUN' END AS state
+ FROM customer LEFT JOIN (SELECT o_custkey, COUNT(*) AS n, bool_or(o_orderpriority = '5-LOW') AS changed FROM orders GROUP BY 1) ON o_custkey = c_custkey""")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """A customer's orders are its result; orders of low priority have changed since they were recorded."""
+    c = B.table(spark, sf, "customer").withColumn("run", F.col("c_custkey"))
+    orders = B.table(spark, sf, "orders").select(F.col("o_custkey").alias("run"), "o_orderkey", "o_totalprice", "o_orderpriority")
+    price = F.col("o_totalprice") + F.when(F.col("o_orderpriority") == "5-LOW", 1).otherwise(0)
+    recorded = content_fingerprint(orders.withColumn("o_totalprice", price), ["o_orderkey", "o_totalprice"], ["run"])
+    done = orders.select("run").distinct()
+    digest = F.sha2("c_name", 256)
+    expected = c.select("run", F.lit(1).alias("size"), digest.alias("sha256"), F.col("c_mktsegment").alias("config"))
+    inventory = c.join(done.withColumn("has_final", F.lit(True)), "run", "left").select(
+        "run", "has_final", (F.col("c_nationkey") == 4).alias("has_work"), F.lit(1).alias("source_size"),
+        F.when(F.col("c_nationkey") % 5 == 3, F.sha2(F.concat("c_name", F.lit("x")), 256)).otherwise(digest).alias("source_sha256"))
+    evidence = c.join(done, "run").select(
+        "run", digest.alias("e_sha256"), F.when(F.col("c_nationkey") == 7, "OTHER").otherwise(F.col("c_mktsegment")).alias("e_config"))
+    valid = A.revalidate(orders, recorded, "run", ["o_orderkey", "o_totalprice"])
+    return A.reconcile_artifacts(expected, inventory, evidence, "run", valid)
+
+
 @query("j14b_reuse_state", """SELECT user_id, event_type, CASE WHEN NOT d AND (m OR k) THEN 'integrity_conflict' WHEN NOT d THEN 'download'
  WHEN m AND k AND pol = 'v2' AND k_ok AND m_ok THEN 'reused' WHEN m AND k AND pol = 'v2' THEN 'integrity_conflict'
  WHEN m AND k AND m_ok AND c_ok THEN 'migrated' WHEN m AND k THEN 'integrity_conflict' WHEN k THEN 'integrity_conflict'

@@ -77,7 +77,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     r = B.records(spark, sf)
     # The wanted order, numbered chunk by chunk: richest first.
-    keyed = r.select("gsm", (-F.col("c_acctbal")).alias("_o")).withColumn("chunk", F.floor(F.col("_o") / 500))
+    keyed = O.quantile_chunks(r.select("gsm", (-F.col("c_acctbal")).cast("double").alias("_o")), "_o")
     order = O.ordinal_rank(keyed, [], "chunk", ["_o", "gsm"], "ordinal")
     return M.order_as(r, order, "gsm", "ordinal").select("gsm", "ordinal")
 

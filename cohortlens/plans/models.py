@@ -31,11 +31,34 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return design_b(spark, sf)
 
 
-@query("m2_check_design", "SELECT COUNT(*) AS n_samples, 13 AS n_columns, 13 AS rank, COUNT(*) > 13 AS valid FROM design_b", "design_b")
+def _rank_of(design: str) -> str:
+    """Samples, columns and rank: elimination on the cross products, whose diagonal entries are the pivots."""
+    return f"""WITH RECURSIVE x AS (FROM (UNPIVOT {design} ON COLUMNS(* EXCLUDE (sample_id)) INTO NAME c VALUE v)),
+ g AS (SELECT list(cells ORDER BY a) AS m FROM (SELECT a, list(s ORDER BY b) AS cells FROM (
+  SELECT p.c AS a, q.c AS b, CAST(SUM(p.v * q.v) AS DOUBLE) AS s FROM x p JOIN x q ON p.sample_id = q.sample_id GROUP BY 1, 2) GROUP BY 1)),
+ e(k, m, rank) AS (SELECT 1, m, 0 FROM g UNION ALL SELECT k + 1, CASE WHEN m[k][k] > 1e-9 THEN list_transform(range(1, len(m) + 1),
+  lambda i: list_transform(range(1, len(m) + 1), lambda j: m[i][j] - m[i][k] * m[k][j] / m[k][k])) ELSE m END,
+  rank + CASE WHEN m[k][k] > 1e-9 THEN 1 ELSE 0 END FROM e WHERE k <= len(m))
+ SELECT (SELECT COUNT(DISTINCT sample_id) FROM x) AS n_samples, CAST(len(m) AS INTEGER) AS n_columns, rank,
+  rank = len(m) AND (SELECT COUNT(DISTINCT sample_id) FROM x) > len(m) AS valid FROM e WHERE k = len(m) + 1"""
+
+
+cte("rank_b", _rank_of("design_b"), "design_b")
+cte("design_c", "SELECT *, 1 - condition_tumor AS condition_normal FROM design_b", "design_b")
+cte("rank_c", _rank_of("design_c"), "design_c")
+
+
+@query("m2_check_design", "SELECT * FROM rank_b", "rank_b")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return M.check_design(design_b(spark, sf), "sample_id")
 
 
+@query("m2b_dependent_design", "SELECT * FROM rank_c", "rank_c")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """A column for each condition beside the intercept: one column too many."""
+    return M.check_design(design_b(spark, sf).withColumn("condition_normal", 1 - F.col("condition_tumor")), "sample_id")
+
+
 cte("nonzero", """SELECT * FROM genes WHERE gene_id IN (SELECT gene_id FROM genes GROUP BY 1 HAVING SUM("count") > 0)""", "genes")
 
 
@@ -56,11 +79,42 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(M.size_factors(Q.densify(B.genes_raw(spark, sf), B.SAMPLES)))
 
 
-cte("nf_len", """SELECT gene_id, sample_id, "count", length, exp(ln(length) - avg(ln(length)) OVER (PARTITION BY gene_id)) AS nl FROM genes""", "genes")
-cte("nf_geo", """SELECT gene_id, exp(avg(ln(NULLIF("count" / nl, 0)))) AS g FROM nf_len GROUP BY 1 HAVING MIN("count") > 0""", "nf_len")
-cte("nf_size", """SELECT sample_id, exp(median(ln("count" / nl) - ln(g))) AS s FROM nf_len l JOIN nf_geo g ON l.gene_id = g.gene_id GROUP BY 1""", "nf_len", "nf_geo")
-cte("factors", """SELECT gene_id, sample_id, "count", length, exp(ln(nl * s) - avg(ln(nl * s)) OVER (PARTITION BY gene_id)) AS nf FROM (
- SELECT l.*, s FROM nf_len l JOIN nf_size z ON l.sample_id = z.sample_id)""", "nf_len", "nf_size")
+def _factor_ctes(source: str, name: str, prefix: str) -> None:
+    """The statements behind normalisation factors of the genes x samples of ``source``."""
+    size, length, geo = f"{prefix}_size", f"{prefix}_len", f"{prefix}_geo"
+    cte(length, f"""SELECT gene_id, sample_id, "count", length, exp(ln(length) - avg(ln(length)) OVER (PARTITION BY gene_id)) AS nl FROM {source}""", source)
+    cte(geo, f"""SELECT gene_id, exp(avg(ln(NULLIF("count" / nl, 0)))) AS g FROM {length} GROUP BY 1 HAVING MIN("count") > 0""", length)
+    cte(size, f"""SELECT sample_id, exp(median(ln("count" / nl) - ln(g))) AS s FROM {length} l JOIN {geo} g ON l.gene_id = g.gene_id GROUP BY 1""", length, geo)
+    cte(name, f"""SELECT gene_id, sample_id, "count", length, exp(ln(nl * s) - avg(ln(nl * s)) OVER (PARTITION BY gene_id)) AS nf FROM (
+ SELECT l.*, s FROM {length} l JOIN {size} z ON l.sample_id = z.sample_id)""", length, size)
+
+
+_factor_ctes("genes", "factors", "nf")
+
+#: Patients of the paired track, each with both conditions.
+PAIRED = 9
+
+
+def paired_cohort(spark: SparkSession, sf: str) -> DataFrame:
+    return B.cohort(spark, sf).where(F.col("sample_no") < 2 * PAIRED)
+
+
+def paired_factors(spark: SparkSession, sf: str, scale: float = 1.0) -> DataFrame:
+    """Factors of the paired track: its samples alone, before rounding, zero filter and normalisation."""
+    return M.track_factors(B.genes(spark, sf).withColumn("count", F.col("count") * scale), paired_cohort(spark, sf), "sample_id")
+
+
+cte("paired_raw", f"""SELECT gene_id, sample_id, round_even("count" * 0.005, 0) AS "count", length FROM genes
+ WHERE sample_id IN (SELECT sample_id FROM cohort WHERE sample_no < {2 * PAIRED})""", "genes", "cohort")
+cte("paired_genes", """SELECT * FROM paired_raw WHERE gene_id IN (SELECT gene_id FROM paired_raw GROUP BY 1 HAVING SUM("count") > 0)""", "paired_raw")
+_factor_ctes("paired_genes", "paired_factors", "pf")
+
+
+@query("m4c_paired_factors", 'SELECT gene_id, sample_id, CAST("count" AS BIGINT) AS "count", ROUND(nf, 6) AS nf FROM paired_factors', "paired_factors")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantities scaled down, so that halves are rounded and some genes are left without a read."""
+    found = rounded(paired_factors(spark, sf, 0.005), 6, "nf")
+    return found.select("gene_id", "sample_id", F.col("count").cast("long").alias("count"), "nf")
 
 
 def factors(spark: SparkSession, sf: str) -> DataFrame:
@@ -144,18 +198,19 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(M.dispersion_map(genes, design, trend, prior))
 
 
-def contrast_b(spark: SparkSession, sf: str, cells: DataFrame | None = None) -> M.Contrast:
-    design = M.local_design(design_b(spark, sf), "sample_id")
-    return M.differential(factors(spark, sf) if cells is None else cells, design, "condition_tumor")
+def contrast_b(spark: SparkSession, sf: str) -> M.Contrast:
+    """The paired track: its own samples, patients and factors."""
+    levels = {"patient": FACTORS["patient"][:PAIRED], "condition": FACTORS["condition"]}
+    design = M.local_design(M.design_matrix(paired_cohort(spark, sf), "sample_id", levels), "sample_id")
+    return M.differential(paired_factors(spark, sf), design, "condition_tumor")
 
 
 @query("m9_nb_wald_test")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    """Both designs of the study in one table."""
+    """Both tracks of the study in one table, each normalised on its own samples."""
     design = M.local_design(design_a(spark, sf), "sample_id")
-    cells = materialise(factors(spark, sf))
-    a = M.differential(cells, design, "grp_tumor").result.withColumn("track", F.lit("A"))
-    b = contrast_b(spark, sf, cells).result.withColumn("track", F.lit("B"))
+    a = M.differential(factors(spark, sf), design, "grp_tumor").result.withColumn("track", F.lit("A"))
+    b = contrast_b(spark, sf).result.withColumn("track", F.lit("B"))
     keep = ["track", "gene_id", "base_mean", "lfc", "lfc_se", "stat", "pvalue", "padj", "tested", "significant"]
     return rounded(a.unionByName(b).select(*keep))
 

@@ -62,4 +62,4 @@ def rounded(df: DataFrame, digits: int = 6, *columns: str) -> DataFrame:
 def text_id(prefix: str, number: Column, width: int) -> Column:
     """Prefix and number, padded to ``width`` digits; a longer number keeps all its digits."""
     digits = number.cast("string")
-    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
+    return F.concat(F.lit(prefix), F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0")))

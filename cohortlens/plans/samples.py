@@ -10,7 +10,9 @@ from cohortlens.operators import sampleqc as S
 from cohortlens.plans import bindings as B
 from cohortlens.plans.models import vst_values
 from cohortlens.plans.registry import cte, query, rounded
+from cohortlens.plans.scans import STATUS_MODULES, report_archives
 from cohortlens.session import materialise
+from cohortlens.sources import reports as R
 
 
 @query("j16_pairwise_samples", """SELECT a.sample_id AS s1, b.sample_id AS s2, COUNT(*) AS n_shared FROM quant_raw a JOIN quant_raw b
@@ -104,6 +106,31 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(joined, 6, "pct_mapped").select("sample_id", "patient", "pct_mapped", F.col("sum_counts").cast("long").alias("sum_counts"))
 
 
+@query("j4c_sample_qc_table", """SELECT doc_id AS run, lang AS grp, n_chars AS spots, CASE WHEN doc_id % 10 = 3 THEN NULL ELSE n_chars END AS reads,
+ CASE WHEN doc_id % 10 = 3 THEN NULL ELSE source END AS read_length_range,
+ CASE WHEN doc_id % 10 = 3 THEN NULL ELSE CAST(n_chars % 100 AS DOUBLE) + 0.5 END AS deduplicated_pct,
+ CASE WHEN doc_id % 10 = 3 THEN 'unknown' WHEN n_chars < 1000 THEN 'FAIL' WHEN n_chars < 2500 THEN 'WARN' ELSE 'PASS' END AS per_base_sequence_quality,
+ CASE WHEN doc_id % 10 = 3 THEN 'unknown' WHEN lang <> 'en' THEN 'PASS' ELSE 'unknown' END AS adapter_content,
+ CASE WHEN doc_id % 10 = 3 THEN 'unknown' WHEN lang = 'de' THEN 'FAIL' ELSE 'PASS' END AS sequence_duplication_levels,
+ ROUND(100.0 * (n_chars * 7 // 10) / (n_chars + CASE WHEN lang = 'fr' THEN 1 ELSE 0 END), 6) AS pct_mapped,
+ ROUND(100.0 * (n_chars % 50) / (n_chars + CASE WHEN lang = 'fr' THEN 1 ELSE 0 END), 6) AS pct_decoy,
+ n_chars * 7 // 10 AS num_mapped, doc_id % 10 <> 3 AND lang <> 'fr' AS counts_agree FROM documents""")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as samples: every tenth without a report, French ones with another number in the run metadata."""
+    d = B.table(spark, sf, "documents")
+    manifest = d.select(F.col("doc_id").alias("run"), F.col("lang").alias("grp"), F.col("n_chars").alias("spots"))
+    archives = report_archives(spark, sf).where(F.col("path").cast("long") % 10 != 3)
+    of_run = lambda df: df.select(F.col("path").cast("long").alias("run"), *[c for c in df.columns if c != "path"])
+    values = R.report_values(R.sectioned_report(R.archive_lines(archives), "data.txt"), "Basic Statistics", "Sequence Duplication Levels",
+                             "Total Deduplicated Percentage")
+    status = R.report_status(R.archive_lines(archives).where(F.col("member").endswith("summary.txt")), ["path"], STATUS_MODULES)
+    processed = F.col("n_chars") + (F.col("lang") == "fr").cast("long")
+    meta = d.select(F.col("doc_id").alias("run"), processed.alias("num_processed"), F.expr("n_chars * 7 div 10").alias("num_mapped"),
+                    (F.col("n_chars") % 50).alias("num_decoy_fragments"))
+    table = S.sample_qc_table(manifest, of_run(values), of_run(status), Q.mapping_rates(meta))
+    return rounded(table, 6)
+
+
 @query("j4b_unjoined_samples", """SELECT vec_id AS run FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM labels)""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     vectors = B.table(spark, sf, "embeddings").withColumnRenamed("vec_id", "run")

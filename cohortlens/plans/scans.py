@@ -244,7 +244,10 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     blank = B.table(spark, sf, "region").select(
         F.col("r_name").alias("gene_name"), F.lit("").alias("ensemble_id"), F.lit(1.0).alias("logFC"),
         F.lit(0.1).alias("PValue"), F.lit(0.1).alias("FDR"), F.lit("x").alias("type"))
-    B.published_raw(spark, sf).unionByName(blank).write.option("header", True).csv(path)
+    # Two kinds of files: as expected, and with the columns turned round and one more.
+    B.published_raw(spark, sf).where("logFC > 0").unionByName(blank).write.option("header", True).csv(path)
+    others = B.published_raw(spark, sf).where("not coalesce(logFC > 0, false)")
+    others.select(*reversed(others.columns), F.lit("n").alias("note")).write.mode("append").option("header", True).csv(path)
     return rounded(tables.read_published(spark, path))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -120,8 +121,23 @@ def published_rows(raw: DataFrame) -> DataFrame:
 
 
 def read_published(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Comparator table from CSV, its header prefix asserted."""
-    header = spark.read.option("header", True).option("sep", sep).csv(path).columns
-    check_header(header)
-    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    return published_rows(spark.read.schema(text).option("header", True).option("sep", sep).csv(path))
+    """Comparator table from CSV files, each read by its own header.
+
+    Columns may stand in any order and more of them may follow.  Files are grouped by
+    header, so there is one read for each kind of file.  A file without the expected
+    names, or a row with another number of cells than its header, raises.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.split("value", re.escape(sep)).alias("cells"))
+    names = F.array(*[F.lit(c) for c in PUBLISHED_HEADER])
+    headed = F.size(F.array_except(names, "cells")) == 0
+    files = lines.groupBy("file").agg(F.max(F.when(headed, F.col("cells"))).alias("header"))
+    groups = files.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
+    if not groups or any(g["header"] is None for g in groups):
+        raise ValueError(f"Unexpected header in {[f for g in groups for f in g['files'] if g['header'] is None]}")
+    found = None
+    for g in groups:
+        text = T.StructType([T.StructField(c, T.StringType()) for c in g["header"]])
+        # Without column pruning the reader counts the cells of every row.
+        rows = spark.read.schema(text).options(header=True, sep=sep, mode="FAILFAST", columnPruning=False).csv(g["files"]).select(*PUBLISHED_HEADER)
+        found = rows if found is None else found.unionByName(rows)
+    return published_rows(found)

@@ -44,7 +44,8 @@ def closing_row(changes: DataFrame, run: str, ts: str, timeout_seconds: int, wat
 def stall_sessions(changes: DataFrame, run: str, ts: str, timeout_seconds: int, watermark: str = WATERMARK) -> DataFrame:
     """Periods of activity per run: ``(run, first_change, last_change, n_changes)``.
 
-    A stream uses ``session_window``.  Static input is first cut to one row per
+    A stream uses ``session_window``: a stall of a feed that goes on shows when the
+    watermark passes its end, so later rows are needed for it.  Static input is first cut to one row per
     run and timeout-long slot (changes in one slot always belong together), and
     slots are then chained chunk by chunk, so a run with very many changes never
     meets in one task.

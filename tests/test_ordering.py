@@ -144,3 +144,14 @@ def test_extreme_values_keep_their_order(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, x double")
     got = [(r["id"], r["low"]) for r in O.with_ranks(df, "x", low="low").orderBy("id").collect()]
     assert got == [(i, min(i, 10) + 1) for i in range(12)]
+
+
+def test_quantile_chunks_follow_the_rows(spark):
+    x = np.concatenate([RNG.normal(size=2000), np.full(300, 0.25)])
+    df = spark.createDataFrame(pd.DataFrame({"id": range(len(x)), "x": x}))
+    chunks = O.quantile_chunks(df, "x", 50)
+    got = O.ordinal_rank(chunks, [], "chunk", ["x", "id"], "rn").toPandas().sort_values("id")
+    np.testing.assert_array_equal(got["rn"], pd.Series(x).rank(method="first"))
+    sizes = got.groupby("chunk").size()
+    assert len(sizes) > 30 and sizes.drop(got.loc[got["x"] == 0.25, "chunk"].unique()).max() < 150
+    assert O.quantile_chunks(df, "x").select("chunk").distinct().count() == 1

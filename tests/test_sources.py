@@ -151,3 +151,18 @@ def test_sinks_refuse_and_reuse(spark, tmp_path):
         sinks.write_table(df, path)
     # A null and an empty text are different content.
     assert not sinks.same_content(df, df.fillna("", ["v"]))
+
+
+def test_published_files_by_their_own_headers(spark, tmp_path):
+    from cohortlens.sources import tables
+
+    (tmp_path / "a.csv").write_text("gene_name,ensemble_id,logFC,PValue,FDR,type\nA,E1.2,1.5,0.1,0.2,x\n,,,,,\n")
+    (tmp_path / "b.csv").write_text("note,type,FDR,PValue,logFC,ensemble_id,gene_name\nn,y,0.4,0.3,-2,E2.1,B\n")
+    got = sorted(map(tuple, tables.read_published(spark, str(tmp_path)).collect()))
+    assert got == [("E1", "A", 1.5, 0.1, 0.2, "x"), ("E2", "B", -2.0, 0.3, 0.4, "y")]
+    (tmp_path / "c.csv").write_text("gene_name,ensemble_id,logFC,PValue,FDR,type\nC,E3,1,0.1\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        tables.read_published(spark, str(tmp_path)).collect()
+    (tmp_path / "c.csv").write_text("gene,id\nC,E3\n")
+    with pytest.raises(ValueError, match="c.csv"):
+        tables.read_published(spark, str(tmp_path))
