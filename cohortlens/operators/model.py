@@ -242,13 +242,18 @@ def _gamma_sums(good: DataFrame, points: Sequence[tuple[float, float]]) -> list[
 
 
 def _newton_step(s: dict[str, float], a0: float, a1: float) -> tuple[float, float]:
-    """Newton direction, or the scoring direction where the likelihood is not convex; one-dimensional where a1 stays 0."""
+    """Newton direction, or the scoring direction where the likelihood is not convex; along a bound it would leave, one-dimensional."""
+    only0 = -s["g0"] / (s["h00"] if s["h00"] > 0 else s["w"]), 0.0
+    only1 = 0.0, -s["g1"] / (s["h11"] if s["h11"] > 0 else s["wxx"])
     if a1 <= 0 and s["g1"] >= 0:
-        return -s["g0"] / (s["h00"] if s["h00"] > 0 else s["w"]), 0.0
+        return only0
+    if a0 <= LOWEST_TREND and s["g0"] >= 0:
+        return only1
     for h00, h01, h11 in ((s["h00"], s["h01"], s["h11"]), (s["w"], s["wx"], s["wxx"])):
         det = h00 * h11 - h01 * h01
         if h00 > 0 and det > 1e-14 * h00 * h11:
-            return (h01 * s["g1"] - h11 * s["g0"]) / det, (h01 * s["g0"] - h00 * s["g1"]) / det
+            d0, d1 = (h01 * s["g1"] - h11 * s["g0"]) / det, (h01 * s["g0"] - h00 * s["g1"]) / det
+            return only1 if a0 <= LOWEST_TREND and d0 < 0 else only0 if a1 <= 0 and d1 < 0 else (d0, d1)
     return -s["g0"] / s["w"], 0.0
 
 
@@ -256,27 +261,28 @@ def gamma_fit(good: DataFrame, start: tuple[float, float], steps: int = 40, tol:
     """Coefficients of ``y ~ a0 + a1 x`` with gamma errors (both kept from falling below their bounds).
 
     A safeguarded Newton iteration: each pass over the rows returns the likelihood and
-    its derivatives after a step, and a step that does not lower the loss is shortened.
+    its derivatives after a step, and a step that does not lower the loss is shortened, in the next pass again.
     Convergence is quadratic, so a step below ``tol`` leaves an error near its square.
     Raises :class:`NotConverged` when no step is small enough after ``steps`` passes.
     """
-    at, sums = start, None
+    at, sums, reach = start, None, 1.0
     for _ in range(steps):
         if sums is None:
             sums = _gamma_sums(good, [at])[0]
             if sums["w"] is None:
                 raise ValueError("No genes left for the dispersion trend")
         d0, d1 = _newton_step(sums, *at)
-        tried = [(max(at[0] + t * d0, LOWEST_TREND), max(at[1] + t * d1, 0.0)) for t in STEP_LENGTHS]
+        tried = [(max(at[0] + reach * t * d0, LOWEST_TREND), max(at[1] + reach * t * d1, 0.0)) for t in STEP_LENGTHS]
         found = _gamma_sums(good, tried[:1])
         if found[0]["loss"] > sums["loss"]:
             found += _gamma_sums(good, tried[1:])
         best = min(range(len(found)), key=lambda i: found[i]["loss"])
-        moved = sum(abs(b - a) / (abs(a) + 1e-8) for a, b in zip(at, tried[best], strict=True))
+        moved = sum(abs(b - a) / (abs(a) + 1e-8) for a, b in zip(at, tried[best], strict=True)) / reach
         # No length lowers the loss any more: rounding is all that is left.
         stuck = found[best]["loss"] > sums["loss"]
         if not stuck:
             at, sums = tried[best], found[best]
+        reach = reach * STEP_LENGTHS[-1] if stuck else 1.0
         if moved < tol or (stuck and moved < 1e-5):
             return at
     raise NotConverged(f"Gamma fit did not converge in {steps} passes")

@@ -223,3 +223,19 @@ def test_trend_at_its_bounds_and_without_convergence(spark):
     y = noisy.select(F.col("disp_gene").alias("y"), (1 / F.col("base_mean")).alias("x"))
     with pytest.raises(M.NotConverged):
         M.gamma_fit(y, (0.1, 1.0), steps=1)
+
+
+def test_trend_without_a_constant_part(spark):
+    """The best line through these has a negative constant: the fit stays at the bound and settles along it."""
+    rng = np.random.default_rng(4)
+    mean = rng.normal(160, 18, 400)
+    y = (70 / mean - 0.13) * rng.gamma(3, 1 / 3, 400)
+    trend = M.dispersion_trend(spark.createDataFrame(pd.DataFrame({"base_mean": mean, "disp_gene": y})))
+    assert trend.a0 == M.LOWEST_TREND and trend.a1 == pytest.approx((y * mean).mean(), rel=1e-5)
+    # Rising with 1 / mean over six decades, no constant: far from the start, and near the bound from the inside.
+    mean = np.exp(rng.normal(5, 2, 400))
+    y = 3 / mean * rng.gamma(1, 1, 400)
+    keep = y >= 1e-6
+    good = spark.createDataFrame(pd.DataFrame({"y": y[keep], "x": 1 / mean[keep]}))
+    a0, a1 = M.gamma_fit(good, (0.1, 1.0))
+    assert a0 < 1e-3 and a1 == pytest.approx(3, rel=0.2)
