@@ -251,13 +251,23 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(tables.read_published(spark, path))
 
 
+#: Least number of folders: Spark lists 32 and fewer on the driver, one after the other.
+INVENTORY_SLICES = 64
+
+
 @query("s12_file_inventory", """SELECT 's_suppkey=' || CAST(s_suppkey AS VARCHAR) AS dir, CAST(strlen(s_name) + 1 AS BIGINT) AS bytes,
  sha256(s_name || chr(10)) AS sha256 FROM supplier""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    """One text file for every supplier, with known bytes."""
+    """One text file for every supplier, with known bytes.
+
+    Each task writes one folder with the suppliers of its slice, which is renamed as a whole when the job commits and
+    listed by one task; Spark gives a task 32 small files at most, so the read is drawn together to as many tasks.
+    """
     path = scratch_path(spark, "inventory")
-    B.table(spark, sf, "supplier").select("s_suppkey", F.col("s_name").alias("value")).write.partitionBy("s_suppkey").text(path)
-    files = sinks.file_inventory(R.read_binary(spark, f"{path}/*", "*.txt"))
+    slices = max(INVENTORY_SLICES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    named = B.table(spark, sf, "supplier").select("s_suppkey", F.col("s_name").alias("value")).repartition(slices, "s_suppkey")
+    named.withColumn("slice", F.pmod(F.hash("s_suppkey"), F.lit(slices))).write.partitionBy("slice", "s_suppkey").text(path)
+    files = sinks.file_inventory(R.read_binary(spark, path, "*.txt", recursive=True)).coalesce(slices)
     return files.select(F.regexp_extract("path", r"(s_suppkey=[^/]+)/", 1).alias("dir"), F.col("bytes").cast("long").alias("bytes"), "sha256")
 
 

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from cohortlens.sources.text import section_fill
 
 
-def read_binary(spark: SparkSession, paths: str | Sequence[str], glob: str = "*") -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths)
+def read_binary(spark: SparkSession, paths: str | Sequence[str], glob: str = "*", recursive: bool = False) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).load(paths)
 
 
 LINES_PER_FRAME = 20_000

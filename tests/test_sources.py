@@ -166,3 +166,17 @@ def test_published_files_by_their_own_headers(spark, tmp_path):
     (tmp_path / "c.csv").write_text("gene,id\nC,E3\n")
     with pytest.raises(ValueError, match="c.csv"):
         tables.read_published(spark, str(tmp_path))
+
+
+def test_inventory_of_many_files_takes_few_tasks(spark, tmp_path):
+    from hashlib import sha256
+
+    from cohortlens.plans import catalog, scans
+
+    keys = 2500
+    spark.range(keys).selectExpr("id AS s_suppkey", "'Supplier ' || id AS s_name").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    found = catalog.load()[0]["s12_file_inventory"](spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() <= scans.INVENTORY_SLICES
+    expected = {f"s_suppkey={i}": (len(f"Supplier {i}\n"), sha256(f"Supplier {i}\n".encode()).hexdigest()) for i in range(keys)}
+    rows = found.collect()
+    assert len(rows) == keys and {r["dir"]: (r["bytes"], r["sha256"]) for r in rows} == expected
