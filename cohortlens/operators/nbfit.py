@@ -90,25 +90,48 @@ def f_quantile(prob: float, d1: float, d2: float) -> float:
 
 def information(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     """X'WX per gene."""
-    return np.einsum("ni,gn,nj->gij", x, w, x, optimize=True)
+    n, p = x.shape
+    return (w @ (x[:, :, None] * x[:, None, :]).reshape(n, p * p)).reshape(-1, p, p)
+
+
+def _log_det(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Logarithm of the determinant of X'WX per gene by elimination over all genes at once, 0 where it is not positive."""
+    n, p = x.shape
+    m = ((x[:, :, None] * x[:, None, :]).reshape(n, p * p).T @ w.T).reshape(p, p, -1)
+    total, valid = np.zeros(len(w)), np.ones(len(w), dtype=bool)
+    for i in range(p):
+        valid &= m[i, i] > 0
+        pivot = np.where(valid, m[i, i], 1.0)
+        total += np.log(pivot)
+        m[i + 1:, i + 1:] -= m[i + 1:, i, None] * (m[i, i + 1:] / pivot)[None]
+    return np.where(valid, total, 0.0)
 
 
 def profile(log_alpha: np.ndarray, k: np.ndarray, mu: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Cox-Reid adjusted profile log-likelihood, constants dropped."""
     a = np.exp(log_alpha)[:, None]
     r = 1.0 / a
-    ll = log_gamma(k + r) - log_gamma(np.broadcast_to(r, k.shape).copy()) - k * np.log(mu + r) - r * np.log1p(mu * a)
-    sign, logdet = np.linalg.slogdet(information(x, 1.0 / (1.0 / mu + a)))
-    return ll.sum(axis=1) - 0.5 * np.where(sign > 0, logdet, 0.0)
+    # ln(mu + 1/a) is ln(1 + a mu) - ln a: one logarithm a cell beside ln gamma, whose second term is the same in all cells of a gene.
+    growth = np.log1p(mu * a)
+    ll = log_gamma(k + r) - log_gamma(r) - k * (growth - log_alpha[:, None]) - r * growth
+    return ll.sum(axis=1) - 0.5 * _log_det(x, mu / (1.0 + mu * a))
+
+
+#: Genes that are maximised together, so that their arrays stay in the processor's cache.
+GENES_AT_ONCE = 1024
 
 
 def maximise_dispersion(k: np.ndarray, mu: np.ndarray, x: np.ndarray, prior_mean: np.ndarray | None = None,
                         prior_var: float | None = None) -> np.ndarray:
-    """Dispersion at the maximum of the (optionally penalised) profile likelihood.
+    """Dispersion at the maximum of the (optionally penalised) profile likelihood, in blocks of genes."""
+    parts = [slice(i, i + GENES_AT_ONCE) for i in range(0, len(k), GENES_AT_ONCE)]
+    return np.concatenate([np.zeros(0)] + [
+        _maximise_block(k[at], mu[at], x, None if prior_mean is None else prior_mean[at], prior_var) for at in parts])
 
-    A coarse grid brackets the maximum of each gene, golden-section steps close
-    in on all genes at once.
-    """
+
+def _maximise_block(k: np.ndarray, mu: np.ndarray, x: np.ndarray, prior_mean: np.ndarray | None,
+                    prior_var: float | None) -> np.ndarray:
+    """A coarse grid brackets the maximum of each gene, golden-section steps close in on all genes at once."""
     genes = k.shape[0]
     lo, hi = math.log(MIN_DISP / 10), math.log(max(10.0, k.shape[1]))
 

@@ -239,3 +239,16 @@ def test_trend_without_a_constant_part(spark):
     good = spark.createDataFrame(pd.DataFrame({"y": y[keep], "x": 1 / mean[keep]}))
     a0, a1 = M.gamma_fit(good, (0.1, 1.0))
     assert a0 < 1e-3 and a1 == pytest.approx(3, rel=0.2)
+
+
+def test_fit_blocks_and_determinants(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = np.c_[np.ones(18), np.arange(18) % 2 == 0, rng.integers(0, 2, (18, 4))].astype(float)
+    w = rng.uniform(0.01, 9, (50, 18))
+    np.testing.assert_allclose(nbfit._log_det(x, w), np.linalg.slogdet(nbfit.information(x, w))[1], rtol=1e-9)
+    assert (nbfit._log_det(np.c_[x, x[:, 1] * 0], w) == 0).all()
+    k, mu = rng.negative_binomial(3, 0.02, (50, 18)).astype(float), np.full((50, 18), 147.0)
+    whole = nbfit.maximise_dispersion(k, mu, x)
+    monkeypatch.setattr(nbfit, "GENES_AT_ONCE", 7)
+    np.testing.assert_allclose(nbfit.maximise_dispersion(k, mu, x), whole, rtol=1e-5)
+    assert len(nbfit.maximise_dispersion(k[:0], mu[:0], x)) == 0
