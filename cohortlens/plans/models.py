@@ -99,9 +99,10 @@ def paired_cohort(spark: SparkSession, sf: str) -> DataFrame:
     return B.cohort(spark, sf).where(F.col("sample_no") < 2 * PAIRED)
 
 
-def paired_factors(spark: SparkSession, sf: str, scale: float = 1.0) -> DataFrame:
+def paired_factors(spark: SparkSession, sf: str, scale: float = 1.0, genes: DataFrame | None = None) -> DataFrame:
     """Factors of the paired track: its samples alone, before rounding, zero filter and normalisation."""
-    return M.track_factors(B.genes(spark, sf).withColumn("count", F.col("count") * scale), paired_cohort(spark, sf), "sample_id")
+    genes = B.genes(spark, sf) if genes is None else genes
+    return M.track_factors(genes.withColumn("count", F.col("count") * scale), paired_cohort(spark, sf), "sample_id")
 
 
 cte("paired_raw", f"""SELECT gene_id, sample_id, round_even("count" * 0.005, 0) AS "count", length FROM genes
@@ -117,8 +118,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("gene_id", "sample_id", F.col("count").cast("long").alias("count"), "nf")
 
 
-def factors(spark: SparkSession, sf: str) -> DataFrame:
-    return M.norm_factors(M.drop_all_zero(M.whole_counts(B.genes(spark, sf))))
+def factors(spark: SparkSession, sf: str, genes: DataFrame | None = None) -> DataFrame:
+    return M.norm_factors(M.drop_all_zero(M.whole_counts(B.genes(spark, sf) if genes is None else genes)))
 
 
 @query("m4_norm_factors", 'SELECT gene_id, sample_id, CAST("count" AS BIGINT) AS "count", ROUND(nf, 6) AS nf FROM factors', "factors")
@@ -198,19 +199,20 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(M.dispersion_map(genes, design, trend, prior))
 
 
-def contrast_b(spark: SparkSession, sf: str) -> M.Contrast:
+def contrast_b(spark: SparkSession, sf: str, genes: DataFrame | None = None) -> M.Contrast:
     """The paired track: its own samples, patients and factors."""
     levels = {"patient": FACTORS["patient"][:PAIRED], "condition": FACTORS["condition"]}
     design = M.local_design(M.design_matrix(paired_cohort(spark, sf), "sample_id", levels), "sample_id")
-    return M.differential(paired_factors(spark, sf), design, "condition_tumor")
+    return M.differential(paired_factors(spark, sf, genes=genes), design, "condition_tumor")
 
 
 @query("m9_nb_wald_test")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    """Both tracks of the study in one table, each normalised on its own samples."""
+    """Both tracks of the study in one table, each normalised on its own samples; the gene table is stored for both."""
     design = M.local_design(design_a(spark, sf), "sample_id")
-    a = M.differential(factors(spark, sf), design, "grp_tumor").result.withColumn("track", F.lit("A"))
-    b = contrast_b(spark, sf).result.withColumn("track", F.lit("B"))
+    genes = materialise(B.genes(spark, sf))
+    a = M.differential(factors(spark, sf, genes), design, "grp_tumor").result.withColumn("track", F.lit("A"))
+    b = contrast_b(spark, sf, genes).result.withColumn("track", F.lit("B"))
     keep = ["track", "gene_id", "base_mean", "lfc", "lfc_se", "stat", "pvalue", "padj", "tested", "significant"]
     return rounded(a.unionByName(b).select(*keep))
 

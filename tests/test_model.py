@@ -252,3 +252,22 @@ def test_fit_blocks_and_determinants(spark, monkeypatch):
     monkeypatch.setattr(nbfit, "GENES_AT_ONCE", 7)
     np.testing.assert_allclose(nbfit.maximise_dispersion(k, mu, x), whole, rtol=1e-5)
     assert len(nbfit.maximise_dispersion(k[:0], mu[:0], x)) == 0
+
+
+def test_both_tracks_read_one_gene_table(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from cohortlens.plans import bindings, catalog
+
+    made, tracks = [], []
+    genes = bindings.genes
+    monkeypatch.setattr(bindings, "genes", lambda *a: made.append(a) or genes(*a))
+    blank = "gene_id string, base_mean double, lfc double, lfc_se double, stat double, pvalue double, padj double, tested boolean, significant boolean"
+
+    def differential(factors, design, coefficient):
+        tracks.append(factors.select("sample_id").distinct().count())
+        return SimpleNamespace(result=spark.createDataFrame([], blank))
+
+    monkeypatch.setattr(M, "differential", differential)
+    assert catalog.load()[0]["m9_nb_wald_test"](spark, "/root/testdata/sf0.01").count() == 0
+    assert len(made) == 1 and tracks == [24, 18]
