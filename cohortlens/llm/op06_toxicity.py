@@ -22,6 +22,7 @@ missing; without both classes every score is 0.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -278,18 +279,37 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[list[str], np.ndarray]:
-    """Texts and labels to learn from: at most ``per_class`` rows of each class."""
+def labelled(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
+    """Rows to learn from, ``doc_id, text, toxic``: at most ``per_class`` of each class."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id")))
     short = docs.where(F.length("text") <= TRAIN_CHARS).select("doc_id").distinct()
     usable = known.join(short, "doc_id")
     parts = [usable.where(F.col("toxic") == t).orderBy(F.xxhash64(F.lit("toxicity"), "doc_id"), "doc_id").limit(per_class) for t in (0, 1)]
-    # At most 2 * per_class ids, so the side can be broadcast; the rows go to the driver.
+    # At most 2 * per_class ids, so the side can be broadcast.
     picked = docs.where(F.length("text") <= TRAIN_CHARS).join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id")
-    got = picked.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).orderBy("doc_id").collect()
+    return picked.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+
+
+def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[list[str], np.ndarray]:
+    """Texts and labels to learn from, on the driver."""
+    got = labelled(docs, labels, per_class).orderBy("doc_id").collect()
     return [r.text for r in got], np.array([r.toxic == 1 for r in got], bool)
 
 
+def learn(docs: DataFrame, labels: DataFrame) -> Model:
+    """The model fitted to the bounded sample in one task; only the model reaches the driver."""
+    def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = list(batches)
+        rows = pa.Table.from_batches(parts).sort_by("doc_id") if parts else None
+        texts = rows["text"].to_pylist() if rows else []
+        model = fit(texts, np.array([t == 1 for t in rows["toxic"].to_pylist()] if rows else [], bool))
+        yield pa.record_batch({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+    found = labelled(docs, labels).repartition(1).mapInArrow(job, "model binary").first()
+    # Spark runs no task over a sample that it knows to be empty.
+    return pickle.loads(found["model"]) if found else fit([], np.zeros(0, bool))
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, predicted for every row."""
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,4 +340,4 @@ def clean(docs: DataFrame, model: Model) -> DataFrame:
 @query("op6_toxicity")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return score(docs, fit(*sample(docs, table(spark, sf_dir, "labels"))))
+    return score(docs, learn(docs, table(spark, sf_dir, "labels")))

@@ -20,7 +20,7 @@ from cohortlens.llm.families import Rule
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below the threshold; the model is fitted on the labelled rows of ``docs``."""
-    return op06_toxicity.clean(docs, op06_toxicity.fit(*op06_toxicity.sample(docs, table(spark, sf_dir, "labels"))))
+    return op06_toxicity.clean(docs, op06_toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
 #: Near copies share 80 in 100 of their five-word shingles, so 51.2 +- 3.2 of 64 coordinates.
@@ -81,5 +81,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = scratch.store(stage(spark, docs, sf_dir))
+        scratch.free()
     scratch.drop()
     return docs

@@ -206,3 +206,18 @@ def test_op3_whole_paragraphs_with_words_put_in_and_left_out(spark):
     got = {r.doc_id: r.labels.split(",") for r in op03_license.scan(as_documents(spark, rows)).collect()}
     wrong = {i: (got[i], label) for i, label in want.items() if (label not in got[i] if label else got[i] != [""])}
     assert not wrong
+
+
+def test_op6_learns_in_a_task(spark, monkeypatch):
+    """The model of the driver's sample, without a text on the driver; no labels, no rejection."""
+    from cohortlens.llm import op06_toxicity as T
+
+    texts = [("you stupid idiot, shut up " if i % 3 == 0 else "a fine day at the lake ") + f"number {i}" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    here = T.fit(*T.sample(docs, labels))
+    monkeypatch.setattr(T, "sample", None)
+    there = T.learn(docs, labels)
+    assert here.size == there.size > 0 and (here.alpha == there.alpha).all() and (here.weights == there.weights).all()
+    assert (here.bias, here.slope, here.shift) == (there.bias, there.slope, there.shift)
+    assert T.clean(docs, T.learn(docs, labels.limit(0))).count() == 60
