@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -56,9 +57,14 @@ class Scratch:
             self.paths[at] = ""
 
     def free(self) -> None:
-        """Let Spark's cleaner remove shuffle files of finished steps; it acts when the driver collects garbage."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        """Let Spark's cleaner remove shuffle files of finished steps; it acts when the driver collects garbage.
+
+        The first collection leaves those of the step that has just finished.
+        """
+        for wait in (0.2, 0):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(wait)
 
     def drop(self, keep: int = 1) -> None:
         """Delete all stored tables but the last ``keep``."""

@@ -13,7 +13,8 @@ have the same name.  The up to 13 windows in a row that owe their name to the sa
 words are a block, kept as its place, size and the hash of its words.  Where all blocks of a name are
 equal they are compared as they are (windows of a block differ, and stand at the same place in
 each copy); only where they differ, at the ends of a passage, are single windows compared by
-the hash of all their words.  The first place (document, then position) of each block or window is
+the hash of all their words.  Equal blocks have equal windows, so those of one are read for all.  The
+first place (document, then position) of each block or window is
 found, and it is removed where an earlier place holds it.  Only then are
 neighbours with one first holder and one decision merged, so spans of
 different holders can overlap; words under any removed span go.  Spans with a block or window
@@ -50,13 +51,17 @@ RULE = Rule(coordinates=ROWS * BANDS, min_matches=25, numerator=80)
 WINDOW = 25
 #: Two copies of a window have the same least hash of so many words in a row.
 ANCHOR = 13
+#: At most so many windows in a row owe their name to the same words.
+SPAN = WINDOW - ANCHOR + 1
 #: Cluster ids are the first member's document and position in one number.
 LINE_BITS = 24
+#: Signatures travel as so many longs of four coordinates each, which Spark can aggregate without sorting.
+PACKED = [f"s{i}" for i in range(ROWS * BANDS // 4)]
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, part, line, last, n_words, print, signature of lines and of blocks of lines (``last`` > ``line``)."""
+    """doc_id, part, line, last, n_words, print, packed signature of lines and of blocks of lines (``last`` > ``line``)."""
     for batch in batches:
         for first, end, data, bounds in chunks(batch.column("text")):
             breaks = np.flatnonzero(data == 10)
@@ -78,6 +83,7 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             signed = RULE.signatures(_grams(hashes, SHINGLE), begin[first_of], stop[first_of] - SHINGLE + 1)
             values = np.zeros((len(low), RULE.coordinates), np.uint16)
             values[first_of] = signed
+            packed = values.view(np.int64)
             absent = np.ones(len(low), bool)
             absent[first_of] = False
             at = pa.array(first + row[low], pa.int64())
@@ -85,7 +91,7 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "doc_id": batch.column("doc_id").take(at), "part": batch.column("part").take(at),
                 "line": pa.array(line[low], pa.int64()), "last": pa.array(line[high], pa.int64()),
                 "n_words": pa.array(stop - begin, pa.int64()), "print": _binary(prints),
-                "signature": _lists(values, absent)})
+                **{name: pa.array(packed[:, i], mask=absent) for i, name in enumerate(PACKED)}})
 
 
 def _prints(words: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -114,13 +120,6 @@ def _ranges(words: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarra
     return mix((sums[stop] - sums[begin]) * inverse[begin] + (stop - begin).astype(np.uint64))
 
 
-def _lists(values: np.ndarray, absent: np.ndarray) -> pa.Array:
-    """Rows of shorts, null where absent."""
-    sizes = np.where(absent, 0, values.shape[1])
-    offsets = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
-    return pa.ListArray.from_arrays(offsets, pa.array(values[~absent].view(np.int16).ravel()), mask=pa.array(absent))
-
-
 def _unit_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc, text of the units (doc, line, last) of each row's text."""
     for batch in batches:
@@ -172,12 +171,11 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, text = _windows_of(words, starts)
             if not len(at):
                 continue
-            span = WINDOW - ANCHOR + 1
             grams = _grams(words, ANCHOR)
-            low = _least(grams, span)[at]
+            low = _least(grams, SPAN)[at]
             # The leftmost place of the least hash; windows that share it are one block.
-            where = at + span - 1
-            for step in range(span - 2, -1, -1):
+            where = at + SPAN - 1
+            for step in range(SPAN - 2, -1, -1):
                 where = np.where(grams[at + step] == low, at + step, where)
             new = np.append(True, (np.diff(where) > 0) | (np.diff(text) > 0))
             begin = np.flatnonzero(new)
@@ -191,28 +189,49 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, part, start, count (1), key of the windows in the row's ``ranges``."""
+    """block, offset, key, first and last place of the windows of the blocks in the row's ``ranges``."""
     for batch in batches:
         for first, end, data, bounds in chunks(batch.column("text")):
             words, starts = word_hashes(data, bounds, NOT_SPACE)
             wanted = batch.column("ranges").slice(first, end - first)
             sizes = np.diff(wanted.offsets.to_numpy())
             flat = wanted.flatten()
-            start, count = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("start", "count"))
-            text = np.repeat(np.repeat(np.arange(end - first), sizes), count)
-            within = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
-            local = np.repeat(start, count) + within
-            at = starts[text] + local
+            of = {c: flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (
+                "block", "start", "count", "last_doc", "last_part", "last_start")}
+            count = of["count"]
+            each = np.repeat(np.arange(len(count)), count)
+            offset = np.arange(len(each)) - (np.cumsum(count) - count)[each]
+            text = np.repeat(np.arange(end - first), sizes)[each]
+            start = of["start"][each] + offset
+            at = starts[text] + start
             row = pa.array(first + text, pa.int64())
             yield pa.record_batch({
-                "doc_id": batch.column("doc_id").take(row), "part": batch.column("part").take(row),
-                "start": pa.array(local.astype(np.int32)), "count": pa.array(np.ones(len(at), np.int32)),
-                "key": pa.array(_ranges(words, at, at + WINDOW).view(np.int64))})
+                "block": pa.array(of["block"][each]), "offset": pa.array(offset.astype(np.int32)),
+                "key": pa.array(_ranges(words, at, at + WINDOW).view(np.int64)),
+                "doc_id": batch.column("doc_id").take(row), "part": batch.column("part").take(row), "start": pa.array(start.astype(np.int32)),
+                "last_doc": pa.array(of["last_doc"][each]), "last_part": pa.array(of["last_part"][each]),
+                "last_start": pa.array((of["last_start"][each] + offset).astype(np.int32))})
+
 
+def _band_keys() -> Column:
+    """The bits of each band's coordinates, and its number."""
+    def bits(b: int) -> Column:
+        low, shift = divmod(16 * ROWS * b, 64)
+        found = F.shiftrightunsigned(PACKED[low], shift)
+        if shift + 16 * ROWS > 64:
+            found = found.bitwiseOR(F.shiftleft(PACKED[low + 1], 64 - shift))
+        return F.shiftleft(found, 64 - 16 * ROWS).bitwiseOR(F.lit(b))
 
-def _band_keys(signature: str) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(
-        b, *[F.element_at(signature, b * ROWS + r + 1) for r in range(ROWS)]))
+    return F.array(*[bits(b) for b in range(BANDS)])
+
+
+def _signature() -> Column:
+    """The coordinates of a packed signature, as shorts."""
+    def coordinate(c: int) -> Column:
+        bits = F.shiftright(PACKED[c // 4], 16 * (c % 4)).bitwiseAND(F.lit(0xFFFF))
+        return (bits.bitwiseXOR(F.lit(0x8000)) - 0x8000).cast("short")
+
+    return F.array(*[coordinate(c) for c in range(ROWS * BANDS)])
 
 
 def _place_id(doc: str, position: str) -> Column:
@@ -225,39 +244,44 @@ def _place_id(doc: str, position: str) -> Column:
 
 def paragraph_clusters(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, unit, position (line), n_words, cluster_id, first_doc_id, removed of near-equal paragraphs and blocks."""
-    found = scratch.store(docs.mapInArrow(
-        _paragraphs, "doc_id long, part long, line long, last long, n_words long, print binary, signature array<short>"))
-    place = F.struct("doc_id", "part", "line", "last")
+    # Each row has a number of its own, fixed by storing it, whatever the ids are; a class goes by its least one.
+    longs = ", ".join(f"{c} long" for c in PACKED)
+    found = docs.mapInArrow(_paragraphs, f"doc_id long, part long, line long, last long, n_words long, print binary, {longs}")
+    found = scratch.store(found.withColumn("doc", F.monotonically_increasing_id()))
     # Any signature of a class will do: they are equal where present.
-    classes = found.groupBy("print").agg(F.min(place).alias("place"), F.first("signature", ignorenulls=True).alias("signature"))
-    # Each class has a number of its own, fixed by storing it, whatever the ids are.
-    classes = scratch.store(classes.select("print", "place.*", "signature", F.monotonically_increasing_id().alias("doc")))
+    classes = scratch.store(found.groupBy("print").agg(F.min("doc").alias("doc"), F.count("*").alias("places"), *[F.max(c).alias(c) for c in PACKED]))
     # Signatures are most of these tables; each is rewritten without them once they have been read.
-    members_of = scratch.store(found.drop("signature"))
+    members_of = scratch.store(found.drop(*PACKED))
     scratch.discard(found)
-    posted = classes.select("doc", F.explode(_band_keys("signature")).alias("key"))
+    scratch.free()
+    posted = classes.select("doc", F.explode(_band_keys()).alias("key"))
     shared = posted.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high")).where("n > 1")
     # Most lists have two members, which the counts already tell.
     shared = scratch.store(shared)
+    scratch.free()
     pairs = shared.where("n = 2").select(F.explode(F.array("low", "high")).alias("doc"), "key")
-    lists = scratch.store(pairs.unionByName(posted.join(shared.where("n > 2").select("key"), "key").select("doc", "key")))
+    longer = shared.where("n > 2").select("key").hint("shuffle_hash")
+    lists = scratch.store(pairs.unionByName(posted.join(longer, "key").select("doc", "key")))
     scratch.discard(shared)
-    representatives = classes.join(lists.select("doc").distinct(), "doc", "left_semi").select("doc", "signature")
+    scratch.free()
+    representatives = classes.join(lists.select("doc").distinct(), "doc", "left_semi").select("doc", _signature().alias("signature"))
     representatives = scratch.store(representatives)
-    places = scratch.store(classes.drop("signature"))
+    names = scratch.store(classes.select("print", "doc", "places"))
     scratch.discard(classes)
-    classes = places
+    classes = names
     scratch.free()
 
     def texts(wanted: DataFrame) -> DataFrame:
-        units = classes.join(wanted, "doc", "left_semi").groupBy("doc_id", "part").agg(F.collect_list(F.struct("doc", "line", "last")).alias("units"))
+        units = members_of.join(wanted, "doc", "left_semi").groupBy("doc_id", "part").agg(F.collect_list(F.struct("doc", "line", "last")).alias("units"))
         rows = docs.join(units, ["doc_id", "part"]).dropDuplicates(["doc_id", "part"]).select("text", "units")
         return rows.mapInArrow(_unit_texts, "doc long, text string")
 
     joined = components(scratch, links(RULE, scratch, lists, representatives, texts)).withColumnRenamed("node", "doc")
-    named = classes.select("print", "doc").join(joined, "doc", "left").select("print", F.coalesce("component", "doc").alias("component"))
+    # What stands in one place and is linked with nothing has no copy.
+    named = classes.join(joined, "doc", "left").where("places > 1 or component is not null").select("print", F.coalesce("component", "doc").alias("component"))
     scratch.free()
-    members = scratch.store(members_of.select("doc_id", "part", "line", "last", "n_words", "print").join(named, "print").drop("print").distinct())
+    members = members_of.select("doc_id", "part", "line", "last", "n_words", "print").join(named.hint("shuffle_hash"), "print").drop("print")
+    members = scratch.store(members.distinct())
     # A copy starts after the end of the first unit; a block and its own lines are no copies of each other.
     first = members.groupBy("component").agg(F.min(F.struct("doc_id", "part", "line", (-F.col("last")).alias("last"))).alias("first"))
     later = (F.col("doc_id") != F.col("first.doc_id")) | (F.col("part") != F.col("first.part")) | (F.col("line") > -F.col("first.last"))
@@ -275,33 +299,66 @@ def passage_clusters(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """
     blocks = scratch.store(docs.mapInArrow(_blocks, "doc_id long, part long, anchor long, start int, count int, key long"))
     shared = blocks.groupBy("anchor").agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high")).where("n > 1")
-    named = scratch.store(blocks.join(shared.select("anchor", (F.col("low") == F.col("high")).alias("equal")), "anchor"))
+    shared = shared.select("anchor", (F.col("low") == F.col("high")).alias("equal"))
+    named = scratch.store(blocks.join(shared.hint("shuffle_hash"), "anchor").drop("anchor"))
+    scratch.discard(blocks)
     scratch.free()
-    ranges = named.where("not equal").groupBy("doc_id", "part").agg(F.collect_list(F.struct("start", "count")).alias("ranges"))
+    place = F.struct("doc_id", "part", "start")
+    several = f"first.doc_id != last.doc_id or first.part != last.part or last.start >= first.start + {WINDOW}"
+    # Blocks with one key are equal, window by window: what holds at the first place holds at each.
+    classes = scratch.store(named.groupBy("key", "count", "equal").agg(F.min(place).alias("first"), F.max(place).alias("last")))
+    ranges = classes.where("not equal").groupBy("first.doc_id", "first.part").agg(F.collect_list(F.struct(
+        F.col("key").alias("block"), "first.start", "count", F.col("last.doc_id").alias("last_doc"), F.col("last.part").alias("last_part"),
+        F.col("last.start").alias("last_start"))).alias("ranges"))
     open_texts = docs.join(ranges, ["doc_id", "part"]).dropDuplicates(["doc_id", "part"])
-    single = open_texts.mapInArrow(_single_windows, "doc_id long, part long, start int, count int, key long")
-    windows = scratch.store(named.where("equal").select("doc_id", "part", "start", "count", "key").unionByName(single))
+    windows = scratch.store(open_texts.mapInArrow(
+        _single_windows, "block long, offset int, key long, doc_id long, part long, start int, last_doc long, last_part long, last_start int"))
     scratch.free()
 
-    place = F.struct("doc_id", "part", "start")
-    first = windows.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(
-        f"first.doc_id != last.doc_id or first.part != last.part or last.start >= first.start + {WINDOW}").drop("last")
+    last = F.struct(F.col("last_doc").alias("doc_id"), F.col("last_part").alias("part"), F.col("last_start").alias("start"))
+    held = windows.groupBy("key").agg(F.min(place).alias("first"), F.max(last).alias("last")).where(several).select("key", "first")
+    # Windows of a block in a row whose first places are in a row too are one piece.
+    runs = windows.select("block", "offset", "key").join(held, "key").groupBy(
+        "block", F.col("first.doc_id").alias("first_doc_id"), F.col("first.part").alias("first_part"),
+        (F.col("first.start") - F.col("offset")).alias("shift")).agg(F.expr("bit_or(shiftleft(1, offset))").alias("mask"))
+    runs = runs.withColumn("offset", F.explode(F.expr(
+        f"filter(sequence(0, {SPAN - 1}), i -> (shiftright(mask, i) & 1) = 1 and (shiftright(shiftleft(mask, 1), i) & 1) = 0)")))
+    runs = runs.withColumn("rest", F.expr("shiftright(mask, offset)"))
+    pieces = classes.where("equal").where(several).select(
+        "key", F.lit(0).alias("offset"), "count", F.lit(True).alias("whole"),
+        F.col("first.doc_id").alias("first_doc_id"), F.col("first.part").alias("first_part"), F.col("first.start").alias("first_start")).unionByName(runs.select(
+            F.col("block").alias("key"), "offset", F.expr("bit_count((~rest & (rest + 1)) - 1)").cast("int").alias("count"), F.lit(False).alias("whole"),
+            "first_doc_id", "first_part", (F.col("shift") + F.col("offset")).alias("first_start")))
+    pieces = scratch.store(pieces)
+    scratch.discard(classes, windows)
+    scratch.free()
+
+    hits = named.select("key", "doc_id", "part", "start").join(pieces, "key").withColumn("start", F.col("start") + F.col("offset")).drop("key", "offset")
+    elsewhere = (F.col("doc_id") != F.col("first_doc_id")) | (F.col("part") != F.col("first_part"))
     # Overlapping windows of one text (a repeated word) are no copies of each other.
-    removed = (F.col("doc_id") != F.col("first.doc_id")) | (F.col("part") != F.col("first.part")) | (F.col("start") >= F.col("first.start") + WINDOW)
-    hits = windows.join(first, "key").withColumn("removed", removed).withColumn("first_doc_id", F.col("first.doc_id")).withColumn(
-        "is_first", F.col("first") == place).drop("first")
+    hits = hits.withColumn("removed", elsewhere | (F.col("start") >= F.col("first_start") + WINDOW)).withColumn(
+        "is_first", ~elsewhere & (F.col("start") == F.col("first_start")))
     order = Window.partitionBy("doc_id", "part").orderBy("start")
+    before = {c: F.lag(x).over(order) for c, x in (
+        ("start", F.col("start")), ("end", F.col("start") + F.col("count")), ("doc", F.col("first_doc_id")), ("part", F.col("first_part")),
+        ("shift", F.col("first_start") - F.col("start")), ("removed", F.col("removed")))}
+    follows = (before["end"] == F.col("start")) & (before["doc"] == F.col("first_doc_id")) & (before["removed"] == F.col("removed"))
+    along = (before["part"] == F.col("first_part")) & (before["shift"] == F.col("first_start") - F.col("start"))
+    placed = hits.withColumns({"same": before["start"].eqNullSafe(F.col("start")), "new": ~F.coalesce(follows, F.lit(False)),
+                               "along": F.coalesce(along, F.lit(False))})
     # Equal rows of one id are one text.
-    hits = hits.withColumn("same", F.lag("start").over(order).eqNullSafe(F.col("start"))).where("not same").drop("same")
-    follows = (F.lag(F.col("start") + F.col("count")).over(order) == F.col("start")) & (F.lag("first_doc_id").over(order) == F.col("first_doc_id")) & (
-        F.lag("removed").over(order) == F.col("removed"))
-    placed = hits.withColumn("new", ~F.coalesce(follows, F.lit(False)))
+    placed = placed.where("not same").drop("same")
     placed = placed.withColumn("position", F.max(F.when(F.col("new"), F.col("start"))).over(order)).withColumn(
         "span", F.xxhash64("doc_id", "part", "position"))
-    placed = scratch.store(placed.select("doc_id", "part", "position", "span", "start", "count", "key", "first_doc_id", "removed", "is_first"))
-    # Spans with a window in common are one cluster.
-    edges = placed.select("key", F.col("span").alias("u")).join(placed.where("is_first").select("key", F.col("span").alias("v")), "key").where(
-        "u != v").select("u", "v").distinct()
+    placed = scratch.store(placed.withColumn("asks", (F.col("new") | ~F.col("along")) & ~F.col("is_first")).drop("new", "along"))
+    scratch.discard(named, pieces)
+    scratch.free()
+    # Spans with a window in common are one cluster.  What stands in a row at its first place too is in one span there, so its beginning asks for all.
+    first_at = ("first_doc_id", "first_part", "first_start")
+    steps = F.sequence(F.lit(0), F.when(F.col("whole"), F.lit(0)).otherwise(F.col("count") - 1))
+    holders = placed.where("is_first").select(F.col("span").alias("v"), "first_doc_id", "first_part", F.col("first_start").alias("at"), F.explode(steps).alias("step"))
+    holders = holders.select("v", "first_doc_id", "first_part", (F.col("at") + F.col("step")).alias("first_start"))
+    edges = placed.where("asks").select(F.col("span").alias("u"), *first_at).join(holders, list(first_at)).where("u != v").select("u", "v").distinct()
     joined = components(scratch, edges).withColumnRenamed("node", "span")
     spans = placed.groupBy("doc_id", "part", "position", "span", "first_doc_id", "removed").agg(
         (F.max(F.col("start") + F.col("count")) - 1 + WINDOW - F.col("position")).cast("long").alias("n_words")).join(joined, "span", "left").withColumn("component", F.coalesce("component", "span"))

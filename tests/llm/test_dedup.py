@@ -220,3 +220,39 @@ def test_op4_wrapped_and_short_paragraphs_and_copies_in_a_document(spark):
     assert {k: (r.first_doc_id, r.removed) for k, r in got.items()} == {
         (1, "block", 0): (1, False), (2, "block", 2): (1, True), (3, "paragraph", 0): (1, True),
         (1, "paragraph", 6): (1, False), (4, "paragraph", 0): (1, True), (4, "paragraph", 4): (1, True)}
+
+
+def test_op4_reads_the_windows_of_equal_blocks_once_and_keeps_no_table(spark):
+    class Kept(Scratch):
+        def store(self, df):
+            stored = super().store(df)
+            sizes.append((set(stored.columns), stored.count()))
+            return stored
+
+    sizes, rng = [], random.Random(8)
+    text = prose(rng, 60).split()
+    rows = [(i, " ".join(text)) for i in range(1, 31)] + [(40, " ".join(text[:50])), (41, " ".join(text[8:]) + " " + prose(rng, 9)), (50, prose(rng, 70))]
+    docs = as_documents(spark, rows).selectExpr("doc_id", "text", "xxhash64(text) as part")
+    scratch = Kept(spark, "test")
+    got = op04_substring.passage_clusters(docs, scratch).collect()
+    found = marked(got)
+    assert {i: found[i] for i, _ in rows} == removed_words(rows)
+    assert {r.cluster_id for r in got} == {1 << 24} and {r.first_doc_id for r in got} == {1}
+    # 32 copies hold about 900 windows; what differs at three ends is read once for each of the three texts.
+    assert max(n for columns, n in sizes if {"key", "start"} <= columns and "anchor" not in columns and "equal" not in columns) <= 3 * 4 * op04_substring.SPAN
+    assert len([p for p in scratch.paths if p]) <= 3
+
+
+def test_op4_passages_cut_at_random_places(spark):
+    rng = random.Random(9)
+    pool = [prose(rng, 90).split() for _ in range(3)]
+    rows = []
+    for i in rng.sample(range(-50, 10**6), 60):
+        w = []
+        for _ in range(3):
+            p, a = rng.choice(pool), rng.randrange(60)
+            w += p[a:a + rng.randint(5, 80)] + prose(rng, rng.choice((0, 0, 3, 20))).split()
+        rows.append((i, " ".join(w)))
+    got = op04_substring.repeated_parts(as_documents(spark, rows)).collect()
+    want, found = removed_words(rows), marked(got)
+    assert {i: found[i] for i, _ in rows} == want and sum(map(len, want.values())) > 3000
