@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.base import Scratch, byte_column, components, mix, shingles, word_hashes
+from cohortlens.llm.base import CHUNK, Scratch, byte_column, components, mix, shingles, word_hashes
 
 _SLICE = 4096
 
@@ -89,9 +89,10 @@ def _compare(rule: Rule, rows: pa.Table) -> pa.Table:
     signatures = rows.column("signature").combine_chunks().flatten().to_numpy().reshape(len(rows), rule.coordinates)
     data, bounds = byte_column(rows.column("text"))
     u, v = [], []
+    # Families are mostly small: their words are hashed together, as far as they fit.
+    together = word_hashes(data, bounds) if len(data) <= 4 * CHUNK else None
     for a, b in zip(edges, np.append(edges[1:], len(rows)), strict=True):
-        part = data[bounds[a]:bounds[b]]
-        hashes, starts = word_hashes(part, bounds[a:b + 1] - bounds[a])
+        hashes, starts = (together[0], together[1][a:b + 1]) if together else word_hashes(data[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a])
         sets = [shingles(hashes[starts[k]:starts[k + 1]]) for k in range(b - a)]
         one = keys[1, a] == keys[2, a]
         for x, y in _joined(rule, signatures[a:b], sets, None if one else int((side[a:b] == 0).sum())):

@@ -172,11 +172,12 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(at):
                 continue
             grams = _grams(words, ANCHOR)
-            low = _least(grams, SPAN)[at]
+            low = _least(grams, SPAN)
             # The leftmost place of the least hash; windows that share it are one block.
-            where = at + SPAN - 1
-            for step in range(SPAN - 2, -1, -1):
-                where = np.where(grams[at + step] == low, at + step, where)
+            step = np.full(len(low), SPAN - 1, np.int8)
+            for k in range(SPAN - 2, -1, -1):
+                step[grams[k:k + len(low)] == low] = k
+            low, where = low[at], at + step[at]
             new = np.append(True, (np.diff(where) > 0) | (np.diff(text) > 0))
             begin = np.flatnonzero(new)
             count = np.diff(np.append(begin, len(at)))
@@ -213,6 +214,17 @@ def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 "last_start": pa.array((of["last_start"][each] + offset).astype(np.int32))})
 
 
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a partition whose key another row has."""
+    if not (found := list(batches)):
+        return
+    doc, key = (np.concatenate([b.column(c).to_numpy() for b in found]) for c in ("doc", "key"))
+    order = np.argsort(key)
+    same = np.diff(key[order]) == 0
+    kept = order[np.append(same, False) | np.append(False, same)] if len(order) else order
+    yield pa.record_batch({"doc": pa.array(doc[kept]), "key": pa.array(key[kept])})
+
+
 def _band_keys() -> Column:
     """The bits of each band's coordinates, and its number."""
     def bits(b: int) -> Column:
@@ -255,14 +267,8 @@ def paragraph_clusters(docs: DataFrame, scratch: Scratch) -> DataFrame:
     scratch.discard(found)
     scratch.free()
     posted = classes.select("doc", F.explode(_band_keys()).alias("key"))
-    shared = posted.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high")).where("n > 1")
-    # Most lists have two members, which the counts already tell.
-    shared = scratch.store(shared)
-    scratch.free()
-    pairs = shared.where("n = 2").select(F.explode(F.array("low", "high")).alias("doc"), "key")
-    longer = shared.where("n > 2").select("key").hint("shuffle_hash")
-    lists = scratch.store(pairs.unionByName(posted.join(longer, "key").select("doc", "key")))
-    scratch.discard(shared)
+    # Nearly all keys stand alone: counting them in an aggregate would hold each twice, and join them all again.
+    lists = scratch.store(posted.repartition("key").mapInArrow(_shared, "doc long, key long"))
     scratch.free()
     representatives = classes.join(lists.select("doc").distinct(), "doc", "left_semi").select("doc", _signature().alias("signature"))
     representatives = scratch.store(representatives)

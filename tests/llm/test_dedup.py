@@ -256,3 +256,12 @@ def test_op4_passages_cut_at_random_places(spark):
     got = op04_substring.repeated_parts(as_documents(spark, rows)).collect()
     want, found = removed_words(rows), marked(got)
     assert {i: found[i] for i, _ in rows} == want and sum(map(len, want.values())) > 3000
+
+
+def test_op4_lists_keep_the_rows_whose_key_comes_again():
+    import pyarrow as pa
+
+    batch = lambda doc, key: pa.record_batch({"doc": pa.array(doc, pa.int64()), "key": pa.array(key, pa.int64())})
+    out = pa.Table.from_batches(op04_substring._shared(iter([batch([1, 2, 3], [7, -2, 5]), batch([4, 5, 6], [-2, 9, 7]), batch([8], [7])])))
+    assert sorted(zip(out["key"].to_pylist(), out["doc"].to_pylist(), strict=True)) == [(-2, 2), (-2, 4), (7, 1), (7, 6), (7, 8)]
+    assert not list(op04_substring._shared(iter([]))) and next(op04_substring._shared(iter([batch([], [])]))).num_rows == 0
