@@ -97,6 +97,43 @@ def test_op2_few_rows(spark):
     assert [tuple(r) for r in got] == [(0, 1, 1, 64 * 128)]
 
 
+def test_op2_sends_no_block_through_the_driver(spark, monkeypatch):
+    """Query blocks are repeated for every row block: broadcast, they would grow with the square of the table."""
+    ran, store = [], op02_topk.Scratch.store
+
+    def kept(self, df):
+        ran.append(df)
+        return store(self, df)
+
+    monkeypatch.setattr(op02_topk.Scratch, "store", kept)
+    monkeypatch.setattr(op02_topk, "ROWS_PER_BLOCK", 64)
+    monkeypatch.setattr(op02_topk, "QUERIES_PER_BLOCK", 8)
+    rng = np.random.default_rng(9)
+    table = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=4)]) for i in range(600)], "vec_id long, embedding array<float>")
+    found = op02_topk.top_k(table)
+    assert found.count() == 30 * 20
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in [*ran, found]]
+    assert any("Join" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
+@pytest.mark.parametrize("components", [4, 1 << 20])
+def test_op2_blocks_of_very_unequal_range_in_small_steps(spark, monkeypatch, components):
+    """Scores in floats, doubles and whole numbers meet under one cutoff; wide vectors make smaller blocks."""
+    rng = np.random.default_rng(12)
+    rows = [(i, [float(x) for x in rng.normal(size=3 + i % 3) * 10.0 ** int(rng.integers(0, 7) if i % 9 == 0 else 0)]) for i in range(200)]
+    monkeypatch.setattr(op02_topk, "ROWS_PER_BLOCK", 16)
+    monkeypatch.setattr(op02_topk, "QUERIES_PER_BLOCK", 4)
+    monkeypatch.setattr(op02_topk, "COMPONENTS_PER_BLOCK", components)
+    monkeypatch.setattr(op02_topk, "SCORES_PER_STEP", 20)
+    got = sorted(tuple(r) for r in op02_topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=7, every=10).collect())
+    v = {i: [int(np.floor(64 * x)) for x in e] for i, e in rows}
+    want = []
+    for q in (i for i in v if i % 10 == 0):
+        best = sorted((-sum(a * b for a, b in zip(v[q], v[r], strict=False)), r) for r in v if r != q)[:7]
+        want += [(q, n + 1, r, -s) for n, (s, r) in enumerate(best)]
+    assert got == sorted(want)
+
+
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 
